@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlens.operators import clean, rollups
+from vidlens import schemas
+from vidlens.operators import clean, filters, live, rollups, stats, windows
 from vidlens.plans import oracle as O
 from vidlens.sources import fixtures
 
@@ -53,13 +54,250 @@ def q_clean_videos(spark, sf_dir):
     return s.select(*SILVER_OUT, F.col("published_at_ts").cast("string").alias("published_at_ts"))
 
 
-@register("keyword_category_summary", O.with_silver("""
+@register("keyword_category_summary", None)
+def q_keyword_category_summary(spark, sf_dir):
+    """Gold: silver -> IQR outlier flag -> keyword x category summary (A3-A5, O3)."""
+    return rollups.keyword_category_summary(flagged(spark, sf_dir))
+
+
+# ---- batch features, rollups, filters ----------------------------------------
+
+@register("batch_features", O.with_silver(
+    "SELECT video_id, keyword, view_count, engagement_rate, like_to_comment_ratio, performance_tier FROM silver"))
+def q_batch_features(spark, sf_dir):
+    return silver(spark, sf_dir).select("video_id", "keyword", "view_count", "engagement_rate",
+                                        "like_to_comment_ratio", "performance_tier")
+
+
+@register("keyword_engagement_top10", O.with_silver(f"""
+SELECT keyword, {O.rnd('avg(engagement_rate)', 4)} AS avg_engagement_rate, count(*) AS video_count
+FROM silver GROUP BY keyword
+ORDER BY avg_engagement_rate DESC NULLS LAST, keyword ASC NULLS LAST LIMIT 10"""))
+def q_keyword_engagement_top10(spark, sf_dir):
+    return rollups.top_keywords_by_engagement(silver(spark, sf_dir), 10)
+
+
+@register("duration_category_counts", O.with_silver(
+    'SELECT duration_category, count(*) AS "count" FROM silver GROUP BY duration_category'))
+def q_duration_category_counts(spark, sf_dir):
+    return rollups.duration_category_counts(silver(spark, sf_dir))
+
+
+@register("distinct_keywords", O.with_silver(
+    "SELECT DISTINCT keyword FROM silver ORDER BY keyword ASC NULLS LAST LIMIT 20"))
+def q_distinct_keywords(spark, sf_dir):
+    return rollups.distinct_keywords(silver(spark, sf_dir), 20)
+
+
+# Gold read parameters used by the registered filter queries.
+FILTER_MIN_VIEWS = 100
+FILTER_EXACT = "Economy, STANDARD’s cut ,, small"
+FILTER_CONTAINS = "cut,LARGE"
+
+
+@register("keyword_filter_exact", O.with_silver(f"""
+SELECT video_id, keyword, view_count FROM silver
+WHERE keyword IN ('economy', 'standard''s cut', 'small') AND view_count >= {FILTER_MIN_VIEWS}"""))
+def q_keyword_filter_exact(spark, sf_dir):
+    return filters.read_gold_input(silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_EXACT, "exact") \
+                  .select("video_id", "keyword", "view_count")
+
+
+@register("keyword_filter_contains", O.with_silver(f"""
+SELECT video_id, keyword, view_count FROM silver
+WHERE (contains(keyword, 'cut') OR contains(keyword, 'large')) AND view_count >= {FILTER_MIN_VIEWS}"""))
+def q_keyword_filter_contains(spark, sf_dir):
+    return filters.read_gold_input(silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_CONTAINS, "contains") \
+                  .select("video_id", "keyword", "view_count")
+
+
+# ---- statistics ----------------------------------------------------------------
+
+FLAGGED_SQL = """
+bounds AS (SELECT quantile_disc(view_count, 0.25) AS q1, quantile_disc(view_count, 0.75) AS q3 FROM silver),
+flagged AS (
+  SELECT s.*, CASE WHEN b.q1 IS NULL OR b.q3 IS NULL THEN false
+                   ELSE (s.view_count < b.q1 - 1.5 * (b.q3 - b.q1) OR s.view_count > b.q3 + 1.5 * (b.q3 - b.q1))
+              END AS is_outlier_views
+  FROM silver s CROSS JOIN bounds b)
+"""
+
+
+def with_flagged(body: str) -> str:
+    return O.with_silver(",\n" + FLAGGED_SQL + body).replace(")\n,\n", "),\n", 1)
+
+
+def flagged(spark, sf_dir):
+    return stats.flag_outliers(silver(spark, sf_dir))
+
+
+@register("views_quartiles", O.with_silver("""
+SELECT q1, q3, CAST(q1 - 1.5 * (q3 - q1) AS DOUBLE) AS lower_bound, CAST(q3 + 1.5 * (q3 - q1) AS DOUBLE) AS upper_bound
+FROM (SELECT quantile_disc(view_count, 0.25) AS q1, quantile_disc(view_count, 0.75) AS q3 FROM silver)"""))
+def q_views_quartiles(spark, sf_dir):
+    return stats.iqr_bounds(silver(spark, sf_dir))
+
+
+@register("outlier_flags", with_flagged(
+    "SELECT video_id, keyword, view_count, is_outlier_views FROM flagged"))
+def q_outlier_flags(spark, sf_dir):
+    return flagged(spark, sf_dir).select("video_id", "keyword", "view_count", "is_outlier_views")
+
+
+@register("outlier_rate", with_flagged(f"""
+SELECT outlier_count, total_count,
+       CASE WHEN total_count > 0 THEN {O.rnd('outlier_count / total_count * 100', 2)} ELSE 0.0 END AS outlier_pct
+FROM (SELECT count(*) FILTER (WHERE is_outlier_views) AS outlier_count, count(*) AS total_count FROM flagged)"""))
+def q_outlier_rate(spark, sf_dir):
+    return stats.outlier_rate(flagged(spark, sf_dir))
+
+
+@register("outlier_top10", with_flagged("""
+SELECT video_id, keyword, view_count, like_count, comment_count FROM flagged WHERE is_outlier_views
+ORDER BY view_count DESC, video_id ASC LIMIT 10"""))
+def q_outlier_top10(spark, sf_dir):
+    return stats.top_outliers(flagged(spark, sf_dir), 10)
+
+
+def _corr_sql(x, y):
+    return O.rnd(f"CASE WHEN stddev_pop({x}) * stddev_pop({y}) = 0 THEN NULL "
+                 f"ELSE covar_pop({x}, {y}) / (stddev_pop({x}) * stddev_pop({y})) END", 6)
+
+
+@register("metric_correlations", O.with_silver(f"""
+SELECT {_corr_sql('view_count', 'engagement_rate')} AS corr_views_engagement,
+       {_corr_sql('like_count', 'comment_count')} AS corr_likes_comments,
+       {_corr_sql('duration_seconds', 'view_count')} AS corr_duration_views,
+       {O.rnd('covar_samp(view_count, like_count)', 2)} AS cov_views_likes
+FROM silver"""))
+def q_metric_correlations(spark, sf_dir):
+    return stats.metric_correlations(silver(spark, sf_dir))
+
+
+_METRICS_UNION = " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM silver" for m in stats.SUMMARY_METRICS)
+
+
+@register("metric_summary", O.with_silver(f""",
+long AS ({_METRICS_UNION})
+SELECT metric, count(value) AS "count", {O.rnd('avg(value)', 6)} AS mean,
+       {O.rnd('stddev_samp(value)', 6)} AS stddev, min(value) AS "min",
+       quantile_disc(value, 0.25) AS p25, quantile_disc(value, 0.5) AS p50,
+       quantile_disc(value, 0.75) AS p75, max(value) AS "max"
+FROM long GROUP BY metric""").replace(")\n,\nlong", "),\nlong", 1))
+def q_metric_summary(spark, sf_dir):
+    return stats.metric_summary(silver(spark, sf_dir))
+
+
+# ---- live path -----------------------------------------------------------------
+
+PRIMARY_KEYWORD = "STANDARD"
+
+LIVE_FEATURES_SQL = f"""
+raw AS (
+  SELECT video_id, keyword AS search_keyword, 'General' AS keyword_type, title, channel AS channel_title,
+         published_at, view_count AS views, like_count AS likes, comment_count AS comments,
+         duration_seconds, category_id, platform AS default_audio_language, tags,
+         category_name AS topic_categories
+  FROM videos WHERE video_id IS NOT NULL),
+feat0 AS (
+  SELECT *, greatest(1, COALESCE(date_diff('day', CAST(TRY_CAST(published_at AS TIMESTAMP) AS DATE),
+                                          DATE '{AS_OF}'), 1)) AS days_since_published
+  FROM raw),
+feat AS (
+  SELECT *, {O.rnd('views / days_since_published', 2)} AS daily_view_velocity,
+         CASE WHEN views > 0 THEN {O.rnd('(likes + comments) / views * 100', 2)} ELSE 0.0 END AS "engagement_rate_%",
+         CASE WHEN comments > 0 THEN {O.rnd('likes / comments', 2)} ELSE CAST(likes AS DOUBLE) END
+              AS like_to_comment_ratio,
+         CASE WHEN duration_seconds <= 60 THEN 'Shorts' ELSE 'Long-Form' END AS format,
+         CAST(length(title) AS INTEGER) AS title_char_length,
+         CASE WHEN tags IS NOT NULL AND tags <> '' THEN CAST(len(string_split(tags, '|')) AS INTEGER) ELSE 0 END
+              AS tag_count
+  FROM feat0)"""
+
+LIVE_FEATURE_OUT = ["video_id", "search_keyword", "views", "days_since_published", "daily_view_velocity",
+                    "engagement_rate_%", "like_to_comment_ratio", "format", "title_char_length", "tag_count"]
+
+
+def live_frame(spark, sf_dir):
+    raw = live.raw_output(fixtures.video_messages(spark, sf_dir).filter(F.col("video_id").isNotNull()))
+    return live.live_features(raw, AS_OF)
+
+
+def _q(cols):
+    return ", ".join(f'"{c}"' for c in cols)
+
+
+@register("live_features", O.with_videos(f", {LIVE_FEATURES_SQL}\nSELECT {_q(LIVE_FEATURE_OUT)} FROM feat"))
+def q_live_features(spark, sf_dir):
+    return live_frame(spark, sf_dir).select(*LIVE_FEATURE_OUT)
+
+
+WINDOWS_SQL = f"""{LIVE_FEATURES_SQL},
+win0 AS (
+  SELECT *, CAST(sum(views) OVER (PARTITION BY search_keyword) AS BIGINT) AS total_kw_views,
+         rank() OVER (PARTITION BY search_keyword ORDER BY views DESC NULLS LAST) AS rank_in_keyword,
+         avg(daily_view_velocity) OVER (PARTITION BY search_keyword) AS avg_kw_velocity,
+         stddev_samp(daily_view_velocity) OVER (PARTITION BY search_keyword) AS std_kw_velocity
+  FROM feat),
+win AS (
+  SELECT *, CASE WHEN total_kw_views > 0 THEN {O.rnd('views / total_kw_views * 100', 2)} ELSE 0.0 END
+              AS "view_share_%_in_keyword",
+         CASE WHEN std_kw_velocity IS NOT NULL AND std_kw_velocity > 0
+              THEN {O.rnd('(daily_view_velocity - avg_kw_velocity) / std_kw_velocity', 2)} ELSE 0.0 END
+              AS velocity_z_score
+  FROM win0),
+staged AS (
+  SELECT *, CASE WHEN velocity_z_score > 1.0 AND "engagement_rate_%" > 3.0 THEN 'Viral Trend'
+                 WHEN velocity_z_score <= 1.0 AND "engagement_rate_%" > 3.0 THEN 'Emerging Niche'
+                 WHEN velocity_z_score > 1.0 AND "engagement_rate_%" <= 3.0 THEN 'Mass Peak'
+                 ELSE 'Declining / Baseline' END AS trend_lifecycle_stage
+  FROM win)"""
+
+WINDOW_OUT = ["video_id", "search_keyword", "views", "total_kw_views", "view_share_%_in_keyword",
+              "rank_in_keyword", "velocity_z_score"]
+
+
+@register("keyword_windows", O.with_videos(f""", {WINDOWS_SQL}
+SELECT {_q(WINDOW_OUT)}, {O.rnd('avg_kw_velocity', 4)} AS avg_kw_velocity,
+       {O.rnd('std_kw_velocity', 4)} AS std_kw_velocity FROM staged"""))
+def q_keyword_windows(spark, sf_dir):
+    w = windows.keyword_windows(live_frame(spark, sf_dir))
+    return w.select(*WINDOW_OUT, F.round("avg_kw_velocity", 4).alias("avg_kw_velocity"),
+                    F.round("std_kw_velocity", 4).alias("std_kw_velocity"))
+
+
+@register("trend_lifecycle", O.with_videos(f""", {WINDOWS_SQL}
+SELECT search_keyword, trend_lifecycle_stage, count(*) AS videos FROM staged
+GROUP BY search_keyword, trend_lifecycle_stage"""))
+def q_trend_lifecycle(spark, sf_dir):
+    a = windows.with_lifecycle(windows.keyword_windows(live_frame(spark, sf_dir)))
+    return a.groupBy("search_keyword", "trend_lifecycle_stage").agg(F.count(F.lit(1)).alias("videos"))
+
+
+@register("live_analytics", O.with_videos(f""", {WINDOWS_SQL}
+SELECT {_q(schemas.LIVE_ANALYTICS_COLUMNS)} FROM staged"""))
+def q_live_analytics(spark, sf_dir):
+    return live.live_analytics(live_frame(spark, sf_dir))
+
+
+@register("keyword_popularity", O.with_videos(f""", {LIVE_FEATURES_SQL}
+SELECT search_keyword, CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
+       CAST(sum(comments) AS BIGINT) AS total_comments,
+       {O.rnd('avg(daily_view_velocity)', 2)} AS avg_daily_view_velocity,
+       {O.rnd('avg("engagement_rate_%")', 2)} AS "avg_engagement_rate_%",
+       {O.rnd('avg(duration_seconds)', 0)} AS avg_duration_seconds,
+       CASE WHEN search_keyword = '{PRIMARY_KEYWORD}' THEN 'Primary' ELSE 'General' END AS keyword_type
+FROM feat GROUP BY search_keyword"""))
+def q_keyword_popularity(spark, sf_dir):
+    return rollups.keyword_popularity(live_frame(spark, sf_dir), PRIMARY_KEYWORD)
+
+
+ORACLE["keyword_category_summary"] = with_flagged(f"""
 SELECT keyword, category_name, count(*) AS total_videos, CAST(sum(view_count) AS BIGINT) AS total_views,
-       """ + O.rnd("avg(view_count)", 2) + """ AS avg_views,
-       """ + O.rnd("avg(engagement_rate)", 6) + """ AS avg_engagement_rate,
-       """ + O.rnd("avg(duration_seconds)", 1) + """ AS avg_duration_sec,
+       {O.rnd('avg(view_count)', 2)} AS avg_views,
+       {O.rnd('avg(engagement_rate)', 6)} AS avg_engagement_rate,
+       {O.rnd('avg(duration_seconds)', 1)} AS avg_duration_sec,
        count(*) FILTER (WHERE performance_tier = 'Viral') AS viral_video_count,
-       CAST(NULL AS BIGINT) AS outlier_video_count
-FROM silver GROUP BY keyword, category_name"""))
-def q_keyword_category_summary(spark, sf_dir):
-    return rollups.keyword_category_summary(silver(spark, sf_dir), outlier_col=None)
+       count(*) FILTER (WHERE is_outlier_views) AS outlier_video_count
+FROM flagged GROUP BY keyword, category_name""")

@@ -55,14 +55,14 @@ DEDUP_ORDER_SQL = ("published_at_ts DESC NULLS LAST, src_part ASC NULLS LAST, sr
                    "view_count ASC NULLS LAST, duration_seconds ASC NULLS LAST, published_at ASC NULLS LAST")
 
 # Silver rows, audit columns left out (they carry the run clock).
-SILVER_SQL = f"""
+_SILVER_TEMPLATE = """
 SELECT video_id, title, channel, published_at, keyword, platform, view_count, like_count,
        comment_count, description, duration_seconds, duration_category, category_id,
        category_name, tags, tag_count, has_captions, definition, licensed_content,
        src_part, src_supp, published_at_ts, published_year, published_month,
-       CASE WHEN view_count > 0 THEN {rnd('(like_count + comment_count) / view_count', 6)}
+       CASE WHEN view_count > 0 THEN {ENG}
             ELSE 0.0 END AS engagement_rate,
-       {rnd('CASE WHEN comment_count = 0 THEN NULL ELSE like_count / comment_count END', 2)}
+       {LCR}
             AS like_to_comment_ratio,
        CASE WHEN view_count >= 1000000 THEN 'Viral' WHEN view_count >= 100000 THEN 'High'
             WHEN view_count >= 10000 THEN 'Medium' ELSE 'Low' END AS performance_tier
@@ -81,8 +81,8 @@ FROM (
          CAST(year(published_at_ts) AS INTEGER) AS published_year,
          CAST(month(published_at_ts) AS INTEGER) AS published_month
   FROM (
-    SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY {DEDUP_ORDER_SQL}) AS _rn
-    FROM (SELECT *, TRY_CAST(published_at AS TIMESTAMP) AS published_at_ts FROM videos
+    SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY {ORDER}) AS _rn
+    FROM (SELECT *, TRY_CAST(published_at AS TIMESTAMP) AS published_at_ts FROM {SOURCE}
           WHERE video_id IS NOT NULL AND trim(video_id) <> '') v1
   ) v2
   WHERE _rn = 1
@@ -91,9 +91,20 @@ WHERE view_count >= 0
 """
 
 
-def with_silver(body: str) -> str:
-    """``WITH videos AS (...), silver AS (...) <body>``."""
-    return f"WITH videos AS ({VIDEOS_SQL}),\nsilver AS ({SILVER_SQL})\n{body}"
+def silver_sql(order: str = DEDUP_ORDER_SQL, source: str = "videos") -> str:
+    return (_SILVER_TEMPLATE
+            .replace("{ENG}", rnd("(like_count + comment_count) / view_count", 6))
+            .replace("{LCR}", rnd("CASE WHEN comment_count = 0 THEN NULL ELSE like_count / comment_count END", 2))
+            .replace("{ORDER}", order).replace("{SOURCE}", source))
+
+
+SILVER_SQL = silver_sql()
+
+
+def with_silver(body: str, order: str = DEDUP_ORDER_SQL, ctes: tuple[str, ...] = ()) -> str:
+    """``WITH videos AS (...), silver AS (...)[, more CTEs] <body>``."""
+    more = "".join(f",\n{c.strip()}" for c in ctes)
+    return f"WITH videos AS ({VIDEOS_SQL}),\nsilver AS ({silver_sql(order)}){more}\n{body}"
 
 
 def with_videos(body: str) -> str:

@@ -123,8 +123,8 @@ flagged AS (
 """
 
 
-def with_flagged(body: str) -> str:
-    return O.with_silver(",\n" + FLAGGED_SQL + body).replace(")\n,\n", "),\n", 1)
+def with_flagged(body: str, ctes: tuple[str, ...] = (), order: str = O.DEDUP_ORDER_SQL) -> str:
+    return O.with_silver(body, order, (FLAGGED_SQL,) + tuple(ctes))
 
 
 def flagged(spark, sf_dir):
@@ -178,13 +178,12 @@ _METRICS_UNION = " UNION ALL ".join(
     f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM silver" for m in stats.SUMMARY_METRICS)
 
 
-@register("metric_summary", O.with_silver(f""",
-long AS ({_METRICS_UNION})
+@register("metric_summary", O.with_silver(f"""
 SELECT metric, count(value) AS "count", {O.rnd('avg(value)', 6)} AS mean,
        {O.rnd('stddev_samp(value)', 6)} AS stddev, min(value) AS "min",
        quantile_disc(value, 0.25) AS p25, quantile_disc(value, 0.5) AS p50,
        quantile_disc(value, 0.75) AS p75, max(value) AS "max"
-FROM long GROUP BY metric""").replace(")\n,\nlong", "),\nlong", 1))
+FROM long GROUP BY metric""", ctes=(f"long AS ({_METRICS_UNION})",)))
 def q_metric_summary(spark, sf_dir):
     return stats.metric_summary(silver(spark, sf_dir))
 
@@ -301,3 +300,6 @@ SELECT keyword, category_name, count(*) AS total_videos, CAST(sum(view_count) AS
        count(*) FILTER (WHERE performance_tier = 'Viral') AS viral_video_count,
        count(*) FILTER (WHERE is_outlier_views) AS outlier_video_count
 FROM flagged GROUP BY keyword, category_name""")
+
+
+from vidlens.plans import queries_io  # noqa: E402,F401  (registers the storage queries)

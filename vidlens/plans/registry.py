@@ -303,3 +303,4 @@ FROM flagged GROUP BY keyword, category_name""")
 
 
 from vidlens.plans import queries_io  # noqa: E402,F401  (registers the storage queries)
+from vidlens.plans import queries_stream  # noqa: E402,F401  (registers quality and streaming queries)

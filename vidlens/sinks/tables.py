@@ -122,7 +122,8 @@ def write_history(summary: DataFrame, path: str, run_date: str, run_ts: str | No
 
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with header (for the small summary only)."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    (df.coalesce(1).write.mode("overwrite").option("header", "true")
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def landing_csv(df: DataFrame, path: str) -> None:

@@ -13,11 +13,22 @@ from pyspark.sql import functions as F
 
 from vidlens.functions import features as feat
 
+# Averages are taken on an exact decimal image of the input, then rounded: the
+# inputs are fixed-point (counts, or ratios already rounded), so exact ties at
+# the rounding digit are common, and a floating-point sum would let the
+# summation order (partitioning, task timing) decide them.
+AVG_SCALE = 12
+
+
+def fixed_avg(col: str, digits: int):
+    """``round(avg(col), digits)`` computed exactly (HALF_UP), as double."""
+    return F.round(F.avg(F.col(col).cast(f"decimal(38,{AVG_SCALE})")), digits).cast("double")
+
 
 def keyword_engagement(df: DataFrame) -> DataFrame:
     """A1: mean engagement and video count per keyword."""
     return df.groupBy("keyword").agg(
-        F.round(F.avg("engagement_rate"), 4).alias("avg_engagement_rate"),
+        fixed_avg("engagement_rate", 4).alias("avg_engagement_rate"),
         F.count(F.lit(1)).alias("video_count"))
 
 
@@ -42,9 +53,9 @@ def keyword_category_summary(df: DataFrame, outlier_col: str | None = "is_outlie
     aggs = [
         F.count(F.lit(1)).alias("total_videos"),
         F.sum("view_count").alias("total_views"),
-        F.round(F.avg("view_count"), 2).alias("avg_views"),
-        F.round(F.avg("engagement_rate"), 6).alias("avg_engagement_rate"),
-        F.round(F.avg("duration_seconds"), 1).alias("avg_duration_sec"),
+        fixed_avg("view_count", 2).alias("avg_views"),
+        fixed_avg("engagement_rate", 6).alias("avg_engagement_rate"),
+        fixed_avg("duration_seconds", 1).alias("avg_duration_sec"),
         F.count_if(F.col("performance_tier") == "Viral").alias("viral_video_count"),
     ]
     if outlier_col and outlier_col in df.columns:
@@ -67,7 +78,7 @@ def keyword_popularity(df: DataFrame, primary_keyword: str | None = None) -> Dat
                 F.sum("views").alias("total_views"),
                 F.sum("likes").alias("total_likes"),
                 F.sum("comments").alias("total_comments"),
-                F.round(F.avg("daily_view_velocity"), 2).alias("avg_daily_view_velocity"),
-                F.round(F.avg("engagement_rate_%"), 2).alias("avg_engagement_rate_%"),
-                F.round(F.avg("duration_seconds"), 0).alias("avg_duration_seconds"))
+                fixed_avg("daily_view_velocity", 2).alias("avg_daily_view_velocity"),
+                fixed_avg("engagement_rate_%", 2).alias("avg_engagement_rate_%"),
+                fixed_avg("duration_seconds", 0).alias("avg_duration_seconds"))
               .withColumn("keyword_type", feat.keyword_type("search_keyword", primary_keyword)))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidlens.operators.ordered import approx_quantiles, exact_quantiles
+from vidlens.operators.rollups import fixed_avg
 
 IQR_MULTIPLIER = 1.5  # fixed value of the reference
 SUMMARY_METRICS = ("view_count", "like_count", "comment_count", "engagement_rate", "duration_seconds")
@@ -97,7 +98,7 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
     ])).alias("_m")).select("_m.metric", "_m.value")
     basic = long.groupBy("metric").agg(
         F.count("value").alias("count"),
-        F.round(F.avg("value"), 6).alias("mean"),
+        fixed_avg("value", 6).alias("mean"),
         F.round(F.stddev_samp("value"), 6).alias("stddev"),
         F.min("value").alias("min"),
         F.max("value").alias("max"))

@@ -16,6 +16,11 @@ def rnd(expr: str, n: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
+def ravg(col: str, n: int) -> str:
+    """``vidlens.operators.rollups.fixed_avg`` in DuckDB: exact average, half-up."""
+    return rnd(f"avg(CAST({col} AS DECIMAL(38,12)))", n)
+
+
 # The fixture view: one lineitem row (with its part and supplier) -> one raw video.
 VIDEOS_SQL = """
 SELECT

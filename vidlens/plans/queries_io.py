@@ -28,9 +28,9 @@ def _scratch(spark, name: str) -> str:
 
 SUMMARY_SQL_BODY = f"""
 SELECT keyword, category_name, count(*) AS total_videos, CAST(sum(view_count) AS BIGINT) AS total_views,
-       {O.rnd('avg(view_count)', 2)} AS avg_views,
-       {O.rnd('avg(engagement_rate)', 6)} AS avg_engagement_rate,
-       {O.rnd('avg(duration_seconds)', 1)} AS avg_duration_sec,
+       {O.ravg('view_count', 2)} AS avg_views,
+       {O.ravg('engagement_rate', 6)} AS avg_engagement_rate,
+       {O.ravg('duration_seconds', 1)} AS avg_duration_sec,
        count(*) FILTER (WHERE performance_tier = 'Viral') AS viral_video_count,
        count(*) FILTER (WHERE is_outlier_views) AS outlier_video_count
 FROM flagged GROUP BY keyword, category_name"""

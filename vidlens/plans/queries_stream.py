@@ -88,11 +88,15 @@ def run_stream(spark, sf_dir):
     return layout
 
 
+# The raw sink is CSV, where an empty cell reads back as NULL: '' and NULL are
+# one value there (as in the reference's CSV outputs).
 @register("stream_raw", O.with_videos(f"""
-SELECT video_id, keyword AS search_keyword, 'General' AS keyword_type, title, channel AS channel_title,
-       published_at, view_count AS views, like_count AS likes, comment_count AS comments,
-       duration_seconds, category_id, platform AS default_audio_language, tags,
-       category_name AS topic_categories
+SELECT NULLIF(video_id, '') AS video_id, NULLIF(keyword, '') AS search_keyword, 'General' AS keyword_type,
+       NULLIF(title, '') AS title, NULLIF(channel, '') AS channel_title,
+       NULLIF(published_at, '') AS published_at, view_count AS views, like_count AS likes,
+       comment_count AS comments, duration_seconds, NULLIF(category_id, '') AS category_id,
+       NULLIF(platform, '') AS default_audio_language, NULLIF(tags, '') AS tags,
+       NULLIF(category_name, '') AS topic_categories
 FROM videos WHERE video_id IS NOT NULL"""))
 def q_stream_raw(spark, sf_dir):
     return stream.read_raw_output(spark, run_stream(spark, sf_dir)).select(*LIVE_RAW_COLUMNS)
@@ -101,9 +105,9 @@ def q_stream_raw(spark, sf_dir):
 @register("stream_keyword_totals", O.with_videos(f""", {LIVE_FEATURES_SQL}
 SELECT search_keyword, CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
        CAST(sum(comments) AS BIGINT) AS total_comments,
-       {O.rnd('avg(daily_view_velocity)', 2)} AS avg_daily_view_velocity,
-       {O.rnd('avg("engagement_rate_%")', 2)} AS "avg_engagement_rate_%",
-       {O.rnd('avg(duration_seconds)', 0)} AS avg_duration_seconds,
+       {O.ravg('daily_view_velocity', 2)} AS avg_daily_view_velocity,
+       {O.ravg('"engagement_rate_%"', 2)} AS "avg_engagement_rate_%",
+       {O.ravg('duration_seconds', 0)} AS avg_duration_seconds,
        CASE WHEN search_keyword = '{PRIMARY_KEYWORD}' THEN 'Primary' ELSE 'General' END AS keyword_type
 FROM feat GROUP BY search_keyword"""))
 def q_stream_keyword_totals(spark, sf_dir):

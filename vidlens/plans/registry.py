@@ -70,7 +70,7 @@ def q_batch_features(spark, sf_dir):
 
 
 @register("keyword_engagement_top10", O.with_silver(f"""
-SELECT keyword, {O.rnd('avg(engagement_rate)', 4)} AS avg_engagement_rate, count(*) AS video_count
+SELECT keyword, {O.ravg('engagement_rate', 4)} AS avg_engagement_rate, count(*) AS video_count
 FROM silver GROUP BY keyword
 ORDER BY avg_engagement_rate DESC NULLS LAST, keyword ASC NULLS LAST LIMIT 10"""))
 def q_keyword_engagement_top10(spark, sf_dir):
@@ -179,7 +179,7 @@ _METRICS_UNION = " UNION ALL ".join(
 
 
 @register("metric_summary", O.with_silver(f"""
-SELECT metric, count(value) AS "count", {O.rnd('avg(value)', 6)} AS mean,
+SELECT metric, count(value) AS "count", {O.ravg('value', 6)} AS mean,
        {O.rnd('stddev_samp(value)', 6)} AS stddev, min(value) AS "min",
        quantile_disc(value, 0.25) AS p25, quantile_disc(value, 0.5) AS p50,
        quantile_disc(value, 0.75) AS p75, max(value) AS "max"
@@ -258,12 +258,10 @@ WINDOW_OUT = ["video_id", "search_keyword", "views", "total_kw_views", "view_sha
 
 
 @register("keyword_windows", O.with_videos(f""", {WINDOWS_SQL}
-SELECT {_q(WINDOW_OUT)}, {O.rnd('avg_kw_velocity', 4)} AS avg_kw_velocity,
-       {O.rnd('std_kw_velocity', 4)} AS std_kw_velocity FROM staged"""))
+SELECT {_q(WINDOW_OUT)} FROM staged"""))
 def q_keyword_windows(spark, sf_dir):
     w = windows.keyword_windows(live_frame(spark, sf_dir))
-    return w.select(*WINDOW_OUT, F.round("avg_kw_velocity", 4).alias("avg_kw_velocity"),
-                    F.round("std_kw_velocity", 4).alias("std_kw_velocity"))
+    return w.select(*WINDOW_OUT)
 
 
 @register("trend_lifecycle", O.with_videos(f""", {WINDOWS_SQL}
@@ -283,9 +281,9 @@ def q_live_analytics(spark, sf_dir):
 @register("keyword_popularity", O.with_videos(f""", {LIVE_FEATURES_SQL}
 SELECT search_keyword, CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
        CAST(sum(comments) AS BIGINT) AS total_comments,
-       {O.rnd('avg(daily_view_velocity)', 2)} AS avg_daily_view_velocity,
-       {O.rnd('avg("engagement_rate_%")', 2)} AS "avg_engagement_rate_%",
-       {O.rnd('avg(duration_seconds)', 0)} AS avg_duration_seconds,
+       {O.ravg('daily_view_velocity', 2)} AS avg_daily_view_velocity,
+       {O.ravg('"engagement_rate_%"', 2)} AS "avg_engagement_rate_%",
+       {O.ravg('duration_seconds', 0)} AS avg_duration_seconds,
        CASE WHEN search_keyword = '{PRIMARY_KEYWORD}' THEN 'Primary' ELSE 'General' END AS keyword_type
 FROM feat GROUP BY search_keyword"""))
 def q_keyword_popularity(spark, sf_dir):
@@ -294,9 +292,9 @@ def q_keyword_popularity(spark, sf_dir):
 
 ORACLE["keyword_category_summary"] = with_flagged(f"""
 SELECT keyword, category_name, count(*) AS total_videos, CAST(sum(view_count) AS BIGINT) AS total_views,
-       {O.rnd('avg(view_count)', 2)} AS avg_views,
-       {O.rnd('avg(engagement_rate)', 6)} AS avg_engagement_rate,
-       {O.rnd('avg(duration_seconds)', 1)} AS avg_duration_sec,
+       {O.ravg('view_count', 2)} AS avg_views,
+       {O.ravg('engagement_rate', 6)} AS avg_engagement_rate,
+       {O.ravg('duration_seconds', 1)} AS avg_duration_sec,
        count(*) FILTER (WHERE performance_tier = 'Viral') AS viral_video_count,
        count(*) FILTER (WHERE is_outlier_views) AS outlier_video_count
 FROM flagged GROUP BY keyword, category_name""")

@@ -112,5 +112,6 @@ def with_silver(body: str, order: str = DEDUP_ORDER_SQL, ctes: tuple[str, ...] =
     return f"WITH videos AS ({VIDEOS_SQL}),\nsilver AS ({silver_sql(order)}){more}\n{body}"
 
 
-def with_videos(body: str) -> str:
-    return f"WITH videos AS ({VIDEOS_SQL})\n{body}"
+def with_videos(body: str, ctes: tuple[str, ...] = ()) -> str:
+    more = "".join(f",\n{c.strip()}" for c in ctes)
+    return f"WITH videos AS ({VIDEOS_SQL}){more}\n{body}"

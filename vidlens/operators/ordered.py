@@ -33,13 +33,34 @@ def _group_key(group: Sequence[str]):
     return F.struct(*[F.col(c) for c in group]) if group else F.lit(0)
 
 
+def _bucket_of(v, splits, n: int, descending: bool):
+    """Bucket of ``v`` among ``n`` ascending split points, as a binary search
+    unrolled into a ``when`` tree (code-generated, log2(n) comparisons):
+    ascending -> number of splits < v; descending -> number of splits > v.
+    Equal values always get the same bucket."""
+    def lower(lo, hi):      # count of splits < v, knowing it lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(splits[mid] < v, lower(mid + 1, hi)).otherwise(lower(lo, mid))
+
+    def upper(lo, hi):      # count of splits <= v
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(splits[mid] <= v, upper(mid + 1, hi)).otherwise(upper(lo, mid))
+
+    return (F.lit(n) - upper(0, n)) if descending else lower(0, n)
+
+
 def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descending: bool = False,
-                    buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
+                    buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000, weight: str | None = None) -> DataFrame:
     """One row per distinct ``(group..., value)``: ``_n`` rows with it,
     ``_before`` rows of the group strictly earlier (order by ``value``,
     ascending or descending, NULLs last) and ``_gsize`` rows in the group."""
     group = list(group)
-    counts = (df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.sum(weight) if weight else F.count(F.lit(1))   # ``weight``: rows already counted upstream
+    counts = (df.groupBy(*group, value).agg(n.alias("_n"))
                 .withColumn("_gk", _group_key(group)))
     probs = [i / buckets for i in range(1, buckets)]
     splits = (counts.where(F.col(value).isNotNull()).groupBy("_gk")
@@ -51,10 +72,9 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descen
         # exactly one row: a proven size bound
         with_splits = counts.crossJoin(F.broadcast(splits.drop("_gk")))
     v = F.col(value)
-    cmp = (lambda s: s > v) if descending else (lambda s: s < v)
     bucketed = with_splits.withColumn(
         "_b", F.when(v.isNull(), F.lit(buckets))
-               .otherwise(F.coalesce(F.size(F.filter("_splits", cmp)), F.lit(0)))).drop("_splits")
+               .otherwise(_bucket_of(v, F.col("_splits"), buckets - 1, descending))).drop("_splits")
 
     totals = bucketed.groupBy("_gk", "_b").agg(F.sum("_n").alias("_bn"))
     offsets = (totals

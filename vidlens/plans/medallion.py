@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from vidlens import schemas
 from vidlens.operators import clean, filters, rollups, stats
+from vidlens.session import apply_plan_defaults
 from vidlens.sinks import tables
 
 
@@ -123,6 +124,7 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
 
 def run_all(spark: SparkSession, input_path: str, layout: Layout, run_date: str, **gold_kwargs) -> DataFrame:
     """L4: bronze -> silver -> gold, in order."""
+    apply_plan_defaults(spark)
     b = bronze(spark, input_path, layout)
     silver(spark, b, layout)
     return gold(spark, layout, run_date, **gold_kwargs)

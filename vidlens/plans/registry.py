@@ -7,6 +7,7 @@ mapping or directly) so its work grows with them; each has a DuckDB twin in
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from vidlens import schemas
 from vidlens.operators import clean, filters, live, rollups, stats, windows
 from vidlens.plans import oracle as O
+from vidlens.session import apply_plan_defaults
 from vidlens.sources import fixtures
 
 # Fixed run clock for reproducible registered queries.
@@ -27,7 +29,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_plan_defaults(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

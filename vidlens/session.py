@@ -26,6 +26,25 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
+# Plan-shape settings every job here relies on; they change how work is
+# spread, never results. Without the first, an aggregate on (keyword, id) or
+# a window on (keyword, bucket) may reuse an upstream partitioning on keyword
+# alone, and a hot keyword would run whole in one task.
+PLAN_CONF = {
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+DEFAULT_CONF.update(PLAN_CONF)
+
+
+def apply_plan_defaults(spark: SparkSession) -> SparkSession:
+    """Set ``PLAN_CONF`` on a session the caller built."""
+    for k, v in PLAN_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "vidlens", extra: dict | None = None) -> SparkSession:

@@ -69,8 +69,8 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descen
         # one row per group; AQE broadcasts it when the measured size allows
         with_splits = counts.join(splits, "_gk", "left")
     else:
-        # exactly one row: a proven size bound
-        with_splits = counts.crossJoin(F.broadcast(splits.drop("_gk")))
+        # one global row: attached as a scalar subquery (computed once, no join)
+        with_splits = counts.withColumn("_splits", splits.select("_splits").scalar())
     v = F.col(value)
     bucketed = with_splits.withColumn(
         "_b", F.when(v.isNull(), F.lit(buckets))

@@ -1,7 +1,7 @@
 """Statistics of the gold stage: quartiles, IQR outliers, correlations, summary.
 
 Nothing returns to the driver: quartile bounds are one row that re-enters the
-plan by broadcast (a proven size), and the many statistics the reference
+plan as a scalar subquery, and the many statistics the reference
 computes in separate jobs are folded into single aggregations.
 """
 
@@ -49,7 +49,8 @@ def flag_outliers(df: DataFrame, col: str = "view_count", multiplier: float = IQ
     if group:
         j = df.join(b, list(group), "left")      # one row per group; AQE broadcasts when small
     else:
-        j = df.crossJoin(F.broadcast(b))         # exactly one row
+        # one global row: two scalar subqueries, merged and computed once by Spark
+        j = df.withColumn("_lo", b.select("_lo").scalar()).withColumn("_hi", b.select("_hi").scalar())
     v = F.col(col)
     out = j.withColumn(flag, F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), F.lit(False))
                               .otherwise((v < F.col("_lo")) | (v > F.col("_hi"))))

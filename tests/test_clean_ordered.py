@@ -128,3 +128,19 @@ def test_outliers_empty_and_zero_variance(spark):
     assert r.corr_views_engagement is None and r.cov_views_likes == 0.0
     flagged = stats.flag_outliers(const.withColumn("video_id", F.lit("a")).withColumn("keyword", F.lit("k")))
     assert [x.is_outlier_views for x in flagged.collect()] == [False] * 4
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-20, 20))),
+                min_size=0, max_size=60))
+def test_grouped_exact_quantiles_match_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: (r.p10, r.p50, r.p90) for r in
+           ordered.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["p10", "p50", "p90"], ["g"], buckets=4).collect()}
+    for g in {r[0] for r in rows}:
+        vals = sorted(r[1] for r in rows if r[0] == g and r[1] is not None)
+        if not vals:
+            assert g not in got
+            continue
+        expect = tuple(vals[max(1, math.ceil(p * len(vals))) - 1] for p in (0.1, 0.5, 0.9))
+        assert got[g] == expect

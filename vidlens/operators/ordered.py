@@ -1,7 +1,7 @@
 """Positions of values in an order, per group, without one task per group.
 
 ``rank() OVER (PARTITION BY g ORDER BY v)`` and exact ``percentile_disc``
-both need, for each value, how many rows of its group sort before it. A
+both need to know how many rows of a group sort before a value. A
 plain window sends a whole group to one task and ``percentile_disc`` keeps
 every distinct value in one buffer; neither survives a group that holds a
 third of all rows. Here the work is split three ways:
@@ -92,18 +92,48 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descen
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                    group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
     """``percentile_disc``: per group, the value at 1-based position
     ``ceil(p * N)`` of the non-NULL values in ascending order. One row per
-    group (one row in all when ``group`` is empty, NULLs for an empty input)."""
+    group (one row in all when ``group`` is empty, NULLs for an empty input).
+
+    A selection, not a sort: split points from the sketch cut the values into
+    buckets; bucket totals (at most ``buckets`` rows per group) locate the
+    bucket holding each target position; only those buckets' distinct values
+    (ties collapsed map-side) are ordered exactly.
+    """
     group = list(group)
-    pos = value_positions(df.where(F.col(value).isNotNull()), value, group, False, buckets)
-    picks = []
-    for p, name in zip(probs, names):
-        target = F.greatest(F.ceil(F.col("_gsize") * F.lit(p)), F.lit(1))
-        hit = (F.col("_before") < target) & (target <= F.col("_before") + F.col("_n"))
-        picks.append(F.max(F.when(hit, F.col(value))).alias(name))
-    return pos.groupBy(*group).agg(*picks)
+    v = F.col(value)
+    base = df.where(v.isNotNull()).select(*group, value).withColumn("_gk", _group_key(group))
+    probs_b = [i / buckets for i in range(1, buckets)]
+    splits = base.groupBy("_gk").agg(F.percentile_approx(value, probs_b, accuracy).alias("_splits"))
+    if group:
+        with_splits = base.join(splits, "_gk", "left")   # one row per group; AQE broadcasts when small
+    else:
+        with_splits = base.withColumn("_splits", splits.select("_splits").scalar())
+    bucketed = with_splits.select("_gk", *group, value,
+                                  _bucket_of(v, F.col("_splits"), buckets - 1, False).alias("_b"))
+    # distinct values per bucket with their counts: ties collapse map-side
+    per_value = bucketed.groupBy("_gk", *group, "_b", value).agg(F.count(F.lit(1)).alias("_n"))
+    totals = per_value.groupBy("_gk", "_b").agg(F.sum("_n").alias("_bn"))
+    by_bucket = Window.partitionBy("_gk").orderBy("_b")
+    located = (totals
+               .withColumn("_off", F.coalesce(F.sum("_bn").over(
+                   by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .withColumn("_gsize", F.sum("_bn").over(Window.partitionBy("_gk")))
+               .select("_gk", "_b", "_off", "_bn", F.explode(F.array(*[
+                   F.struct(F.lit(n).alias("_q"),
+                            F.greatest(F.ceil(F.col("_gsize") * F.lit(p)), F.lit(1)).alias("_t"))
+                   for p, n in zip(probs, names)])).alias("_target"))
+               .where((F.col("_off") < F.col("_target._t")) & (F.col("_target._t") <= F.col("_off") + F.col("_bn")))
+               .select("_gk", "_b", F.col("_target._q").alias("_q"), (F.col("_target._t") - F.col("_off")).alias("_tin")))
+    # exact order only inside the located buckets
+    wanted = per_value.join(located.select("_gk", "_b").distinct(), ["_gk", "_b"], "left_semi")
+    inside = wanted.withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy("_gk", "_b").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    hits = (inside.join(located, ["_gk", "_b"])
+                  .where((F.col("_before") < F.col("_tin")) & (F.col("_tin") <= F.col("_before") + F.col("_n"))))
+    return hits.groupBy(*group).agg(*[F.max(F.when(F.col("_q") == n, v)).alias(n) for n in names])
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],

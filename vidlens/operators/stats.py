@@ -108,5 +108,5 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
     else:
         qs = approx_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
     # both sides have one row per metric: a bounded broadcast
-    return basic.join(F.broadcast(qs), "metric").select(
+    return basic.join(F.broadcast(qs), "metric", "left").select(
         "metric", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max")

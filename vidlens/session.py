@@ -81,3 +81,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    location and return it read back: cuts the lineage where a result is read
+    several times, and survives lost executors (unlike a cache)."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"vidlens-{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

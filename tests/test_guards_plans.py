@@ -92,7 +92,9 @@ def test_plan_dedup_combines_before_shuffle(spark):
     apply_plan_defaults(spark)
     df = spark.range(0, 1000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("t"))
     plan = _plan(clean.dedup(df, "k", (("t", False),)))
-    assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning(k")
+    # printed top-down: the partial limit (one row per key) sits below the shuffle
+    assert re.search(r"WindowGroupLimit \[k#\d+\].*row_number\(\), 1, Partial", plan)
+    assert plan.index(", 1, Partial") > plan.index("Exchange hashpartitioning(k")
 
 
 def test_plan_cap_limits_before_shuffle(spark):

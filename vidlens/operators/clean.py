@@ -1,8 +1,8 @@
 """Silver cleaning: filters, null rules, de-duplication, per-group caps.
 
-De-duplication is an aggregation, not a window: ``min_by`` over a struct
-ordering key lets Spark combine duplicates map-side (partial aggregation)
-before the shuffle, so a hot ``video_id`` holding a large share of all rows
+De-duplication and caps are ``row_number()`` filters, which Spark plans with a
+partial group limit before the shuffle: every map task forwards at most the
+kept rows of each key, so a hot ``video_id`` holding a large share of all rows
 never reaches one task whole.
 """
 
@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vidlens.functions import features as feat
 from vidlens.functions.casts import safe_bool, safe_timestamp
@@ -44,45 +43,23 @@ def fill_zero_metrics(df: DataFrame, cols: Sequence[str] = ZERO_FILL) -> DataFra
 
 # ---- de-duplication ---------------------------------------------------------
 
-def _descending(c: Column, t: T.DataType) -> Column:
-    """An ascending-comparable image of ``c`` whose order is c's reversed."""
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.bitwise_not(c)           # ~x = -x-1: order-reversing, never overflows
-    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return -c
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.bitwise_not(F.unix_micros(c.cast("timestamp")))
-    if isinstance(t, T.DateType):
-        return F.bitwise_not(F.unix_date(c))
-    if isinstance(t, T.BooleanType):
-        return ~c
-    raise TypeError(f"descending dedup order is not supported on {t.simpleString()}")
-
-
-def order_key(df: DataFrame, order: OrderSpec) -> Column:
-    """A struct that compares like ``ORDER BY c1 [DESC] NULLS LAST, ...``."""
-    fields = []
-    for i, (name, ascending) in enumerate(order):
-        c = F.col(name)
-        fields.append(c.isNull().alias(f"n{i}"))
-        fields.append((c if ascending else _descending(c, df.schema[name].dataType)).alias(f"v{i}"))
-    return F.struct(*fields)
+def _sort(order: OrderSpec):
+    return [F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in order]
 
 
 def dedup(df: DataFrame, keys: str | Sequence[str], order: OrderSpec | None = None) -> DataFrame:
     """One row per key; the first row in ``order`` wins.
 
     ``order=None`` keeps an arbitrary row (the reference's ``dropDuplicates``);
-    a total ``order`` makes the survivor deterministic.
+    a total ``order`` makes the survivor deterministic. ``row_number() = 1``
+    is planned with a partial group limit of one row per key in every map
+    task, below the shuffle, so duplicates are dropped map-side.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order is None:
         return df.dropDuplicates(keys)
-    payload = [c for c in df.columns if c not in keys]
-    won = (df.groupBy(*keys)
-             .agg(F.min_by(F.struct(*payload), order_key(df, order)).alias("_won")))
-    return won.select(*[F.col(k) for k in keys], *[F.col(f"_won.{c}").alias(c) for c in payload]) \
-              .select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*_sort(order))
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def cap_per_group(df: DataFrame, group: str | Sequence[str], order: OrderSpec, cap: int) -> DataFrame:
@@ -92,8 +69,7 @@ def cap_per_group(df: DataFrame, group: str | Sequence[str], order: OrderSpec, c
     the shuffle, so each map task sends at most ``cap`` rows per group.
     """
     group = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*group).orderBy(
-        *[(F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last()) for c, a in order])
+    w = Window.partitionBy(*group).orderBy(*_sort(order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")
 
 

@@ -144,3 +144,15 @@ def test_grouped_exact_quantiles_match_brute_force(spark, rows):
             continue
         expect = tuple(vals[max(1, math.ceil(p * len(vals))) - 1] for p in (0.1, 0.5, 0.9))
         assert got[g] == expect
+
+
+def test_blank_category_option(spark):
+    df = spark.createDataFrame([("v1", "  ", 1)], "video_id string, category_name string, view_count long")
+    for c, t in (("keyword", "string"), ("published_at", "string"), ("has_captions", "string"),
+                 ("licensed_content", "string"), ("title", "string"), ("channel", "string"),
+                 ("like_count", "long"), ("comment_count", "long"), ("tag_count", "int"),
+                 ("duration_seconds", "int")):
+        df = df.withColumn(c, F.lit(None).cast(t))
+    df = df.withColumn("_ingested_at", F.current_timestamp())
+    assert clean.clean_videos(df).first().category_name == "  "
+    assert clean.clean_videos(df, blank_category_as_null=True).first().category_name == "Unknown"

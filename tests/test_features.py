@@ -89,3 +89,9 @@ def test_iso_duration(spark, text, seconds):
 def test_coerce_numeric(spark):
     got = one(spark, coerce_numeric("x"), "x string", ("1.5",), ("abc",), ("inf",), ("-Infinity",), ("NaN",), ("",))
     assert got == [1.5, None, None, None, None, None]
+
+
+@pytest.mark.parametrize("text,seconds", [("P1DT2H", 93600), ("P2D", 172800), ("PT1H", 3600), ("PT1.5S", 0),
+                                          ("P1DT", 86400), ("", 0), (None, 0)])
+def test_iso_duration_with_days(spark, text, seconds):
+    assert one(spark, iso_duration_seconds("d", allow_days=True), "d string", (text,)) == [seconds]

@@ -30,12 +30,24 @@ def coerce_numeric(c: Column | str) -> Column:
 ISO_DURATION_PATTERN = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?"
 
 
-def iso_duration_seconds(c: Column | str) -> Column:
-    """'PT#H#M#S' -> integer seconds; no match, NULL or '' -> 0."""
+# With ``allow_days``: an optional day part, and a 'T' that may be absent.
+ISO_DURATION_DAYS_PATTERN = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?)?$"
+
+
+def iso_duration_seconds(c: Column | str, allow_days: bool = False) -> Column:
+    """'PT#H#M#S' -> integer seconds; no match, NULL or '' -> 0.
+
+    By default a day part gives 0 (the producer's rule); ``allow_days=True``
+    also reads 'P#DT#H#M#S' (whole text, integer parts only).
+    """
     c = _c(c)
+    pattern = ISO_DURATION_DAYS_PATTERN if allow_days else ISO_DURATION_PATTERN
 
     def part(i: int) -> Column:
-        return F.coalesce(F.regexp_extract(c, ISO_DURATION_PATTERN, i).try_cast("long"), F.lit(0))
+        return F.coalesce(F.regexp_extract(c, pattern, i).try_cast("long"), F.lit(0))
 
-    total = part(1) * 3600 + part(2) * 60 + part(3)
+    if allow_days:
+        total = part(1) * 86400 + part(2) * 3600 + part(3) * 60 + part(4)
+    else:
+        total = part(1) * 3600 + part(2) * 60 + part(3)
     return F.coalesce(total.try_cast("int"), F.lit(0))

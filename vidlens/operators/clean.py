@@ -76,13 +76,17 @@ def cap_per_group(df: DataFrame, group: str | Sequence[str], order: OrderSpec, c
 # ---- silver transform -------------------------------------------------------
 
 def clean_videos(df: DataFrame, dedup_order: OrderSpec | None = (("_ingested_at", False),),
-                 etl_date: str | None = None, processed_at: str | None = None) -> DataFrame:
+                 etl_date: str | None = None, processed_at: str | None = None,
+                 blank_category_as_null: bool = False) -> DataFrame:
     """Bronze -> silver rows: P1, D1, safe casts, P12, keyword and text
     normalising, category default, P2, then F1-F3 and the audit columns.
 
     ``etl_date`` / ``processed_at`` default to the run clock; pass fixed values
-    for reproducible output.
+    for reproducible output. The 'Unknown' category replaces NULL only (as the
+    reference); ``blank_category_as_null`` also treats a blank name as missing.
     """
+    if blank_category_as_null:
+        df = df.withColumn("category_name", F.nullif(F.trim("category_name"), F.lit("")))
     df = df.withColumn("published_at_ts", safe_timestamp("published_at"))
     df = drop_blank_ids(df)
     df = dedup(df, "video_id", dedup_order)

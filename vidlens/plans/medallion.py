@@ -11,7 +11,7 @@ import os
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,10 +68,18 @@ def _silver_schema() -> T.StructType:
 SILVER_SCHEMA = _silver_schema()
 
 
+def _log(stage: str, obs: Observation) -> None:
+    # The row count rides on the write (an observed metric), not on an extra job
+    print(f"[{stage}] rows written: {obs.get.get('rows')}")
+
+
 def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: str | None = None) -> DataFrame:
-    """L1: raw CSV -> audit columns -> append to bronze. Returns the landed rows."""
+    """L1: raw CSV -> audit columns -> append to bronze. Returns the whole
+    bronze table (every run's rows; silver de-duplicates across them)."""
+    obs = Observation("bronze")
     df = tables.with_audit(tables.read_video_csv(spark, input_path), ingested_at)
-    tables.append(df, layout.bronze)
+    tables.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), layout.bronze)
+    _log("BRONZE", obs)
     return tables.read_table(spark, layout.bronze, schemas.BRONZE_SCHEMA)
 
 
@@ -81,12 +89,14 @@ def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_orde
 
     Returns the silver table as written (re-read, not recomputed).
     """
+    obs = Observation("silver")
     clean_df = clean.clean_videos(bronze_df, dedup_order, etl_date, processed_at)
-    out = tables.align(clean_df, SILVER_SCHEMA)
+    out = tables.align(clean_df, SILVER_SCHEMA).observe(obs, F.count(F.lit(1)).alias("rows"))
     if tables.table_exists(spark, layout.silver):
         tables.overwrite_partitions(out, layout.silver)
     else:
         tables.overwrite(out, layout.silver)
+    _log("SILVER", obs)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
 

@@ -92,10 +92,8 @@ def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_orde
     obs = Observation("silver")
     clean_df = clean.clean_videos(bronze_df, dedup_order, etl_date, processed_at)
     out = tables.align(clean_df, SILVER_SCHEMA).observe(obs, F.count(F.lit(1)).alias("rows"))
-    if tables.table_exists(spark, layout.silver):
-        tables.overwrite_partitions(out, layout.silver)
-    else:
-        tables.overwrite(out, layout.silver)
+    # creates the table on the first run; later runs replace only their keywords
+    tables.overwrite_partitions(out, layout.silver)
     _log("SILVER", obs)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
@@ -122,9 +120,9 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
     stage = os.path.join(layout.root, "_staging", f"summary-{run_date}-{uuid.uuid4().hex}")
     summary.write.mode("overwrite").parquet(stage)
     staged = spark.read.schema(schemas.SUMMARY_SCHEMA).parquet(stage)
-    if full_refresh or not tables.table_exists(spark, layout.summary):
+    if full_refresh:
         tables.overwrite(staged, layout.summary)
-    else:
+    else:                    # creates the table on the first run
         tables.overwrite_partitions(staged, layout.summary)
     tables.write_history(staged, layout.history, run_date, run_ts)
     if export:

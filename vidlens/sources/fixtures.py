@@ -119,16 +119,3 @@ def video_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("embeddable"),
         F.col("category_name").alias("topicCategories"),
     ).select(*MESSAGE_FIELDS)
-
-
-def event_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as live records: keyword = event_type, views = floor(value*1000)."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("event_id").cast("string").alias("video_id"),
-        F.col("event_type").alias("search_keyword"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.floor(F.col("value") * 1000).cast("long").alias("views"),
-        F.col("user_id").alias("likes"),
-        (F.col("event_id") % 7).alias("comments"),
-    )

@@ -16,12 +16,19 @@ from pyspark.sql import functions as F
 from vidlens.functions import features as feat
 from vidlens.functions.casts import safe_bool, safe_timestamp
 from vidlens.functions.text import normalize_keyword
+from vidlens.schemas import CSV_SCHEMA
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending); NULLs always sort last
 
 # Metrics whose NULL means "no stats" and is filled with 0.
 ZERO_FILL = ("view_count", "like_count", "comment_count", "tag_count", "duration_seconds")
 
+# Default survivor of a duplicate video id: the newest ingest, then the newest
+# publish time, then every raw column -- a total order, so duplicates landed
+# by one run (same ingest time) still resolve the same way every time.
+DEFAULT_DEDUP_ORDER = (("_ingested_at", False), ("published_at_ts", False)) + tuple(
+    (c, True) for c in CSV_SCHEMA.fieldNames() if c != "video_id")
+
 
 # ---- filters ----------------------------------------------------------------
 
@@ -75,7 +82,7 @@ def cap_per_group(df: DataFrame, group: str | Sequence[str], order: OrderSpec, c
 
 # ---- silver transform -------------------------------------------------------
 
-def clean_videos(df: DataFrame, dedup_order: OrderSpec | None = (("_ingested_at", False),),
+def clean_videos(df: DataFrame, dedup_order: OrderSpec | None = DEFAULT_DEDUP_ORDER,
                  etl_date: str | None = None, processed_at: str | None = None,
                  blank_category_as_null: bool = False) -> DataFrame:
     """Bronze -> silver rows: P1, D1, safe casts, P12, keyword and text
@@ -89,6 +96,8 @@ def clean_videos(df: DataFrame, dedup_order: OrderSpec | None = (("_ingested_at"
         df = df.withColumn("category_name", F.nullif(F.trim("category_name"), F.lit("")))
     df = df.withColumn("published_at_ts", safe_timestamp("published_at"))
     df = drop_blank_ids(df)
+    if dedup_order is DEFAULT_DEDUP_ORDER:      # the default applies to the columns present
+        dedup_order = tuple(o for o in dedup_order if o[0] in df.columns)
     df = dedup(df, "video_id", dedup_order)
     df = (df
           .withColumn("has_captions", safe_bool("has_captions"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.operators.ordered import approx_quantiles, exact_quantiles
+from vidlens.operators.ordered import DEFAULT_BUCKETS, approx_quantiles, exact_quantiles
 from vidlens.operators.rollups import fixed_avg
 
 IQR_MULTIPLIER = 1.5  # fixed value of the reference
@@ -20,16 +20,18 @@ SUMMARY_METRICS = ("view_count", "like_count", "comment_count", "engagement_rate
 
 
 def quartiles(df: DataFrame, col: str = "view_count", exact: bool = True,
-              relative_error: float = 0.01, group: Sequence[str] = ()) -> DataFrame:
-    """One row per group (``q1``, ``q3``). Exact = ``percentile_disc``."""
+              relative_error: float = 0.01, group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """One row per group (``q1``, ``q3``). Exact = ``percentile_disc``;
+    ``buckets`` sizes the exact selection (grow it with the data)."""
     if exact:
-        return exact_quantiles(df, col, [0.25, 0.75], ["q1", "q3"], group)
+        return exact_quantiles(df, col, [0.25, 0.75], ["q1", "q3"], group, buckets)
     return approx_quantiles(df, col, [0.25, 0.75], ["q1", "q3"], group, relative_error)
 
 
 def iqr_bounds(df: DataFrame, col: str = "view_count", multiplier: float = IQR_MULTIPLIER,
-               exact: bool = True, relative_error: float = 0.01, group: Sequence[str] = ()) -> DataFrame:
-    q = quartiles(df, col, exact, relative_error, group)
+               exact: bool = True, relative_error: float = 0.01, group: Sequence[str] = (),
+               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    q = quartiles(df, col, exact, relative_error, group, buckets)
     iqr = F.col("q3") - F.col("q1")
     return q.select(*group, "q1", "q3",
                     (F.col("q1") - multiplier * iqr).alias("lower_bound"),
@@ -38,13 +40,13 @@ def iqr_bounds(df: DataFrame, col: str = "view_count", multiplier: float = IQR_M
 
 def flag_outliers(df: DataFrame, col: str = "view_count", multiplier: float = IQR_MULTIPLIER,
                   exact: bool = True, relative_error: float = 0.01, group: Sequence[str] = (),
-                  flag: str = "is_outlier_views") -> DataFrame:
+                  flag: str = "is_outlier_views", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """F4 + J2: ``flag`` = value strictly outside the IQR fences.
 
     Bounds are global by default (as the reference); ``group`` computes them
     per group. An empty input gets no bounds and every flag is False.
     """
-    b = iqr_bounds(df, col, multiplier, exact, relative_error, group).select(
+    b = iqr_bounds(df, col, multiplier, exact, relative_error, group, buckets).select(
         *group, F.col("lower_bound").alias("_lo"), F.col("upper_bound").alias("_hi"))
     if group:
         j = df.join(b, list(group), "left")      # one row per group; AQE broadcasts when small
@@ -88,7 +90,8 @@ def metric_correlations(df: DataFrame, digits: int = 6) -> DataFrame:
         F.round(F.covar_samp("view_count", "like_count"), 2).alias("cov_views_likes"))
 
 
-def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exact: bool = True) -> DataFrame:
+def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exact: bool = True,
+                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """A7, typed: one row per metric with count, mean, stddev, min, quartiles, max.
 
     The metrics are unpivoted (a projection, no shuffle) so one grouped
@@ -104,7 +107,7 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
         F.min("value").alias("min"),
         F.max("value").alias("max"))
     if exact:
-        qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
+        qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"], buckets)
     else:
         qs = approx_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
     # both sides have one row per metric: a bounded broadcast

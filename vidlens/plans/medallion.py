@@ -83,7 +83,7 @@ def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: st
     return tables.read_table(spark, layout.bronze, schemas.BRONZE_SCHEMA)
 
 
-def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_order=(("_ingested_at", False),),
+def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_order=clean.DEFAULT_DEDUP_ORDER,
            etl_date: str | None = None, processed_at: str | None = None) -> DataFrame:
     """L2: clean -> scoped overwrite of the keyword partitions in this batch.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vidlens import schemas
 from vidlens.functions.casts import coerce_numeric, iso_duration_seconds
-from vidlens.operators import live, rollups, stats
+from vidlens.operators import clean, live, rollups, stats
 from vidlens.plans import medallion
 from vidlens.plans import oracle as O
 from vidlens.plans.registry import AS_OF, RUN_TS, flagged, register, silver, with_flagged
@@ -37,10 +37,9 @@ FROM flagged GROUP BY keyword, category_name"""
 
 # ---- medallion end to end (L1-L4, S1-S9, S14) ------------------------------------
 
-# A total order over every raw column: the run stamps one _ingested_at, so the
-# newest-ingest rule alone would leave the survivor of a duplicate id open.
-E2E_ORDER = (("_ingested_at", False), ("published_at_ts", False)) + tuple(
-    (c, True) for c in schemas.CSV_SCHEMA.fieldNames() if c != "video_id")
+# The medallion's default dedup order (total: ingest time, publish time, then
+# every raw column), spelled out in SQL below.
+E2E_ORDER = clean.DEFAULT_DEDUP_ORDER
 E2E_ORDER_SQL = "published_at_ts DESC NULLS LAST, " + ", ".join(
     f"{c} ASC NULLS LAST" for c in schemas.CSV_SCHEMA.fieldNames() if c != "video_id")
 

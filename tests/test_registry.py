@@ -54,3 +54,9 @@ def test_query_matches_duckdb(spark, duck, name):
     idx = [names.index(c) for c in cols]
     theirs = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert mine == theirs
+
+
+def test_registered_queries_apply_plan_settings(spark):
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "false")
+    E.queries()["distinct_keywords"](spark, SF)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForDistribution") == "true"

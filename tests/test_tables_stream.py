@@ -83,3 +83,22 @@ def test_stream_equals_batch_and_restart_adds_nothing_twice(spark, tmp_dir):
         *schemas.LIVE_ANALYTICS_COLUMNS).collect()), key=repr)
     assert got_an == expect_an
     assert stream.read_raw_output(spark, layout).count() == raw.count()
+
+
+def test_read_video_csv_permissive(spark, tmp_dir):
+    header = ",".join(schemas.CSV_SCHEMA.fieldNames())
+    good = ('v1,"Director\'s ""Cut""",ch,2024-01-01T00:00:00Z,ai,yt,10,2,1,"line one\nline two",61,long,'
+            '22,Music,a|b,2,true,hd,false')
+    bad_number = "v2,t,ch,2024-01-01,ai,yt,lots,2,1,d,30,short,22,Music,,0,no,hd,true"
+    short_row = "v3,t,ch"
+    os.makedirs(tmp_dir)
+    with open(f"{tmp_dir}/videos.csv", "w", encoding="utf-8") as f:
+        f.write("\n".join([header, good, bad_number, short_row]) + "\n")
+    rows = {r.video_id: r for r in tables.read_video_csv(spark, f"{tmp_dir}/videos.csv").collect()}
+    assert set(rows) == {"v1", "v2", "v3"}
+    assert rows["v1"].title == 'Director\'s "Cut"' and rows["v1"].description == "line one\nline two"
+    assert rows["v1"].view_count == 10 and rows["v1"].duration_seconds == 61
+    assert rows["v2"].view_count is None and rows["v2"].like_count == 2      # bad cell -> NULL, row kept
+    assert rows["v3"].channel == "ch" and rows["v3"].keyword is None          # short row -> NULL tail
+    audited = tables.with_audit(tables.read_video_csv(spark, f"{tmp_dir}/videos.csv"), "2002-01-01 00:00:00")
+    assert {r._source_file.endswith("videos.csv") for r in audited.collect()} == {True}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vidlens.session import apply_plan_defaults, materialize
 
-__all__ = ["connected_components", "crc_mod", "materialize", "table"]
+__all__ = ["connected_components", "crc_mod", "materialize", "prepare", "table"]
 
 
 _SHIPPED: set[str] = set()
@@ -32,9 +32,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> SparkSession:
+    """The plan settings and the source that every job here relies on."""
     apply_plan_defaults(spark)
     ship(spark)
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -150,8 +150,8 @@ def learn(docs: DataFrame, label: str = "lang", per_label: int = 3000, dim: int
     return labels, (protos / np.where(norms > 0, norms, 1)).astype(np.float32)
 
 
-def predict(docs: DataFrame, labels: list[str], protos: np.ndarray, n: int = N) -> DataFrame:
-    """docs with lang_pred and score added: the nearest prototype and its cosine, 0 at least.
+def judge(docs: DataFrame, labels: list[str], protos: np.ndarray, n: int = N) -> DataFrame:
+    """docs with ``__lang`` (lang_pred, score) added: the nearest prototype and its cosine, 0 at least.
 
     ``und`` with score 0 for a null text, a text without letters, and for all
     texts when no label was learned. Of equal cosines the first label in order wins.
@@ -169,7 +169,7 @@ def predict(docs: DataFrame, labels: list[str], protos: np.ndarray, n: int = N)
             out.append((labels[k], float(min(1.0, max(0.0, cos[k])))))
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    return docs.withColumn("__lang", classify("text")).select(*docs.columns, "__lang.lang_pred", "__lang.score")
+    return docs.withColumn("__lang", classify("text"))
 
 
 def language_id(docs: DataFrame, held_out) -> DataFrame:
@@ -179,8 +179,8 @@ def language_id(docs: DataFrame, held_out) -> DataFrame:
     """
     base = docs.select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     labels, protos = learn(base.where(~F.col("held_out")))
-    return (predict(base.select("doc_id", "held_out", "text"), labels, protos)
-            .select("doc_id", "held_out", "lang_pred", "score"))
+    return (judge(base.select("doc_id", "held_out", "text"), labels, protos)
+            .select("doc_id", "held_out", "__lang.lang_pred", "__lang.score"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

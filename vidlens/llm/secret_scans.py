@@ -172,6 +172,31 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", scan("text").alias("spans"))
 
 
+def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
+    """docs with every span of ``find_secrets`` replaced by the mask; overlapping spans by one.
+
+    Rows, order of columns and texts without a span stay; n_chars, where
+    there is such a column, becomes the new length of changed texts.
+    """
+    @F.pandas_udf("string")
+    def clean(s: pd.Series) -> pd.Series:
+        def one(t):
+            out, at = [], 0
+            for _, start, end in spans(t) if t else ():
+                if start >= at:
+                    out += [t[at:start], mask]
+                at = max(at, end)
+            return "".join(out) + t[at:] if out else t
+        return s.map(one)
+
+    changed = docs.withColumn("__clean", clean("text"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.when(F.col("__clean") != F.col("text"), F.char_length("__clean").cast(kind))
+                                     .otherwise(F.col("n_chars")))
+    return changed.withColumn("text", F.col("__clean")).select(*docs.columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from ``find_secrets`` rows."""
     def line(a):

@@ -1,0 +1,281 @@
+import base64
+import collections
+import json
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pyarrow as pa
+import pytest
+
+from pyspark.sql import functions as F
+from vidlens.llm import (decontamination, jaccard_join, language_id, license_scans, lm_scoring, packing, secret_scans,
+                         substring_dedup, token_counts)
+from vidlens.llm.common import connected_components, crc_mod, prepare
+from vidlens.llm.words import word_hashes
+
+LOW = {i: i + 32 for i in range(65, 91)}
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(autouse=True)
+def ready(spark):
+    prepare(spark)
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW))
+
+
+def test_word_hashes_match_words():
+    t = ["Ab cd\x0bab", None, "", " x ", "é É é", "long" * 1000 + " A a"]
+    h, first = word_hashes(pa.array(t))
+    w = [words(x) for x in t]
+    assert np.diff(first).tolist() == [len(x) for x in w]
+    flat = [x for y in w for x in y]
+    assert len(set(h.tolist())) == len(set(flat)) and len(set(zip(flat, h.tolist()))) == len(set(flat))
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+def test_packing_is_exact_and_tight(odd, none):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rows = [r.asDict() for r in packing.pack_documents(odd, capacity=64, groups=4).collect()]
+    want = []
+    for i, t in texts(odd):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        want += [(str(i), k, s, len(x), zlib.crc32(np.array(x, "<u4").tobytes()))
+                 for k, s in enumerate(range(0, len(ids), 64)) for x in [ids[s:s + 64]]]
+    assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(want)
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(by) <= 1.1 * math.ceil(sum(r["length"] for r in rows) / 64) + 3
+    assert packing.pack_documents(none).count() == 0
+
+
+def test_plan_uses_every_length_once():
+    rng = np.random.default_rng(5)
+    hist = np.bincount(rng.integers(1, 101, 5000), minlength=101)
+    sizes, counts, _ = packing.group_lengths(hist, 12, 20)
+    plan = packing.configurations(sizes, counts, 100)
+    used = collections.Counter()
+    for config, times in plan:
+        assert sum(int(sizes[g]) * k for g, k in config.items()) <= 100
+        for g, k in config.items():
+            used[g] += k * times
+    assert [used[g] for g in range(len(counts))] == counts.tolist()
+    cohorts, _ = packing.fill_small(np.bincount(rng.integers(0, 30, 200), minlength=101), np.where(np.arange(101) <= 12, hist, 0), 100)
+    placed = collections.Counter()
+    for space, _, n, content in cohorts:
+        assert sum(length * k for length, k in content.items()) <= (100 if space < 0 else space)
+        for length, k in content.items():
+            placed[length] += n * k
+    assert all(placed[x] == hist[x] for x in range(1, 13))
+
+
+def test_word_ids_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+    t = ["Don't stop, e.g. 3.14!!", "<|endoftext|> <|EndOfText|> a", None, "", "Été É. ﬁn…  x", "a.b.c, d;; (e.)", "ß ẞ İ Σ."]
+    ids, first = packing.token_ids(pa.array(t), packing.WordMemo(P.path("word_bpe_49k.json"), size=8))
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [tok.encode(x or "", add_special_tokens=False).ids for x in t]
+
+
+def brute_components(rows, k, percent):
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append({tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    comp = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and comp[a] != comp[b]:
+                comp = [comp[b] if c == comp[a] else c for c in comp]
+    least = {c: min((rows[i][0] for i in range(len(rows)) if comp[i] == c and rows[i][0] is not None), default=None) for c in set(comp)}
+    return sorted(((str(i), len(s), str(least[c])) for (i, _), s, c in zip(rows, sets, comp)))
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_components_equal_brute_force(spark, odd, none, k, percent):
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in rng.integers(0, 4000, 120)]
+    rows = []
+    for i in range(90):
+        w = list(base if i % 3 else [f"v{x}" for x in rng.integers(0, 9000, 60)])
+        for at in rng.integers(0, len(w), rng.integers(0, 9)):
+            w[at] = f"z{rng.integers(0, 50)}"
+        rows.append((1000 + i, " ".join(w[: len(w) - int(rng.integers(0, 6))])))
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = jaccard_join.jaccard_components(docs, k, percent).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(texts(docs), k, percent)
+    assert jaccard_join.jaccard_components(none).count() == 0
+
+
+def test_licenses(spark, odd, none):
+    notice = license_scans.TEMPLATES[0][1]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([
+        (50, "Under the MIT-License; the mit license.\nCC BY NC!"), (51, f"x\n{notice.upper()} extra words\ny"),
+        (52, "apache license version 20"), (53, " ".join(notice.split()[:9]))], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in license_scans.license_scan(docs).collect()}
+    assert got[50][2:7] == (3, 2, 8, "cc-by-nc,mit", "cc-by-nc,mit") or got[50]["n_base"] == 3
+    assert (got[50]["first_word"], got[50]["last_word"], got[50]["base_labels"]) == (2, 7, "cc-by-nc,mit")
+    assert (got[51]["labels"], got[51]["base_labels"], got[51]["score"]) == ("mit", "", 1.0)
+    assert got[52]["n_base"] == 0 and got[53]["labels"] == "" and got[53]["score"] == 0.0
+    assert (got[12]["n_words"], got[12]["first_word"], got[12]["score"]) == (0, None, 0.0)
+    assert license_scans.license_scan(docs).count() == docs.count()
+    assert license_scans.license_scan(none).count() == 0
+
+
+def test_decontamination_finds_passages_and_spares_others(spark, odd, none):
+    item = [f"q{i}" for i in range(40)]
+    near = item[:38] + ["other", "end"]
+    bench = spark.createDataFrame([(1, " ".join(item).upper() + "!"), (2, "too short"), (3, None), (4, "")], "item_id long, text string")
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([
+        (60, "a b c " + ", ".join(item) + " d e f"), (61, "x " + " ".join(near) + " y"), (62, " ".join(item[:20])),
+        (63, " ".join(reversed(item)))], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in decontamination.contaminated(docs, bench).collect()}
+    assert set(got) == {60, 61} and got[60]["similarity"] == 1.0 and got[60]["start_word"] == 3
+    assert abs(got[61]["similarity"] - 34 / 38) < 0.2
+    assert decontamination.contaminated(none, bench).count() == 0
+    assert decontamination.contaminated(docs, bench.where("false")).count() == 0
+
+
+def test_block_index_reaches_the_radius():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        flips = rng.choice(64, decontamination.RADIUS, replace=False)
+        x = sum(1 << int(b) for b in flips)
+        assert any(((x >> at) & ((1 << bits) - 1)) in set(decontamination.masks(bits)) for at, bits in decontamination.BLOCKS)
+
+
+def test_language_profiles(odd, none):
+    got = language_id.language_id(odd, crc_mod("doc_id", 4) == 2).collect()
+    pred = {r["doc_id"]: r["lang_pred"] for r in got}
+    assert len(got) == odd.count() and pred[12] == pred[13] == pred[14] == pred[17] == "und"
+    assert pred[10] == "en" and pred[16] == "fr" and all(0 <= r["score"] <= 1 for r in got)
+    assert language_id.language_id(none, F.lit(False)).count() == 0
+    assert {r["lang_pred"] for r in language_id.language_id(odd.withColumn("lang", F.lit(None).cast("string")), F.lit(False)).collect()} == {"und"}
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.language_id(docs, crc_mod("doc_id", 4) == 2).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    assert got.where("lang_pred = lang").count() >= 0.98 * got.count()
+
+
+def test_ngrams_of_chunks_equal_those_of_the_whole():
+    t = "Ab, cd! é" * 50 + "  tail"
+    a, b = language_id.ngram_counts(t), language_id.ngram_counts(t, chunk=7)
+    assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+
+
+def test_repeated_runs(spark, odd, none):
+    passage = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu. Xi omicron pi rho sigma tau upsilon phi chi psi omega one two."
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([
+        (70, f"Start here now. {passage}"), (71, f"Other words lead.\n{passage.upper()} And the end."), (72, "Clean words only here.")],
+        "doc_id long, text string"))
+    runs = substring_dedup.repeated_runs(docs, min_words=20)
+    got = {r["doc_id"]: r for r in runs.collect()}
+    text = dict(texts(docs))[71]
+    assert text[got[71]["start"]:got[71]["end"]].strip() == passage.upper() and got[71]["first_doc_id"] == 70
+    assert 70 not in got and 72 not in got
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.remove_runs(docs, runs).collect()}
+    assert "ALPHA" not in left[71] and left[71].endswith("And the end.") and left[70] == dict(texts(docs))[70] and left[12] is None
+    assert substring_dedup.repeated_runs(none).count() == 0
+
+
+def test_token_counts_equal_the_library(odd, none):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    got = token_counts.token_counts(odd).collect()
+    want = collections.Counter((i, len((t or "").encode()), len(sp.encode(t or ""))) for i, t in texts(odd))
+    assert collections.Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got) == want
+    assert all(r["over_limit"] == (r["n_tokens"] > 4096) for r in got)
+    assert token_counts.token_counts(none).count() == 0
+    edge = ["", " ", "  ", "a ", "▁x", " ▁ a\n b  ", "a▁▁", "<s> </s>", "\x00 \x00", "日本 語\U0001F600", "a" * 500]
+    assert token_counts.count_tokens(edge, P.path("piece_bpe_32k.model"), {}) == [len(x) for x in sp.encode(edge)]
+
+
+def der(tag, body):
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x82, n >> 8, n & 255])) + body
+
+
+def test_secrets(odd, none):
+    rsa = der(0x30, b"".join(der(2, x) for x in [b"\0", *[bytes([1 + i]) * 40 for i in range(8)]]))
+    b64 = base64.b64encode(rsa).decode()
+    url = lambda o: base64.urlsafe_b64encode(json.dumps(o).encode()).decode().rstrip("=")
+    jwt = f"{url({'alg': 'HS256'})}.{url({'sub': 'somebody'})}.abc"
+    kinds = lambda t: [k for k, _, _ in secret_scans.spans(t)]
+    assert kinds(f"key {b64} end") == ["key"] and kinds(f"key {rsa.hex()} end") == ["hex", "key"]
+    assert kinds(f"x {jwt} y") == ["token"] and kinds("x " + jwt.replace("ey", "az", 1)) == []
+    assert kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{b64}\n-----END RSA PRIVATE KEY-----")[0] == "pem"
+    broken = bytearray(rsa)
+    broken[8] += 1
+    assert kinds(base64.b64encode(bytes(broken)).decode()) == []
+    assert secret_scans.spans('é Token = "abcdefgh1" password: short AKIA0123456789AB') == [("assign", 2, 20), ("access", 38, 54)]
+    assert kinds("secret: token:abcdefgh1") == []
+    found = secret_scans.digest(secret_scans.find_secrets(odd)).collect()
+    assert len(found) == odd.count() and secret_scans.find_secrets(none).count() == 0
+    assert {r["spans"] for r in found} == {""} and secret_scans.redact(odd).columns == odd.columns
+
+
+def test_lm_scores_equal_brute_force(odd, none):
+    held = crc_mod("doc_id", 7) == 2
+    got = lm_scoring.lm_scores(odd, held, prior=4.0, shard_tokens=3000).collect()
+    one, two, n = collections.Counter(), collections.Counter(), 0
+    for i, t in texts(odd):
+        if i is None or zlib.crc32(str(i).encode()) % 7 != 2:
+            w = [*words(t), "</s>"]
+            one.update(w)
+            two.update(zip(["<s>", *w], w))
+            n += 1
+    total, v = sum(one.values()), len(one)
+    want = []
+    for i, t in texts(odd):
+        w = [*words(t), "</s>"]
+        p = {x: (one[x] + 1) / (total + v + 1) for x in w}
+        score = sum(math.log10((two[a, b] + 4 * p[b]) / ((one[a] if a != "<s>" else n) + 4)) for a, b in zip(["<s>", *w], w))
+        want.append((str(i), len(w), sum(one[x] > 0 for x in w), sum(math.log10(p[x]) for x in w), score))
+    rows = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got)
+    for a, b in zip(rows, sorted(want), strict=True):
+        assert a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-9) and math.isclose(a[4], b[4], rel_tol=1e-3, abs_tol=0.05)
+    assert {r["train_tokens"] for r in got} == {total}
+    assert lm_scoring.lm_scores(none, held).count() == 0
+
+
+def test_elias_fano_and_mapped_trie(tmp_path):
+    rng = np.random.default_rng(2)
+    for n, u in ((0, 10), (1, 1), (500, 700), (500, 1 << 40)):
+        values = np.sort(rng.integers(0, u, n).astype(np.uint64))
+        ef = lm_scoring.EliasFano.encode(values, u)
+        assert ef[np.arange(n)].tolist() == values.tolist()
+        x = rng.integers(0, u, 300).astype(np.uint64)
+        at = ef.successor(x)
+        assert all((values[i] if i < n else u) == min((v for v in values if v >= y), default=u) for i, y in zip(at, x))
+    pairs = np.unique(rng.integers(0, 50, (300, 2)), axis=0)
+    gain = rng.random(len(pairs))
+    trie = lm_scoring.Trie.build(np.arange(100, 150, dtype=np.uint64), pairs[:, 0], pairs[:, 1].astype(np.uint32), gain)
+    (tmp_path / "trie").write_bytes(trie.to_bytes())
+    mapped = lm_scoring.Trie.from_buffer(np.memmap(tmp_path / "trie", dtype=np.uint8, mode="r"))
+    table = {tuple(p): g for p, g in zip(pairs.tolist(), gain)}
+    q = rng.integers(0, 50, (400, 2))
+    got = mapped.gain(q[:, 0], q[:, 1].astype(np.uint32))
+    assert all(abs(g - table.get(tuple(k), 0)) < 0.01 for g, k in zip(got, q.tolist()))

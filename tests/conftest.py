@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,8 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from vidlens.session import get_session
     s = get_session("local[4]", 4, app_name="vidlens-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vidlens-tests-"))
     yield s
     s.stop()
 

@@ -112,3 +112,32 @@ def test_plan_bucket_window_is_not_keyed_by_keyword_alone(spark):
     plan = _plan(windows.keyword_windows(df))
     # the in-bucket window is fed by a shuffle on (keyword group, bucket)
     assert re.search(r"hashpartitioning\(_gk#\d+, _b#\d+", plan)
+
+
+def test_keyword_terms_keep_commas_of_lists_and_refuse_blanks():
+    assert filters.keyword_terms(["Rock, Paper", " "]) == ["rock, paper"]
+    assert filters.keyword_terms("a, b") == ["a", "b"] and filters.keyword_terms(None) == []
+    for blank in (" , ", [" "]):
+        with pytest.raises(ValueError):
+            filters.keyword_terms(blank)
+
+
+def test_keyword_filter_prunes_partitions_and_pushes_views(spark):
+    from vidlens.plans import registry
+    table = registry.partitioned_silver(spark, "/root/testdata/sf0.001")
+    plan = filters.read_gold_input(table, 100, "economy")._jdf.queryExecution().executedPlan().toString()
+    part = plan[plan.index("PartitionFilters"):]
+    assert "economy" in part[:part.index("PushedFilters")] and "GreaterThanOrEqual(view_count,100)" in part
+
+
+def test_metric_summary_counts_before_it_shuffles(spark):
+    df = spark.range(500).select(*[(F.col("id") * i).cast("double").alias(m) for i, m in enumerate(stats.SUMMARY_METRICS)])
+    plan = stats.metric_summary(df)._jdf.queryExecution().sparkPlan().toString()
+    lines = [x.strip(" :+-*") for x in plan.splitlines()]
+    assert not any(a.startswith("Exchange") and b.startswith("Generate") for a, b in zip(lines, lines[1:]))
+
+
+def test_zero_error_quantiles_are_exact_beyond_any_sketch(spark):
+    df = spark.range(0, 1_200_000).select((F.col("id") * 7919 % 1_200_007).alias("view_count"))
+    e, a = stats.quartiles(df).first(), stats.quartiles(df, exact=False, relative_error=0).first()
+    assert (e.q1, e.q3) == (a.q1, a.q3)

@@ -71,6 +71,7 @@ def test_stream_equals_batch_and_restart_adds_nothing_twice(spark, tmp_dir):
     for f in files[2:]:
         os.link(f"{tmp_dir}/all/{f}", f"{src}/{f}")
     stream.await_all(stream.start_live(stream.file_source(spark, src), layout, "STANDARD", None, "2002-01-01"))
+    stream.refresh_analytics(spark, layout, "2002-01-01")
 
     raw = live.raw_output(fixtures.video_messages(spark, sf))
     feats = live.live_features(raw, "2002-01-01")
@@ -102,3 +103,49 @@ def test_read_video_csv_permissive(spark, tmp_dir):
     assert rows["v3"].channel == "ch" and rows["v3"].keyword is None          # short row -> NULL tail
     audited = tables.with_audit(tables.read_video_csv(spark, f"{tmp_dir}/videos.csv"), "2002-01-01 00:00:00")
     assert {r._source_file.endswith("videos.csv") for r in audited.collect()} == {True}
+
+
+def test_a_new_checkpoint_keeps_earlier_runs_and_a_replay_overwrites_itself(spark, tmp_dir):
+    sf = "/root/testdata/sf0.001"
+    _write_message_files(spark, f"{tmp_dir}/src", sf, files=2)
+    layout = stream.LiveLayout(f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    rows = live.raw_output(fixtures.video_messages(spark, sf)).count()
+    stream.await_all(stream.start_live(stream.file_source(spark, f"{tmp_dir}/src"), layout, None, None))
+    assert stream.landed_rows(spark, layout).count() == rows
+    # failure between landing and rebuild: the same batch lands again under the same ids
+    batch = stream.landed_rows(spark, layout).limit(10)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "replayed")
+    try:
+        stream.land(layout)(batch, 3)
+        stream.land(layout)(batch, 3)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert stream.landed_rows(spark, layout).count() == rows + 10
+    other = stream.LiveLayout(f"{tmp_dir}/out", f"{tmp_dir}/ckpt2")
+    stream.await_all(stream.start_live(stream.file_source(spark, f"{tmp_dir}/src"), other, None, None))
+    assert stream.landed_rows(spark, layout).count() == 2 * rows + 10
+
+
+def test_partitioned_write_makes_few_files_and_history_is_retry_safe(spark, tmp_dir):
+    df = spark.range(0, 4000, 1, 16).select(F.col("id").alias("v"), (F.col("id") % 5).cast("string").alias("keyword"))
+    tables.overwrite(df, f"{tmp_dir}/t")
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/t") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 10
+    for _ in range(2):
+        tables.write_history(df, f"{tmp_dir}/h", "2002-01-01", "2002-01-01 00:00:00")
+    assert spark.read.parquet(f"{tmp_dir}/h").count() == 4000
+
+
+def test_missing_topic_starts_nothing(spark):
+    assert stream.kafka_source(spark, "host:1", "t", topic_exists=lambda t: False) is None
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    import pytest
+
+    from vidlens.session import local_scratch
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        local_scratch("spark://host:7077", "app")
+    with pytest.raises(RuntimeError):
+        local_scratch("local-cluster[3,2,1000]", "app")
+    assert local_scratch("local[4]", "app") == local_scratch("local[4]", "app")

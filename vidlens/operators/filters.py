@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.functions.text import parse_keyword_list
+from vidlens.functions.text import normalize_keyword_text, parse_keyword_list
 
 
 def min_views_filter(df: DataFrame, min_views: int = 0, col: str = "view_count") -> DataFrame:
@@ -22,13 +22,25 @@ def min_views_filter(df: DataFrame, min_views: int = 0, col: str = "view_count")
     return df.filter(F.col(col) >= min_views)
 
 
+def keyword_terms(keyword: str | list[str] | None) -> list[str]:
+    """Cleaned terms of a comma list, or of a list whose members may hold commas.
+
+    No filter gives []; a filter of blanks only is refused, as it would return everything.
+    """
+    if isinstance(keyword, (list, tuple)):
+        terms = [t for t in map(normalize_keyword_text, keyword) if t]
+    else:
+        terms = parse_keyword_list(keyword)
+    if keyword and not terms:
+        raise ValueError(f"keyword filter {keyword!r} holds no keyword")
+    return terms
+
+
 def keyword_filter(df: DataFrame, keyword: str | list[str] | None = None, mode: str = "exact",
                    col: str = "keyword") -> DataFrame:
     """P4 (exact, ``isin``) or P5 (substring, OR over terms). ``keyword`` is a
     comma list or a list; terms are normalised like stored keywords."""
-    if isinstance(keyword, (list, tuple)):
-        keyword = ",".join(keyword)
-    terms = parse_keyword_list(keyword)
+    terms = keyword_terms(keyword)
     if not terms:
         return df
     if mode == "contains":
@@ -46,7 +58,7 @@ def require_match(filtered: DataFrame, source: DataFrame, keyword, mode: str = "
                   col: str = "keyword", sample: int = 20) -> DataFrame:
     """Raise when a keyword filter matched nothing, naming up to ``sample``
     keywords that do exist (a bounded pull, never the whole table)."""
-    terms = parse_keyword_list(",".join(keyword) if isinstance(keyword, (list, tuple)) else keyword)
+    terms = keyword_terms(keyword)
     if terms and filtered.isEmpty():
         present = [r[0] for r in source.select(col).distinct().limit(sample).collect()]
         raise NoKeywordMatch(f"no rows matched keyword(s) {terms} in {mode} mode; "

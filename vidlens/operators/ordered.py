@@ -33,7 +33,7 @@ def _group_key(group: Sequence[str]):
     return F.struct(*[F.col(c) for c in group]) if group else F.lit(0)
 
 
-def _bucket_of(v, splits, n: int, descending: bool):
+def bucket_of(v, splits, n: int, descending: bool):
     """Bucket of ``v`` among ``n`` ascending split points, as a binary search
     unrolled into a ``when`` tree (code-generated, log2(n) comparisons):
     ascending -> number of splits < v; descending -> number of splits > v.
@@ -74,7 +74,7 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descen
     v = F.col(value)
     bucketed = with_splits.withColumn(
         "_b", F.when(v.isNull(), F.lit(buckets))
-               .otherwise(_bucket_of(v, F.col("_splits"), buckets - 1, descending))).drop("_splits")
+               .otherwise(bucket_of(v, F.col("_splits"), buckets - 1, descending))).drop("_splits")
 
     totals = bucketed.groupBy("_gk", "_b").agg(F.sum("_n").alias("_bn"))
     offsets = (totals
@@ -112,7 +112,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Se
     else:
         with_splits = base.withColumn("_splits", splits.select("_splits").scalar())
     bucketed = with_splits.select("_gk", *group, value,
-                                  _bucket_of(v, F.col("_splits"), buckets - 1, False).alias("_b"))
+                                  bucket_of(v, F.col("_splits"), buckets - 1, False).alias("_b"))
+    return select_quantiles(bucketed, value, probs, names, group)
+
+
+def select_quantiles(bucketed: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
+                     group: Sequence[str] = ()) -> DataFrame:
+    """The quantiles of rows that have their group key ``_gk`` and bucket ``_b``."""
+    v = F.col(value)
     # distinct values per bucket with their counts: ties collapse map-side
     per_value = bucketed.groupBy("_gk", *group, "_b", value).agg(F.count(F.lit(1)).alias("_n"))
     totals = per_value.groupBy("_gk", "_b").agg(F.sum("_n").alias("_bn"))
@@ -138,8 +145,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Se
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
                      group: Sequence[str] = (), relative_error: float = 0.01) -> DataFrame:
-    """The reference's ``approxQuantile`` semantics in-plan (bounded sketch)."""
-    acc = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
+    """The reference's ``approxQuantile`` semantics in-plan (bounded sketch);
+    an error of 0 means exact at any size."""
+    if relative_error <= 0:
+        return exact_quantiles(df, value, probs, names, group)
+    acc = max(1, int(round(1.0 / relative_error)))
     q = F.percentile_approx(value, list(probs), acc)
     out = df.groupBy(*group).agg(q.alias("_q"))
     return out.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

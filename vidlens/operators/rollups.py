@@ -62,16 +62,21 @@ def keyword_category_summary(df: DataFrame, outlier_col: str | None = "is_outlie
         aggs.append(F.count_if(F.col(outlier_col)).alias("outlier_video_count"))
     else:
         aggs.append(F.lit(None).cast("long").alias("outlier_video_count"))
-    return (df.groupBy("keyword", "category_name").agg(*aggs)
-              .orderBy(F.desc("total_views"), F.asc_nulls_last("keyword"), F.asc_nulls_last("category_name")))
+    return df.groupBy("keyword", "category_name").agg(*aggs)
 
 
-def distinct_keywords(df: DataFrame, n: int | None = None) -> DataFrame:
-    """D4 (+ O5 with ``n``): distinct keywords, sorted."""
-    out = df.select("keyword").distinct().orderBy(F.asc_nulls_last("keyword"))
+def summary_report(summary: DataFrame, n: int | None = None) -> DataFrame:
+    """O3: the summary by total views, largest first; the first ``n`` rows if given."""
+    out = summary.orderBy(F.desc("total_views"), F.asc_nulls_last("keyword"), F.asc_nulls_last("category_name"))
     return out.limit(n) if n else out
 
 
+def distinct_keywords(df: DataFrame, n: int | None = None) -> DataFrame:
+    """All distinct keywords, in no order; with ``n`` (O5) the first ``n`` in order."""
+    out = df.select("keyword").distinct()
+    return out.orderBy(F.asc_nulls_last("keyword")).limit(n) if n else out
+
+
 def keyword_popularity(df: DataFrame, primary_keyword: str | None = None) -> DataFrame:
     """A6 + F13: live keyword totals over feature rows."""
     return (df.groupBy("search_keyword").agg(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.operators.ordered import DEFAULT_BUCKETS, approx_quantiles, exact_quantiles
+from vidlens.operators.ordered import DEFAULT_BUCKETS, approx_quantiles, bucket_of, exact_quantiles, select_quantiles
 from vidlens.operators.rollups import fixed_avg
 
 IQR_MULTIPLIER = 1.5  # fixed value of the reference
@@ -107,7 +107,19 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
         F.min("value").alias("min"),
         F.max("value").alias("max"))
     if exact:
-        qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"], buckets)
+        # The split points of all metrics are one row, attached as a scalar: the
+        # unpivoted rows are counted before they are shuffled, and no join by
+        # metric brings all of a metric's rows to one task.
+        probs = [i / buckets for i in range(1, buckets)]
+        splits = df.agg(*[F.percentile_approx(F.col(m).cast("double"), probs).alias(f"_s{i}") for i, m in enumerate(metrics)])
+        split_row = splits.select(F.struct("*").alias("_splits")).scalar()
+        with_splits = df.select(*metrics).withColumn("_splits", split_row)
+        bucketed = with_splits.select(F.explode(F.array(*[
+            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
+                     bucket_of(F.col(m).cast("double"), F.col(f"_splits._s{i}"), buckets - 1, False).alias("_b"))
+            for i, m in enumerate(metrics)])).alias("_m")).select("_m.*").where(F.col("value").isNotNull())
+        bucketed = bucketed.withColumn("_gk", F.struct("metric"))
+        qs = select_quantiles(bucketed, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
     else:
         qs = approx_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
     # both sides have one row per metric: a bounded broadcast

@@ -84,16 +84,18 @@ def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: st
 
 
 def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_order=clean.DEFAULT_DEDUP_ORDER,
-           etl_date: str | None = None, processed_at: str | None = None) -> DataFrame:
-    """L2: clean -> scoped overwrite of the keyword partitions in this batch.
+           etl_date: str | None = None, processed_at: str | None = None, full_refresh: bool = True) -> DataFrame:
+    """L2: clean -> silver, partitioned by keyword.
 
+    Silver is made from the whole of bronze, so by default it is replaced
+    whole: a video that moved to another keyword leaves no row behind. Without
+    ``full_refresh`` only the keywords in ``bronze_df`` are replaced (S6).
     Returns the silver table as written (re-read, not recomputed).
     """
     obs = Observation("silver")
     clean_df = clean.clean_videos(bronze_df, dedup_order, etl_date, processed_at)
     out = tables.align(clean_df, SILVER_SCHEMA).observe(obs, F.count(F.lit(1)).alias("rows"))
-    # creates the table on the first run; later runs replace only their keywords
-    tables.overwrite_partitions(out, layout.silver)
+    (tables.overwrite if full_refresh else tables.overwrite_partitions)(out, layout.silver)
     _log("SILVER", obs)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
@@ -105,7 +107,7 @@ def pre_load_analysis(silver_df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0, keyword=None,
          keyword_mode: str = "exact", run_ts: str | None = None, full_refresh: bool = False,
-         exact_quartiles: bool = True, export: bool = True) -> DataFrame:
+         exact_quartiles: bool = True, export: bool = True, one_file: bool = False) -> DataFrame:
     """L3: read silver (P3-P6) -> outlier flag (F4) -> summary (A3-A5) ->
     scoped overwrite of the summary (S6; ``full_refresh`` also drops keywords
     that vanished, K14) -> history snapshot (S8) -> CSV export (S9).
@@ -126,7 +128,7 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
         tables.overwrite_partitions(staged, layout.summary)
     tables.write_history(staged, layout.history, run_date, run_ts)
     if export:
-        tables.export_csv(staged.orderBy(F.desc("total_views"), "keyword", "category_name"), layout.export)
+        tables.export_csv(rollups.summary_report(staged), layout.export, one_file)
     return staged
 
 

@@ -98,7 +98,7 @@ def q_per_keyword_cap(spark, sf_dir):
 @register("enrich_left_join", O.with_videos(f"""
 SELECT c.video_id, c.keyword, CASE WHEN c.keyword = '{PRIMARY_KEYWORD}' THEN 'Primary' ELSE 'General' END AS keyword_type,
        c.title, c."channelTitle", c.description, c."publishedAt", {', '.join('d."' + f + '"' for f in DETAIL_OUT[1:])}
-FROM capped c LEFT JOIN details d USING (video_id)""", ITEMS_CTES + DETAILS_CTES))
+FROM seen c LEFT JOIN details d USING (video_id)""", ITEMS_CTES + DETAILS_CTES))
 def q_enrich_left_join(spark, sf_dir):
-    capped = harvest.cap_per_keyword(harvest.first_seen(items(spark, sf_dir)))
-    return harvest.enrich(capped, details(spark, sf_dir), PRIMARY_KEYWORD)
+    """J1 over every first-seen record; the cap is a feature of its own (``per_keyword_cap``)."""
+    return harvest.enrich(harvest.first_seen(items(spark, sf_dir)), details(spark, sf_dir), PRIMARY_KEYWORD)

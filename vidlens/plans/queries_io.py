@@ -140,7 +140,7 @@ def q_csv_roundtrip(spark, sf_dir):
     stage = f"{root}/stage"
     summary.write.parquet(stage)
     staged = spark.read.schema(schemas.SUMMARY_SCHEMA).parquet(stage)
-    tables.export_csv(staged.filter(F.col("keyword").endswith("cut")), f"{root}/a")
+    tables.export_csv(staged.filter(F.col("keyword").endswith("cut")), f"{root}/a", one_file=True)
     tables.export_csv(staged.filter(~F.col("keyword").endswith("cut")).drop("outlier_video_count"), f"{root}/b")
     parts = [tables.read_csv_dir(spark, f"{root}/a"), tables.read_csv_dir(spark, f"{root}/b")]
     text = tables.union_parts(parts)
@@ -182,10 +182,9 @@ def q_json_roundtrip(spark, sf_dir):
     decode with the declared schema -> raw 14-column output."""
     path = _scratch(spark, "messages")
     msgs = tables.to_messages(fixtures.video_messages(spark, sf_dir))
-    junk = msgs.limit(0).unionByName(
-        spark.range(3).select(F.lit(None).cast("binary").alias("key"),
-                              F.element_at(F.array(F.lit("{not json"), F.lit(""), F.lit('{"video_id": null}')),
-                                           (F.col("id") + 1).cast("int")).alias("value")))
+    junk = spark.range(3).select(F.lit(None).cast("binary").alias("key"),
+                                 F.element_at(F.array(F.lit("{not json"), F.lit(""), F.lit('{"video_id": null}')),
+                                              (F.col("id") + 1).cast("int")).alias("value"))
     msgs.unionByName(junk).select("value").write.mode("overwrite").text(path)
     decoded = live.decode_messages(spark.read.text(path), "value")
     return live.raw_output(decoded)

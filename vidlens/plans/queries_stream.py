@@ -73,7 +73,7 @@ def run_stream(spark, sf_dir):
     across files, plus undecodable lines), read one file per trigger, the
     three live queries run to the end of the input. Memoized per session and
     input, so the three registered stream queries share one run."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _RUNS:
         return _RUNS[key]
     root = scratch_path(spark, f"vidlens-stream-{uuid.uuid4().hex}")
@@ -84,6 +84,7 @@ def run_stream(spark, sf_dir):
     layout = stream.LiveLayout(out=f"{root}/out", checkpoints=f"{root}/checkpoints")
     qs = stream.start_live(stream.file_source(spark, src, 1), layout, PRIMARY_KEYWORD, trigger=None, as_of=AS_OF)
     stream.await_all(qs)
+    stream.refresh_analytics(spark, layout, AS_OF)
     _RUNS[key] = layout
     return layout
 

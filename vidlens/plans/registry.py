@@ -8,6 +8,7 @@ mapping or directly) so its work grows with them; each has a DuckDB twin in
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from vidlens import schemas
 from vidlens.operators import clean, filters, live, rollups, stats, windows
+from vidlens.plans import medallion
 from vidlens.plans import oracle as O
-from vidlens.session import apply_plan_defaults, materialize
+from vidlens.session import apply_plan_defaults, materialize, scratch_path
+from vidlens.sinks import tables
 from vidlens.sources import fixtures
 
 # Fixed run clock for reproducible registered queries.
@@ -46,6 +49,13 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
                               etl_date=AS_OF, processed_at=RUN_TS)
 
 
+def partitioned_silver(spark, sf_dir):
+    """Silver as the gold stage finds it: a written table, partitioned by keyword."""
+    path = scratch_path(spark, f"vidlens-silver-{uuid.uuid4().hex}")
+    tables.overwrite(tables.align(silver(spark, sf_dir), medallion.SILVER_SCHEMA), path)
+    return tables.read_table(spark, path, medallion.SILVER_SCHEMA)
+
+
 SILVER_OUT = ["video_id", "title", "channel", "published_at", "keyword", "platform", "view_count",
               "like_count", "comment_count", "description", "duration_seconds", "duration_category",
               "category_id", "category_name", "tags", "tag_count", "has_captions", "definition",
@@ -90,9 +100,16 @@ def q_duration_category_counts(spark, sf_dir):
 
 
 @register("distinct_keywords", O.with_silver(
-    "SELECT DISTINCT keyword FROM silver ORDER BY keyword ASC NULLS LAST LIMIT 20"))
+    "SELECT DISTINCT keyword FROM silver"))
 def q_distinct_keywords(spark, sf_dir):
-    return rollups.distinct_keywords(silver(spark, sf_dir), 20)
+    return rollups.distinct_keywords(silver(spark, sf_dir))
+
+
+@register("first_keywords", O.with_silver(
+    "SELECT DISTINCT keyword FROM silver ORDER BY keyword ASC NULLS LAST LIMIT 5"))
+def q_first_keywords(spark, sf_dir):
+    """The limit bites on the fixture's 12 clean keywords."""
+    return rollups.distinct_keywords(silver(spark, sf_dir), 5)
 
 
 # Gold read parameters used by the registered filter queries.
@@ -105,7 +122,7 @@ FILTER_CONTAINS = "cut,LARGE"
 SELECT video_id, keyword, view_count FROM silver
 WHERE keyword IN ('economy', 'standard''s cut', 'small') AND view_count >= {FILTER_MIN_VIEWS}"""))
 def q_keyword_filter_exact(spark, sf_dir):
-    return filters.read_gold_input(silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_EXACT, "exact") \
+    return filters.read_gold_input(partitioned_silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_EXACT, "exact") \
                   .select("video_id", "keyword", "view_count")
 
 
@@ -113,7 +130,7 @@ def q_keyword_filter_exact(spark, sf_dir):
 SELECT video_id, keyword, view_count FROM silver
 WHERE (contains(keyword, 'cut') OR contains(keyword, 'large')) AND view_count >= {FILTER_MIN_VIEWS}"""))
 def q_keyword_filter_contains(spark, sf_dir):
-    return filters.read_gold_input(silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_CONTAINS, "contains") \
+    return filters.read_gold_input(partitioned_silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_CONTAINS, "contains") \
                   .select("video_id", "keyword", "view_count")
 
 

@@ -6,7 +6,9 @@ is for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,17 +67,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (a local test run) do we pick a private
-    folder under the system temp dir and record it in the session, so every
-    later call agrees.
+    Where the setting is absent, a run on one machine (master ``local``) gets
+    one private folder per application; anything else is refused, as executors
+    would each write to their own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="vidlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    if path:
+        return path
+    context = spark.sparkContext
+    return local_scratch(context.master, context.applicationId)
+
+
+@functools.lru_cache(maxsize=None)
+def local_scratch(master: str, application: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set; master {master!r} needs a folder that all machines share")
+    return tempfile.mkdtemp(prefix="vidlens-ckpt-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

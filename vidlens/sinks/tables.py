@@ -33,10 +33,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 # ---- sources -------------------------------------------------------------------
 
-def read_video_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA) -> DataFrame:
+def read_video_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA,
+                   multi_line: bool = True) -> DataFrame:
     """Header, multi-line quoted fields, '"' escape, declared schema; a bad
-    cell becomes NULL (PERMISSIVE)."""
-    return (spark.read.option("header", "true").option("multiLine", "true")
+    cell becomes NULL (PERMISSIVE). With ``multi_line`` a file is one task, so
+    land many files; without it, where no field holds a line feed, large files
+    are split."""
+    return (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
             .option("escape", '"').option("mode", "PERMISSIVE").schema(schema).csv(path))
 
 
@@ -83,9 +86,15 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition value together, in as many tasks as their size asks for:
+    few files per value, without one task for a hot value."""
+    return df.hint("rebalance", *partition_by)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ("keyword",)) -> None:
     """Create or fully replace a partitioned table."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
        .partitionBy(*partition_by).parquet(path))
 
 
@@ -94,7 +103,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] =
 
     An empty batch changes nothing; a NULL key replaces only the NULL partition.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 
@@ -112,17 +121,18 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_history(summary: DataFrame, path: str, run_date: str, run_ts: str | None = None) -> DataFrame:
-    """Append one run snapshot, partitioned by ``run_date``."""
+    """Add one run's snapshot, partitioned by ``run_date``; a rerun of a date
+    replaces that date's snapshot."""
     snap = (summary.withColumn("run_timestamp",
                                F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
                    .withColumn("run_date", F.lit(run_date)))
-    append(snap, path, ["run_date"])
+    overwrite_partitions(snap, path, ["run_date"])
     return snap
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header (for the small summary only)."""
-    (df.coalesce(1).write.mode("overwrite").option("header", "true")
+def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """CSV with header. ``one_file`` writes it in one task: for small summaries only."""
+    ((df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", "true")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 

@@ -114,10 +114,10 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
         splits = df.agg(*[F.percentile_approx(F.col(m).cast("double"), probs).alias(f"_s{i}") for i, m in enumerate(metrics)])
         split_row = splits.select(F.struct("*").alias("_splits")).scalar()
         with_splits = df.select(*metrics).withColumn("_splits", split_row)
-        bucketed = with_splits.select(F.explode(F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
-                     bucket_of(F.col(m).cast("double"), F.col(f"_splits._s{i}"), buckets - 1, False).alias("_b"))
+        unpivoted = with_splits.select(F.explode(F.array(*[
+            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"), F.col(f"_splits._s{i}").alias("_s"))
             for i, m in enumerate(metrics)])).alias("_m")).select("_m.*").where(F.col("value").isNotNull())
+        bucketed = unpivoted.select("metric", "value", bucket_of(F.col("value"), F.col("_s"), buckets - 1, False).alias("_b"))
         bucketed = bucketed.withColumn("_gk", F.struct("metric"))
         qs = select_quantiles(bucketed, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], ["metric"])
     else:

@@ -21,7 +21,11 @@ and every link lies within some region. Then, in each region:
    the threshold distance at most. A set beyond its cell's border is
    replicated to the size bands that its window reaches.
 
-Every comparison is exact, on whole sets.
+Distances to pivots are first computed on profiles, the numbers of shingles by
+hash range. Their weighted Jaccard distance is a metric too and never above the
+sets' distance, so its triangle windows are valid, and pairs that it puts
+beyond the threshold need no whole sets. All others are compared exactly, on
+whole sets.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ from vidlens.llm.common import connected_components, materialize, table
 from vidlens.llm.lm_scoring import slices
 from vidlens.llm.words import mix, word_hashes
 
+LEAD = 8
+PROFILE_BITS = 7
+BROADCAST_ROWS = 500_000
 COMMON_SHARE = 2000
 MAX_COMMON = 2_000_000
 BAND = 1.02
@@ -95,6 +102,11 @@ def describe(batches, k: int, least_here: int = 3):
                      pa.array(values.view(np.int64)), pa.nulls(len(values), pa.int64())], ["common", "doc_id", "n", "k1", "k2"])
 
 
+def lead(n, percent: int):
+    """Shingles that two linked sets, the smaller of size n, share at least at their fronts."""
+    return F.least(F.lit(LEAD), F.ceil(F.lit(percent) * n / 100))
+
+
 def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarray):
     """The first shingles of each set in the global order: (token, place, size, keys)."""
     for batch in batches:
@@ -110,8 +122,10 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
             order = np.lexsort((h, rank, row))
             h = h[order]
             place = np.arange(len(h)) - first[:-1][row]
+            # Of the shared shingles at least ``LEAD`` lie in both fronts of this length.
             # Sets with fewer shingles than percent / (100 - percent) link with equal ones only.
-            length = np.where((100 - percent) * size >= percent, size - (percent * size + 99) // 100 + 1, 0)
+            least = (percent * size + 99) // 100
+            length = np.where((100 - percent) * size >= percent, size - least + np.minimum(LEAD, least), 0)
             keep = place < length[row]
             r = row[keep]
             yield pa.RecordBatch.from_arrays(
@@ -120,14 +134,39 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
 
 
 def whole_sets(batches, k: int):
-    """Each text's keys and whole set, packed."""
+    """Each text's keys, whole set and profile, packed."""
     for batch in batches:
         for part in slices(batch):
             h, first = shingle_sets(part["text"], k)
             k1, k2 = set_keys(h, first)
             sets = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part["node"], part["k1"], part["k2"], pa.array(k1), pa.array(k2), pa.array(sets, pa.binary())],
-                                             ["node", "want1", "want2", "k1", "k2", "members"])
+            profiles = [profile(h[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part["node"], part["k1"], part["k2"], pa.array(k1), pa.array(k2),
+                                              pa.array(sets, pa.binary()), pa.array(profiles, pa.binary())],
+                                             ["node", "want1", "want2", "k1", "k2", "members", "profile"])
+
+
+def profile(members: np.ndarray) -> np.ndarray:
+    """Members by the leading bits of their hash; two bytes a count where that is enough."""
+    counts = np.bincount((members >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS)
+    return counts.astype("<u2" if len(members) < 1 << 16 else "<u4")
+
+
+def read_profile(buf) -> np.ndarray:
+    return np.frombuffer(buf, f"<u{len(buf) >> PROFILE_BITS}").astype(np.int64)
+
+
+def profile_bounds(batches, percent: int):
+    """(a, b, least distance that the profiles allow, whether a link is possible)."""
+    for batch in batches:
+        low, likely = [], []
+        for a, b in zip(batch["profile_a"], batch["profile_b"], strict=True):
+            x, y = read_profile(a.as_buffer()), read_profile(b.as_buffer())
+            both, union = int(np.minimum(x, y).sum()), int(np.maximum(x, y).sum())
+            low.append(1 - both / union)
+            likely.append(100 * both >= percent * union)
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(low, pa.float64()), pa.array(likely, pa.bool_())],
+                                         ["a", "b", "low", "likely"])
 
 
 def intersections(batches):
@@ -188,29 +227,47 @@ class Join:
         first = self.docs.select("text").mapInArrow(lambda it: prefixes(it, k, percent, *order.value),
                                                     "token long, place int, n int, k1 long, k2 long")
         shared = first.groupBy("token").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("token")
-        members = first.join(shared, "token").distinct()
-        return materialize(members.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).select("token", "node", "n", "place"),
-                           "jaccard-regions")
+        members = materialize(first.join(shared, "token").distinct(), "jaccard-shared")
+        # A link needs several shingles in common here; a set with fewer in any region has none.
+        # Its partner may be smaller, by the threshold at most.
+        enough = members.groupBy("k1", "k2", "n").agg(F.count("*").alias("shared")).where(
+            F.col("shared") >= lead(F.col("n") * percent / 100, percent))
+        enough = enough.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).select("k1", "k2", "node")
+        return materialize(members.join(enough, ["k1", "k2"]).select("token", "node", "n", "place"), "jaccard-regions")
 
     def sets(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """(node, members): the whole sets of the classes that are in a region."""
+        """(node, members, profile): the whole sets of the classes that are in a region."""
         k = self.k
-        wanted = classes.join(regions.select("node").distinct(), "node").select("least_id", "k1", "k2", "node")
-        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
-        found = texts.mapInArrow(lambda it: whole_sets(it, k), "node long, want1 long, want2 long, k1 long, k2 long, members binary")
+        wanted = materialize(classes.join(regions.select("node").distinct(), "node").select("least_id", "k1", "k2", "node"), "jaccard-wanted")
+        # Few ids go to the texts; beyond the bound texts and ids meet in a shuffle.
+        ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
+        found = texts.mapInArrow(lambda it: whole_sets(it, k), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
         # An id may stand for several texts; the keys tell the one that is meant.
-        return materialize(found.where("k1 = want1 and k2 = want2").select("node", "members").dropDuplicates(["node"]), "jaccard-members")
+        out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
+        if out.select("node").groupBy("node").count().where("count > 1").isEmpty():
+            return out
+        return materialize(out.dropDuplicates(["node"]), "jaccard-members")
 
     def distances(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """(a, b, d, near) of distinct pairs of nodes; near is the exact test in integers."""
+        """(a, b, low, d, near) of distinct pairs of nodes: the profiles' distance, the exact one where
+        a link is possible, and the exact test in integers."""
+        percent = self.percent
+        profiles = [sets.select(F.col("node").alias(x), F.col("profile").alias(f"profile_{x}")) for x in "ab"]
+        bounds = pairs.join(profiles[0], "a").join(profiles[1], "b").select("a", "b", "profile_a", "profile_b").mapInArrow(
+            lambda it: profile_bounds(it, percent), "a long, b long, low double, likely boolean")
+        bounds = materialize(bounds, "jaccard-bounds")
+        pairs = bounds.where("likely").select("a", "b")
         a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
         b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
         joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
         sizes = joined.mapInArrow(lambda it: intersections(it), "a long, b long, both long")
         n = {x: sets.select(F.col("node").alias(x), (F.octet_length("members") / 8).cast("long").alias(f"n_{x}")) for x in "ab"}
         out = sizes.join(n["a"], "a").join(n["b"], "b").withColumn("union", F.col("n_a") + F.col("n_b") - F.col("both"))
-        return materialize(out.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"),
-                                      (100 * F.col("both") >= self.percent * F.col("union")).alias("near")), "jaccard-distances")
+        exact = out.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"),
+                           (100 * F.col("both") >= self.percent * F.col("union")).alias("near"))
+        return materialize(bounds.join(exact, ["a", "b"], "left").select(
+            "a", "b", "low", "d", F.coalesce("near", F.lit(False)).alias("near")), "jaccard-distances")
 
     def feasible(self, x: str, y: str):
         """Sizes and the common shingle's places leave room for the overlap that a link needs."""
@@ -235,7 +292,7 @@ class Join:
             star = star.select("token", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
             if to_first is not None:
                 # Triangle window: both distances to the first pivot are known and too far apart.
-                t = to_first.select("token", "a", "d")
+                t = to_first
                 star = (star.join(t, ["token", "a"], "left").withColumnRenamed("d", "da")
                         .join(t.select("token", F.col("a").alias("b"), "d"), ["token", "b"], "left").withColumnRenamed("d", "db")
                         .where(F.coalesce(F.abs(F.col("da") - F.col("db")) <= self.epsilon + 1e-9, F.lit(True))))
@@ -245,7 +302,7 @@ class Join:
             edges = linked if edges is None else edges.union(linked)
             in_region = star.join(measured, ["a", "b"])
             if to_first is None:
-                to_first = materialize(in_region.select("token", "a", "d"), "jaccard-first")
+                to_first = materialize(in_region.select("token", "a", F.col("low").alias("d")), "jaccard-first")
             taken = in_region.where("near").select("token", F.col("a").alias("node")).union(pivots.select("token", "node"))
             open_ = materialize(open_.join(taken.distinct(), ["token", "node"], "left_anti"), "jaccard-open")
         # Cells: each set's nearest pivot that it links with; two sets of a cell are joined through it.

@@ -27,6 +27,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+#: Distinct values that one bucket, and so one task, may hold.
+VALUES_PER_BUCKET = 1_000_000
+#: More split points than this are searched in a loop, not in generated code.
+UNROLLED_SPLITS = 255
+
+
+def buckets_for(distinct: int | None) -> int:
+    """Buckets for a group of so many distinct values."""
+    return max(DEFAULT_BUCKETS, -(-(distinct or 0) // VALUES_PER_BUCKET))
+
+
+def bucket_count(df: DataFrame, value: str, group: Sequence[str] = ()) -> int:
+    """``buckets_for`` the largest group of ``df``: one pass over two columns, one number back."""
+    sizes = df.groupBy(*group).agg(F.approx_count_distinct(value).alias("_d"))
+    return buckets_for(sizes.agg(F.max("_d")).first()[0])
 
 
 def _group_key(group: Sequence[str]):
@@ -38,6 +53,15 @@ def bucket_of(v, splits, n: int, descending: bool):
     unrolled into a ``when`` tree (code-generated, log2(n) comparisons):
     ascending -> number of splits < v; descending -> number of splits > v.
     Equal values always get the same bucket."""
+    if n > UNROLLED_SPLITS:
+        def passed(x):
+            return (x <= v) if descending else (x < v)
+
+        steps = F.array(*[F.lit(1 << i) for i in range(n.bit_length() - 1, -1, -1)])
+        below = F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
+            (pos + step <= n) & passed(F.get(splits, pos + step - 1)), pos + step).otherwise(pos))
+        return (F.lit(n) - below) if descending else below
+
     def lower(lo, hi):      # count of splits < v, knowing it lies in [lo, hi]
         if lo == hi:
             return F.lit(lo)
@@ -54,23 +78,34 @@ def bucket_of(v, splits, n: int, descending: bool):
 
 
 def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descending: bool = False,
-                    buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000, weight: str | None = None) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """One row per distinct ``(group..., value)``: ``_n`` rows with it,
     ``_before`` rows of the group strictly earlier (order by ``value``,
-    ascending or descending, NULLs last) and ``_gsize`` rows in the group."""
+    ascending or descending, NULLs last) and ``_gsize`` rows in the group.
+    The number of buckets is taken from the data unless given."""
     group = list(group)
-    n = F.sum(weight) if weight else F.count(F.lit(1))   # ``weight``: rows already counted upstream
-    counts = (df.groupBy(*group, value).agg(n.alias("_n"))
+    buckets = buckets or bucket_count(df, value, group)
+    counts = (df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
                 .withColumn("_gk", _group_key(group)))
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = (counts.where(F.col(value).isNotNull()).groupBy("_gk")
-                    .agg(F.percentile_approx(value, probs, accuracy).alias("_splits")))
+    splits = counts.groupBy("_gk").agg(split_points(value, buckets).alias("_splits"))
     if group:
         # one row per group; AQE broadcasts it when the measured size allows
         with_splits = counts.join(splits, "_gk", "left")
     else:
         # one global row: attached as a scalar subquery (computed once, no join)
         with_splits = counts.withColumn("_splits", splits.select("_splits").scalar())
+    return (positions_in_buckets(with_splits, value, descending, buckets)
+            .select("_gk", *group, value, "_n", "_before", "_gsize"))
+
+
+def split_points(value: str, buckets: int):
+    """The aggregate that cuts a group's values (NULLs left out) into buckets."""
+    return F.percentile_approx(value, [i / buckets for i in range(1, buckets)], max(10_000, 4 * buckets))
+
+
+def positions_in_buckets(with_splits: DataFrame, value: str, descending: bool, buckets: int) -> DataFrame:
+    """Adds ``_before`` and ``_gsize`` to rows of ``_gk``, distinct ``value``, ``_n`` and the
+    group's ``_splits``; other columns stay."""
     v = F.col(value)
     bucketed = with_splits.withColumn(
         "_b", F.when(v.isNull(), F.lit(buckets))
@@ -88,11 +123,11 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), descen
             Window.partitionBy("_gk", "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)))
     return (inside.join(offsets, ["_gk", "_b"])
-                  .select("_gk", *group, value, "_n", (F.col("_off") + F.col("_inb")).alias("_before"), "_gsize"))
+                  .withColumn("_before", F.col("_off") + F.col("_inb")).drop("_off", "_inb", "_b"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                    group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
+                    group: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """``percentile_disc``: per group, the value at 1-based position
     ``ceil(p * N)`` of the non-NULL values in ascending order. One row per
     group (one row in all when ``group`` is empty, NULLs for an empty input).
@@ -100,13 +135,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Se
     A selection, not a sort: split points from the sketch cut the values into
     buckets; bucket totals (at most ``buckets`` rows per group) locate the
     bucket holding each target position; only those buckets' distinct values
-    (ties collapsed map-side) are ordered exactly.
+    (ties collapsed map-side) are ordered exactly. The number of buckets is
+    taken from the data unless given.
     """
     group = list(group)
+    buckets = buckets or bucket_count(df, value, group)
     v = F.col(value)
     base = df.where(v.isNotNull()).select(*group, value).withColumn("_gk", _group_key(group))
-    probs_b = [i / buckets for i in range(1, buckets)]
-    splits = base.groupBy("_gk").agg(F.percentile_approx(value, probs_b, accuracy).alias("_splits"))
+    splits = base.groupBy("_gk").agg(split_points(value, buckets).alias("_splits"))
     if group:
         with_splits = base.join(splits, "_gk", "left")   # one row per group; AQE broadcasts when small
     else:

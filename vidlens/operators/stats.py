@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.operators.ordered import DEFAULT_BUCKETS, approx_quantiles, bucket_of, exact_quantiles, select_quantiles
+from vidlens.operators.ordered import (approx_quantiles, bucket_of, buckets_for, exact_quantiles,
+                                       select_quantiles, split_points)
 from vidlens.operators.rollups import fixed_avg
 
 IQR_MULTIPLIER = 1.5  # fixed value of the reference
@@ -20,9 +21,9 @@ SUMMARY_METRICS = ("view_count", "like_count", "comment_count", "engagement_rate
 
 
 def quartiles(df: DataFrame, col: str = "view_count", exact: bool = True,
-              relative_error: float = 0.01, group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              relative_error: float = 0.01, group: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """One row per group (``q1``, ``q3``). Exact = ``percentile_disc``;
-    ``buckets`` sizes the exact selection (grow it with the data)."""
+    ``buckets`` sizes the exact selection (from the data unless given)."""
     if exact:
         return exact_quantiles(df, col, [0.25, 0.75], ["q1", "q3"], group, buckets)
     return approx_quantiles(df, col, [0.25, 0.75], ["q1", "q3"], group, relative_error)
@@ -30,7 +31,7 @@ def quartiles(df: DataFrame, col: str = "view_count", exact: bool = True,
 
 def iqr_bounds(df: DataFrame, col: str = "view_count", multiplier: float = IQR_MULTIPLIER,
                exact: bool = True, relative_error: float = 0.01, group: Sequence[str] = (),
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     q = quartiles(df, col, exact, relative_error, group, buckets)
     iqr = F.col("q3") - F.col("q1")
     return q.select(*group, "q1", "q3",
@@ -40,7 +41,7 @@ def iqr_bounds(df: DataFrame, col: str = "view_count", multiplier: float = IQR_M
 
 def flag_outliers(df: DataFrame, col: str = "view_count", multiplier: float = IQR_MULTIPLIER,
                   exact: bool = True, relative_error: float = 0.01, group: Sequence[str] = (),
-                  flag: str = "is_outlier_views", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  flag: str = "is_outlier_views", buckets: int | None = None) -> DataFrame:
     """F4 + J2: ``flag`` = value strictly outside the IQR fences.
 
     Bounds are global by default (as the reference); ``group`` computes them
@@ -91,7 +92,7 @@ def metric_correlations(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exact: bool = True,
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """A7, typed: one row per metric with count, mean, stddev, min, quartiles, max.
 
     The metrics are unpivoted (a projection, no shuffle) so one grouped
@@ -110,8 +111,10 @@ def metric_summary(df: DataFrame, metrics: Sequence[str] = SUMMARY_METRICS, exac
         # The split points of all metrics are one row, attached as a scalar: the
         # unpivoted rows are counted before they are shuffled, and no join by
         # metric brings all of a metric's rows to one task.
-        probs = [i / buckets for i in range(1, buckets)]
-        splits = df.agg(*[F.percentile_approx(F.col(m).cast("double"), probs).alias(f"_s{i}") for i, m in enumerate(metrics)])
+        if buckets is None:
+            buckets = buckets_for(max(df.agg(*[F.approx_count_distinct(m).alias(m) for m in metrics]).first()))
+        typed = df.select(*[F.col(m).cast("double").alias(m) for m in metrics])
+        splits = typed.agg(*[split_points(m, buckets).alias(f"_s{i}") for i, m in enumerate(metrics)])
         split_row = splits.select(F.struct("*").alias("_splits")).scalar()
         with_splits = df.select(*metrics).withColumn("_splits", split_row)
         unpivoted = with_splits.select(F.explode(F.array(*[

@@ -107,7 +107,8 @@ def pre_load_analysis(silver_df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0, keyword=None,
          keyword_mode: str = "exact", run_ts: str | None = None, full_refresh: bool = False,
-         exact_quartiles: bool = True, export: bool = True, one_file: bool = False) -> DataFrame:
+         exact_quartiles: bool = True, export: bool = True, one_file: bool = False,
+         buckets: int | None = None) -> DataFrame:
     """L3: read silver (P3-P6) -> outlier flag (F4) -> summary (A3-A5) ->
     scoped overwrite of the summary (S6; ``full_refresh`` also drops keywords
     that vanished, K14) -> history snapshot (S8) -> CSV export (S9).
@@ -117,7 +118,7 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
     """
     silver_df = tables.read_table(spark, layout.silver, SILVER_SCHEMA)
     gold_in = filters.read_gold_input(silver_df, min_views, keyword, keyword_mode)
-    flagged = stats.flag_outliers(gold_in, exact=exact_quartiles)
+    flagged = stats.flag_outliers(gold_in, exact=exact_quartiles, buckets=buckets)
     summary = tables.align(rollups.keyword_category_summary(flagged), schemas.SUMMARY_SCHEMA)
     stage = os.path.join(layout.root, "_staging", f"summary-{run_date}-{uuid.uuid4().hex}")
     summary.write.mode("overwrite").parquet(stage)

@@ -164,7 +164,7 @@ def flagged(spark, sf_dir):
 SELECT q1, q3, CAST(q1 - 1.5 * (q3 - q1) AS DOUBLE) AS lower_bound, CAST(q3 + 1.5 * (q3 - q1) AS DOUBLE) AS upper_bound
 FROM (SELECT quantile_disc(view_count, 0.25) AS q1, quantile_disc(view_count, 0.75) AS q3 FROM silver)"""))
 def q_views_quartiles(spark, sf_dir):
-    return stats.iqr_bounds(silver(spark, sf_dir))
+    return stats.iqr_bounds(silver_table(spark, sf_dir))
 
 
 @register("outlier_flags", with_flagged(
@@ -286,25 +286,31 @@ WINDOW_OUT = ["video_id", "search_keyword", "views", "total_kw_views", "view_sha
               "rank_in_keyword", "velocity_z_score"]
 
 
+def live_table(spark, sf_dir):
+    """The live rows written once, for the windows, which read them twice."""
+    return materialize(live_frame(spark, sf_dir), "live-rows")
+
+
 @register("keyword_windows", O.with_videos(f""", {WINDOWS_SQL}
-SELECT {_q(WINDOW_OUT)} FROM staged"""))
+SELECT {_q(WINDOW_OUT)}, {O.rnd('avg_kw_velocity', 4)} AS avg_kw_velocity,
+       {O.rnd('std_kw_velocity', 4)} AS std_kw_velocity FROM staged"""))
 def q_keyword_windows(spark, sf_dir):
-    w = windows.keyword_windows(live_frame(spark, sf_dir))
-    return w.select(*WINDOW_OUT)
+    w = windows.keyword_windows(live_table(spark, sf_dir))
+    return w.select(*WINDOW_OUT, *[F.round(c, 4).alias(c) for c in ("avg_kw_velocity", "std_kw_velocity")])
 
 
 @register("trend_lifecycle", O.with_videos(f""", {WINDOWS_SQL}
 SELECT search_keyword, trend_lifecycle_stage, count(*) AS videos FROM staged
 GROUP BY search_keyword, trend_lifecycle_stage"""))
 def q_trend_lifecycle(spark, sf_dir):
-    a = windows.with_lifecycle(windows.keyword_windows(live_frame(spark, sf_dir)))
+    a = windows.with_lifecycle(windows.keyword_windows(live_table(spark, sf_dir)))
     return a.groupBy("search_keyword", "trend_lifecycle_stage").agg(F.count(F.lit(1)).alias("videos"))
 
 
 @register("live_analytics", O.with_videos(f""", {WINDOWS_SQL}
 SELECT {_q(schemas.LIVE_ANALYTICS_COLUMNS)} FROM staged"""))
 def q_live_analytics(spark, sf_dir):
-    return live.live_analytics(live_frame(spark, sf_dir))
+    return live.live_analytics(live_table(spark, sf_dir))
 
 
 @register("keyword_popularity", O.with_videos(f""", {LIVE_FEATURES_SQL}

@@ -23,6 +23,8 @@ UNIT = re.compile(r"[^\n.!?]+[\n.!?]*|[\n.!?]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER_TO_LOWER = {u: u + 32 for u in range(65, 91)}
 LAST = (1 << 63) - 1
+#: A digest with more than this part of all units is joined by broadcast.
+FREQUENT = 1000
 
 
 def units(text: str):
@@ -71,8 +73,15 @@ def repeated_runs(docs: DataFrame, min_words: int = 25, min_unit_words: int = 4)
     u = materialize(unit_table(docs), "dedup-units")
     rank = F.coalesce("doc_id", F.lit(LAST))
     kept = (u.groupBy("d1", "d2").agg(F.min(F.struct(rank.alias("rank"), "start")).alias("kept"), F.count("*").alias("n"))
-            .where("n > 1").select("d1", "d2", "kept"))
-    again = u.join(kept, ["d1", "d2"]).where(F.struct(rank.alias("rank"), "start") > F.col("kept"))
+            .where("n > 1"))
+    # At most FREQUENT digests can each hold that share of all units: their rows
+    # meet a broadcast of that many rows, and no digest's units meet in one task.
+    share = u.count() / FREQUENT
+    often = F.broadcast(kept.where(F.col("n") > share).drop("n"))
+    seldom = kept.where(F.col("n") <= share).drop("n")
+    again = u.join(often, ["d1", "d2"]).unionByName(
+        u.join(often, ["d1", "d2"], "left_anti").join(seldom, ["d1", "d2"]))
+    again = again.where(F.struct(rank.alias("rank"), "start") > F.col("kept"))
     # Units that follow one another share the difference of place and rank; a group is at most one document.
     w = Window.partitionBy("doc_id", "text_key").orderBy("place")
     again = again.dropDuplicates(["doc_id", "text_key", "place"])

@@ -141,3 +141,21 @@ def test_zero_error_quantiles_are_exact_beyond_any_sketch(spark):
     df = spark.range(0, 1_200_000).select((F.col("id") * 7919 % 1_200_007).alias("view_count"))
     e, a = stats.quartiles(df).first(), stats.quartiles(df, exact=False, relative_error=0).first()
     assert (e.q1, e.q3) == (a.q1, a.q3)
+
+
+def test_bucket_count_grows_with_the_data_and_changes_no_result(spark, monkeypatch):
+    df = spark.range(0, 6000).select((F.col("id") * 7919 % 3001).alias("v"))
+    few = ordered.bucket_count(df, "v")
+    expected = {(r.v, r["_before"]) for r in ordered.value_positions(df, "v").collect()}
+    monkeypatch.setattr(ordered, "VALUES_PER_BUCKET", 8)
+    many = ordered.bucket_count(df, "v")
+    assert few == ordered.DEFAULT_BUCKETS and many > ordered.UNROLLED_SPLITS
+    assert {(r.v, r["_before"]) for r in ordered.value_positions(df, "v").collect()} == expected
+
+
+def test_deviation_of_huge_velocities_and_of_equal_ones(spark):
+    rows = [("hot", 1, 4e16), ("hot", 2, 4e16), ("hot", 3, 7e16), ("even", 1, 0.1), ("even", 1, 0.1), ("even", 2, 0.1)]
+    df = spark.createDataFrame(rows, "search_keyword string, views long, daily_view_velocity double")
+    out = {(r.search_keyword, r.views): r for r in windows.keyword_windows(df).collect()}
+    assert out["hot", 1].std_kw_velocity == pytest.approx(3e16 / 3 ** 0.5)
+    assert out["even", 1].std_kw_velocity == 0.0 and out["even", 2].velocity_z_score == 0.0

@@ -76,12 +76,12 @@ def test_stream_equals_batch_and_restart_adds_nothing_twice(spark, tmp_dir):
     raw = live.raw_output(fixtures.video_messages(spark, sf))
     feats = live.live_features(raw, "2002-01-01")
     expect_sum = sorted(tuple(r) for r in rollups.keyword_popularity(feats, "STANDARD").collect())
-    got_sum = sorted(tuple(r) for r in spark.read.parquet(layout.summary).select(
-        *schemas.LIVE_SUMMARY_COLUMNS).collect())
+    got_sum = sorted(tuple(r) for r in stream.read_summary(spark, layout).collect())
     assert got_sum == expect_sum
-    expect_an = sorted(map(tuple, live.live_analytics(feats).collect()), key=repr)
-    got_an = sorted(map(tuple, spark.read.parquet(layout.analytics).select(
-        *schemas.LIVE_ANALYTICS_COLUMNS).collect()), key=repr)
+    analytics = live.live_analytics(feats)
+    assert analytics.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.LIVE_ANALYTICS_SCHEMA]
+    expect_an = sorted(map(tuple, analytics.collect()), key=repr)
+    got_an = sorted(map(tuple, stream.read_analytics(spark, layout).collect()), key=repr)
     assert got_an == expect_an
     assert stream.read_raw_output(spark, layout).count() == raw.count()
 

@@ -175,19 +175,20 @@ def q_numeric_coercion(spark, sf_dir):
 SELECT video_id, keyword AS search_keyword, 'General' AS keyword_type, title, channel AS channel_title,
        published_at, view_count AS views, like_count AS likes, comment_count AS comments,
        duration_seconds, category_id, platform AS default_audio_language, tags,
-       category_name AS topic_categories
+       category_name AS topic_categories, video_id AS message_key
 FROM videos WHERE video_id IS NOT NULL"""))
 def q_json_roundtrip(spark, sf_dir):
-    """Records -> keyed JSON messages (plus undecodable junk) -> text files ->
-    decode with the declared schema -> raw 14-column output."""
+    """Records -> keyed JSON messages (plus undecodable junk) -> stored messages ->
+    decode with the declared schema -> raw 14-column output and the message's key."""
     path = _scratch(spark, "messages")
     msgs = tables.to_messages(fixtures.video_messages(spark, sf_dir))
     junk = spark.range(3).select(F.lit(None).cast("binary").alias("key"),
                                  F.element_at(F.array(F.lit("{not json"), F.lit(""), F.lit('{"video_id": null}')),
                                               (F.col("id") + 1).cast("int")).alias("value"))
-    msgs.unionByName(junk).select("value").write.mode("overwrite").text(path)
-    decoded = live.decode_messages(spark.read.text(path), "value")
-    return live.raw_output(decoded)
+    msgs.unionByName(junk).write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(msgs.schema).parquet(path)
+    decoded = live.decode_messages(stored, "value", keep=["key"])
+    return live.raw_output(decoded, keep=["key"]).withColumn("message_key", F.col("key").cast("string")).drop("key")
 
 
 # ---- ISO-8601 durations ------------------------------------------------------------

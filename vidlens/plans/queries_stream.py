@@ -112,14 +112,10 @@ SELECT search_keyword, CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes
        CASE WHEN search_keyword = '{PRIMARY_KEYWORD}' THEN 'Primary' ELSE 'General' END AS keyword_type
 FROM feat GROUP BY search_keyword"""))
 def q_stream_keyword_totals(spark, sf_dir):
-    layout = run_stream(spark, sf_dir)
-    return spark.read.parquet(layout.summary).select(
-        "search_keyword", "total_views", "total_likes", "total_comments", "avg_daily_view_velocity",
-        "avg_engagement_rate_%", "avg_duration_seconds", "keyword_type")
+    return stream.read_summary(spark, run_stream(spark, sf_dir))
 
 
 @register("stream_keyword_windows", O.with_videos(f""", {WINDOWS_SQL}
 SELECT {_q(LIVE_ANALYTICS_COLUMNS)} FROM staged"""))
 def q_stream_keyword_windows(spark, sf_dir):
-    layout = run_stream(spark, sf_dir)
-    return spark.read.parquet(layout.analytics).select(*LIVE_ANALYTICS_COLUMNS)
+    return stream.read_analytics(spark, run_stream(spark, sf_dir))

@@ -156,3 +156,21 @@ LIVE_ANALYTICS_COLUMNS = [
     "view_share_%_in_keyword", "trend_lifecycle_stage", "title_char_length",
     "tag_count", "default_audio_language", "tags", "topic_categories",
 ]
+
+# The live tables as written, so that reading back never infers partition values.
+_LIVE_COUNTS = {"total_views", "total_likes", "total_comments", "rank_in_keyword", "views", "likes", "comments"}
+_LIVE_INTS = {"days_since_published", "duration_seconds", "title_char_length", "tag_count"}
+_LIVE_DOUBLES = {"avg_daily_view_velocity", "avg_engagement_rate_%", "avg_duration_seconds", "daily_view_velocity",
+                 "velocity_z_score", "engagement_rate_%", "like_to_comment_ratio", "view_share_%_in_keyword"}
+
+
+def _live_type(column):
+    if column in _LIVE_COUNTS:
+        return LongType()
+    if column in _LIVE_INTS:
+        return IntegerType()
+    return DoubleType() if column in _LIVE_DOUBLES else StringType()
+
+
+LIVE_SUMMARY_SCHEMA = _s(*[(c, _live_type(c)) for c in LIVE_SUMMARY_COLUMNS])
+LIVE_ANALYTICS_SCHEMA = _s(*[(c, _live_type(c)) for c in LIVE_ANALYTICS_COLUMNS])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import zipfile
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vidlens.session import apply_plan_defaults, materialize
 
-__all__ = ["connected_components", "crc_mod", "materialize", "prepare", "table"]
+__all__ = ["arrow_rows", "connected_components", "crc_mod", "materialize", "prepare", "table"]
 
 
 _SHIPPED: set[str] = set()
@@ -44,6 +45,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs planned inside send at most ``rows`` rows a batch to Python, where rows may be large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def crc_mod(id_col: str, n: int):
     """crc32(id as text) mod n, as the contracts split held-out rows; a null id gives null."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import connected_components, materialize, table
+from vidlens.llm.common import arrow_rows, connected_components, materialize, table
 from vidlens.llm.lm_scoring import slices
 from vidlens.llm.words import mix, word_hashes
 
@@ -45,6 +45,9 @@ BROADCAST_ROWS = 500_000
 COMMON_SHARE = 2000
 MAX_COMMON = 2_000_000
 BAND = 1.02
+# Bounds on what a Python worker holds at once: text bytes worked on, rows of whole sets sent.
+PART_BYTES = 2 << 20
+SET_ROWS = 1000
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +113,7 @@ def lead(n, percent: int):
 def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarray):
     """The first shingles of each set in the global order: (token, place, size, keys)."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, PART_BYTES):
             h, first = shingle_sets(part["text"], k)
             k1, k2 = set_keys(h, first)
             size = np.diff(first)
@@ -136,7 +139,7 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
 def whole_sets(batches, k: int):
     """Each text's keys, whole set and profile, packed."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, PART_BYTES):
             h, first = shingle_sets(part["text"], k)
             k1, k2 = set_keys(h, first)
             sets = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
@@ -244,7 +247,8 @@ class Join:
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
         found = texts.mapInArrow(lambda it: whole_sets(it, k), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
         # An id may stand for several texts; the keys tell the one that is meant.
-        out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
+        with arrow_rows(self.docs.sparkSession, SET_ROWS):
+            out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
         if out.select("node").groupBy("node").count().where("count > 1").isEmpty():
             return out
         return materialize(out.dropDuplicates(["node"]), "jaccard-members")
@@ -266,8 +270,9 @@ class Join:
         out = sizes.join(n["a"], "a").join(n["b"], "b").withColumn("union", F.col("n_a") + F.col("n_b") - F.col("both"))
         exact = out.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"),
                            (100 * F.col("both") >= self.percent * F.col("union")).alias("near"))
-        return materialize(bounds.join(exact, ["a", "b"], "left").select(
-            "a", "b", "low", "d", F.coalesce("near", F.lit(False)).alias("near")), "jaccard-distances")
+        with arrow_rows(self.docs.sparkSession, SET_ROWS):
+            return materialize(bounds.join(exact, ["a", "b"], "left").select(
+                "a", "b", "low", "d", F.coalesce("near", F.lit(False)).alias("near")), "jaccard-distances")
 
     def feasible(self, x: str, y: str):
         """Sizes and the common shingle's places leave room for the overlap that a link needs."""

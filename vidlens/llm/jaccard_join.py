@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from vidlens.llm.common import arrow_rows, connected_components, materialize, table
 from vidlens.llm.lm_scoring import slices
-from vidlens.llm.words import mix, word_hashes
+from vidlens.llm.words import mix, released, word_hashes
 
 LEAD = 8
 PROFILE_BITS = 7
@@ -197,7 +197,7 @@ class Join:
         """(k1, k2, n, node, least_id): the distinct non-empty sets; node is an id of the class."""
         k = self.k
         self.described = materialize(self.docs.mapInArrow(
-            lambda it: describe(it, k), "common boolean, doc_id long, n long, k1 long, k2 long"), "jaccard-sets")
+            lambda it: released(describe(it, k)), "common boolean, doc_id long, n long, k1 long, k2 long"), "jaccard-sets")
         self.rows = self.described.where("not common").select("doc_id", "n", "k1", "k2")
         found = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("least_id"))
         return materialize(found.withColumn("node", F.coalesce("least_id", "k1")), "jaccard-classes")
@@ -227,7 +227,7 @@ class Join:
         common, level = self.global_order()
         sc = self.docs.sparkSession.sparkContext
         order = sc.broadcast((common, level))
-        first = self.docs.select("text").mapInArrow(lambda it: prefixes(it, k, percent, *order.value),
+        first = self.docs.select("text").mapInArrow(lambda it: released(prefixes(it, k, percent, *order.value)),
                                                     "token long, place int, n int, k1 long, k2 long")
         shared = first.groupBy("token").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("token")
         members = materialize(first.join(shared, "token").distinct(), "jaccard-shared")
@@ -245,7 +245,7 @@ class Join:
         # Few ids go to the texts; beyond the bound texts and ids meet in a shuffle.
         ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
-        found = texts.mapInArrow(lambda it: whole_sets(it, k), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
+        found = texts.mapInArrow(lambda it: released(whole_sets(it, k)), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
         # An id may stand for several texts; the keys tell the one that is meant.
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
             out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
@@ -259,13 +259,13 @@ class Join:
         percent = self.percent
         profiles = [sets.select(F.col("node").alias(x), F.col("profile").alias(f"profile_{x}")) for x in "ab"]
         bounds = pairs.join(profiles[0], "a").join(profiles[1], "b").select("a", "b", "profile_a", "profile_b").mapInArrow(
-            lambda it: profile_bounds(it, percent), "a long, b long, low double, likely boolean")
+            lambda it: released(profile_bounds(it, percent)), "a long, b long, low double, likely boolean")
         bounds = materialize(bounds, "jaccard-bounds")
         pairs = bounds.where("likely").select("a", "b")
         a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
         b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
         joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-        sizes = joined.mapInArrow(lambda it: intersections(it), "a long, b long, both long")
+        sizes = joined.mapInArrow(lambda it: released(intersections(it)), "a long, b long, both long")
         n = {x: sets.select(F.col("node").alias(x), (F.octet_length("members") / 8).cast("long").alias(f"n_{x}")) for x in "ab"}
         out = sizes.join(n["a"], "a").join(n["b"], "b").withColumn("union", F.col("n_a") + F.col("n_b") - F.col("both"))
         exact = out.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"),

@@ -7,6 +7,7 @@ base, taken from running sums over the text bytes, and is mixed at the end.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
@@ -114,5 +115,14 @@ def word_spans(texts: pa.Array, marks: bytes = b""):
     return h, s, e, np.searchsorted(s, offsets), data
 
 
+def released(batches):
+    """The batches; then the worker, which lives on between tasks, gives freed memory back to the system."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def hash_word(word: bytes) -> np.uint64:
     return word_hashes(pa.array([word.decode()]))[0][0]

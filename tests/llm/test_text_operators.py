@@ -128,6 +128,22 @@ def test_jaccard_components_equal_brute_force(spark, odd, none, k, percent):
     assert jaccard_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_links_between_sets_of_different_pivots(spark):
+    # Chains of edited copies: only neighbours reach the threshold.
+    rng = np.random.default_rng(6)
+    ids, rows, want = rng.permutation(1600).tolist(), [], {}
+    for c in range(400):
+        w, chain = [f"c{c}w{i}" for i in range(200)], ids[4 * c:4 * c + 4]
+        for step, i in enumerate(chain):
+            if step:
+                for at in rng.choice(200, 8, replace=False):
+                    w[at] = f"c{c}s{step}r{at}"
+            rows.append((i, " ".join(w)))
+        want.update((i, int(x)) for i, _, x in brute_components(rows[-4:], 1, 90) for i in [int(i)])
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_licenses(spark, odd, none):
     notice = license_scans.TEMPLATES[0][1]
     docs = odd.select("doc_id", "text").union(spark.createDataFrame([

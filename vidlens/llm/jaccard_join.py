@@ -14,11 +14,11 @@ and every link lies within some region. Then, in each region:
    pivot has the sets that are nearest to it of all their pivots.
 2. Sets that link to the pivot are joined through it. Those left recurse: they
    choose the next pivot among them and are compared with it.
-3. What is still open after the last level, pairs with a set that no pivot of
-   the region took, in different cells, is compared pair by pair: only where
-   sizes and the shingle's places allow a link, and only within the
-   triangle-inequality window, the distances to the region's pivot differing by
-   the threshold distance at most. A set beyond its cell's border is
+3. After the last level, cells that links already join are one. Pairs of a
+   region in different cells, sets that pivots took included, are compared pair
+   by pair: only where sizes and the shingle's places allow a link, and only
+   within the triangle-inequality window, the distances to the region's pivot
+   differing by the threshold distance at most. The smaller set of a pair is
    replicated to the size bands that its window reaches.
 
 Distances to pivots are first computed on profiles, the numbers of shingles by
@@ -310,30 +310,30 @@ class Join:
                 to_first = materialize(in_region.select("token", "a", F.col("low").alias("d")), "jaccard-first")
             taken = in_region.where("near").select("token", F.col("a").alias("node")).union(pivots.select("token", "node"))
             open_ = materialize(open_.join(taken.distinct(), ["token", "node"], "left_anti"), "jaccard-open")
-        # Cells: each set's nearest pivot that it links with; two sets of a cell are joined through it.
-        cells = edges.groupBy("a").agg(F.min(F.struct("d", F.col("b").alias("pivot"))).alias("m")).select(F.col("a").alias("node"), "m.pivot")
-        rest = self.rest(regions, open_, cells, to_first)
+        # Cells: what the pivots' links join; two sets of a cell need no comparison.
+        cells = materialize(connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "jaccard-cells")
+        rest = self.rest(regions, cells.withColumnRenamed("component", "cell"), to_first)
         measured = self.distances(rest, sets)
-        return classes, edges.select("a", "b").union(measured.where("near").select("a", "b"))
+        return classes, cells.toDF("a", "b").union(measured.where("near").select("a", "b"))
 
-    def rest(self, regions: DataFrame, open_: DataFrame, cells: DataFrame, to_first: DataFrame) -> DataFrame:
-        """Pairs still to be compared: an open set with any set of its region in another cell."""
+    def rest(self, regions: DataFrame, cells: DataFrame, to_first: DataFrame) -> DataFrame:
+        """Pairs still to be compared: any two sets of a region in different cells, whether a pivot took them or not."""
         p = self.percent
 
-        def known(df):
-            return (df.join(cells, "node", "left").join(to_first.withColumnRenamed("a", "node"), ["token", "node"], "left")
-                    .withColumn("cell", F.coalesce("pivot", "node")))
-
         def band(n):
             return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
 
-        x, y = known(open_), known(regions).withColumn("band", band(F.col("n")))
-        # A partner has at least p % of x's size, and at most what x's place leaves room for.
-        low = F.ceil(p * F.col("n") / 100)
-        high = F.least(F.floor(100 * F.col("n") / p), F.floor((F.col("n") - F.col("place")) * (100 + p) / p) - F.col("n"))
-        x = x.where(high >= low).withColumn("band", F.explode(F.sequence(band(low), band(F.greatest(high, low)))))
-        pairs = x.alias("x").join(y.alias("y"), ["token", "band"]).where(
-            (F.col("x.cell") != F.col("y.cell")) & self.feasible("x", "y")
+        known = regions.join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node"))
+        mixed = known.groupBy("token").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi")).where("lo <> hi").select("token")
+        known = known.join(mixed, "token").join(to_first.withColumnRenamed("a", "node"), ["token", "node"], "left")
+        known = materialize(known.withColumn("band", band(F.col("n"))), "jaccard-mixed")
+        # x is the smaller of a pair; its partner has at most the size that x's place leaves room for.
+        n = F.col("n")
+        high = F.least(F.floor(100 * n / p), F.floor((n - F.col("place")) * (100 + p) / p) - n)
+        x = known.where(high >= n).withColumn("band", F.explode(F.sequence(F.col("band"), band(high))))
+        pairs = x.alias("x").join(known.alias("y"), ["token", "band"]).where(
+            (F.col("x.cell") != F.col("y.cell"))
+            & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node")) & self.feasible("x", "y")
             & F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= self.epsilon + 1e-9, F.lit(True)))
         return materialize(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(),
                            "jaccard-rest")

@@ -217,6 +217,17 @@ def test_repeated_runs(spark, odd, none):
     assert substring_dedup.repeated_runs(none).count() == 0
 
 
+@pytest.mark.parametrize("gap", ["\r\n", " \n", "\n \t\n", "\r\n\r\n"])
+def test_runs_go_on_over_units_without_a_word(spark, gap):
+    lines = [f"Line {i} holds just these w{i} words." for i in range(8)]
+    docs = spark.createDataFrame([(1, "Head." + gap + gap.join(lines)), (2, gap.join(["Other head.", *lines, "Own end."]))],
+                                 "doc_id long, text string")
+    runs = substring_dedup.repeated_runs(docs)
+    assert [(r["doc_id"], r["n_units"], r["n_words"]) for r in runs.collect()] == [(2, 8, 56)]
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.remove_runs(docs, runs).collect()}
+    assert left[2].split() == ["Other", "head.", "Own", "end."]
+
+
 def test_token_counts_equal_the_library(odd, none):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))

@@ -28,10 +28,15 @@ FREQUENT = 1000
 
 
 def units(text: str):
-    """(place, start, end, words, digest halves) of each unit with a word; offsets in code points."""
-    for place, m in enumerate(UNIT.finditer(text)):
+    """(place, start, end, words, digest halves) of each unit with a word; offsets in code points.
+
+    Units without a word take no place, so they do not part their neighbours.
+    """
+    place = -1
+    for m in UNIT.finditer(text):
         words = WORD.findall(m.group())
         if words:
+            place += 1
             d = hashlib.blake2b(" ".join(words).translate(UPPER_TO_LOWER).encode("utf-8", "surrogatepass"), digest_size=16).digest()
             yield place, m.start(), m.end(), len(words), int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 

@@ -49,6 +49,46 @@ def test_near_duplicates_equal_brute_force(spark, shard):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+class Blind:
+    """A graph that a narrow beam leads to self matches only, a wide one to everything."""
+
+    def __init__(self, unit):
+        self.unit = unit
+
+    @staticmethod
+    def build(unit):
+        return Blind(unit)
+
+    def within(self, q, least, beam):
+        if beam >= 128:
+            return np.nonzero(q @ self.unit.T >= least)
+        return np.nonzero(q @ self.unit.T >= 1 - 1e-6)
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_audit_notices_rare_links(monkeypatch, apart):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3000, 16))
+    copies = v[[5, 1700]] + 0.01 * rng.normal(size=(2, 16))
+    ids, ones = np.arange(3002), np.ones(3002, dtype=int)
+    # Copies in another shard, or in the same one.
+    a = (ids[:3000], v, ones[:3000]) if apart else (ids, np.vstack([v, copies]), ones)
+    b = (ids[-900:], np.vstack([rng.normal(size=(898, 16)), copies]), ones[:900]) if apart else a
+    monkeypatch.setattr(embedding_dedup, "Graph", Blind)
+    _, edges = embedding_dedup.shard_links(*a, *b, 0.98, 32, 256, 0.99)
+    assert {(5, 3000), (1700, 3001)} <= {(min(e), max(e)) for e in edges}
+
+
+def test_audit_leaves_out_self_matches_and_goes_on_to_links():
+    v = np.eye(600, dtype=np.float32)
+    v[599] = v[0]
+    own, node = embedding_dedup.audited(v, v, 0.98, 256, True)
+    assert sorted(zip(own.tolist(), node.tolist())) == [(0, 599), (599, 0)]
+    every = np.ones((2000, 4), dtype=np.float32) / 2
+    own, _ = embedding_dedup.audited(every, every, 0.98, 256, True)
+    assert len(np.unique(own)) == 256
+
+
 def test_pipeline_decisions(spark, odd, none, tmp_path):
     import corpus_pipeline as C
     item = " ".join(f"q{i}" for i in range(30))

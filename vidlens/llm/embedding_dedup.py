@@ -2,10 +2,11 @@
 
 Equal vectors of a label are one class; the classes of a label are dealt over
 shards of bounded size, and each shard gets a graph. Every shard's classes
-query every shard of their label. The beam starts narrow; the links found for
-an audited part of the queries are compared with a full comparison of those,
-and the beam doubles until the audit passes. Links found are verified by
-cosine in double precision and joined to components.
+query every shard of their label. The beam starts narrow; queries are compared
+in full until ``audit`` of them have a link other than to themselves, or none
+is left, and the beam doubles until the graph has found these links. Links
+found, the audit's included, are verified by cosine in double precision and
+joined to components.
 """
 
 from __future__ import annotations
@@ -38,9 +39,9 @@ def shard_links(ids_a, vec_a, size_a, ids_b, vec_b, size_b, least: float, beam:
     unit_a = vec_a / np.linalg.norm(vec_a, axis=1, keepdims=True)
     unit_b = unit_a if same else vec_b / np.linalg.norm(vec_b, axis=1, keepdims=True)
     slack = 1e-4  # the graph works in single precision
-    a, b = _found(unit_a, unit_b, least - slack, beam, audit, target)
+    a, b = _found(unit_a, unit_b, least - slack, beam, audit, target, same)
     if not same:
-        b2, a2 = _found(unit_b, unit_a, least - slack, beam, audit, target)
+        b2, a2 = _found(unit_b, unit_a, least - slack, beam, audit, target, same)
         a, b = np.concatenate([a, a2]), np.concatenate([b, b2])
     pairs = np.unique(np.stack([np.concatenate([a, b]), np.concatenate([b, a])] if same else [a, b], 1), axis=0)
     a, b = pairs[:, 0], pairs[:, 1]
@@ -55,23 +56,45 @@ def shard_links(ids_a, vec_a, size_a, ids_b, vec_b, size_b, least: float, beam:
     return links, forest(ids_a[a], ids_b[b])
 
 
-def _found(queries, nodes, least, beam, audit, target):
+def _found(queries, nodes, least, beam, audit, target, same):
     q, v = queries.astype(np.float32), nodes.astype(np.float32)
     graph = Graph.build(v)
-    checked = np.random.default_rng(len(q)).permutation(len(q))[:audit]
-    true = [np.flatnonzero(v @ q[i] >= least) for i in checked]
-    total = sum(map(len, true))
+    own, node = audited(q, v, least, audit, same)
+    want = own * len(v) + node
+    n_links = np.bincount(own, minlength=len(q))
+    some = n_links > 0
     while True:
         a, b = graph.within(q, least, beam)
-        if beam >= len(v):
-            return a, b
-        found = set(zip(a.tolist(), b.tolist(), strict=True))
-        hit = sum((int(i), int(j)) in found for i, t in zip(checked, true, strict=True) for j in t)
-        if hit >= target * total:
-            return a, b
+        known = some[a]
+        hit = np.isin(want, a[known] * len(v) + b[known])
+        n_hit = np.bincount(own[hit], minlength=len(q))
+        # Of all links, and of each query's links on average, so that a few queries with many do not decide alone.
+        if beam >= len(v) or not len(own) or (hit.mean() >= target and (n_hit[some] / n_links[some]).mean() >= target):
+            return np.concatenate([a, own[~hit]]), np.concatenate([b, node[~hit]])
         beam *= 2
 
 
+def audited(q, v, least, audit: int, same: bool, block: int = 256):
+    """(queries, nodes) of the links of the queries compared in full, self matches left out.
+
+    Queries are drawn until ``audit`` of them have a link, or all are compared.
+    """
+    order = np.random.default_rng(len(q)).permutation(len(q))
+    own, node, with_links, at = [], [], 0, 0
+    while at < len(order) and with_links < audit:
+        ids = order[at:at + block]
+        r, c = np.nonzero(q[ids] @ v.T >= least)
+        r = ids[r]
+        if same:
+            other = r != c
+            r, c = r[other], c[other]
+        own.append(r)
+        node.append(c)
+        with_links += len(np.unique(r))
+        at += len(ids)
+    return np.concatenate([*own, np.empty(0, np.int64)]), np.concatenate([*node, np.empty(0, np.int64)])
+
+
 def forest(a, b):
     """Edges that join the same nodes as all pairs (a, b) do."""
     parent: dict[int, int] = {}

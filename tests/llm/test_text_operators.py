@@ -264,6 +264,27 @@ def test_secrets(odd, none):
     assert {r["spans"] for r in found} == {""} and secret_scans.redact(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n  ", "\\n", "\\\\n", "\\r\\n", "\\u000a", '\\n" +\n  "', " "])
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("slash", ["/", "\\/"])
+def test_secrets_in_lines_of_any_line_end(end, width, slash):
+    body = lambda raw: end.join(re.findall(f".{{1,{width}}}", base64.b64encode(raw).decode())).replace("/", slash)
+    rsa = der(0x30, b"".join(der(2, x) for x in [b"\0", *[bytes([250 + i % 3]) * 60 for i in range(8)]]))
+    small = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, b"\xff" * 32)))
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 51) + field(b"\xff" * 130)
+    for raw in (rsa, ssh):
+        pem = f"-----BEGIN PRIVATE KEY-----{end}{body(raw)}{end}-----END PRIVATE KEY-----"
+        assert secret_scans.spans(f'"private_key": "{pem}{end}", x')[0] == ("pem", 16, 16 + len(pem))
+    for raw in (rsa, small, ssh):
+        for before, after in (("x ", " More words. Then."), (f"x{end}" if end[0] in "\\\n" else "x ", f"{end}Then words"), ('k = "', '"')):
+            text = body(raw)
+            assert [f for f in secret_scans.spans(before + text + after) if f[0] == "key"] == [("key", len(before), len(before + text))]
+    broken = bytearray(rsa)
+    broken[8] += 1
+    assert secret_scans.spans(body(bytes(broken))) == []
+
+
 def test_lm_scores_equal_brute_force(odd, none):
     held = crc_mod("doc_id", 7) == 2
     got = lm_scoring.lm_scores(odd, held, prior=4.0, shard_tokens=3000).collect()

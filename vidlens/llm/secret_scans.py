@@ -29,9 +29,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "token", "pem", "key")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.-]*?)-----END \1-----")
+#: A line end or blank as string literals write it, with any number of backslashes; a slash may be written with some, too.
+ESCAPED = r"\\+(?:[nrt]|u000[9aAdD])"
+PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,.\"'-]|{ESCAPED}|\\+[/\s\"'])*?)-----END \1-----")
 B64_RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+# Base64 in lines: a first line that may begin DER or the OpenSSH container, further lines, and what parts them.
+FIRST_LINE = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt])|(?<=u000[9aAdD]))(?:M(?:[A-Za-z0-9+/]|\\+/){15,}|b3BlbnNzaC1r)")
+LINE = re.compile(r"(?:[A-Za-z0-9+/]|\\+/)+")
+BREAK = re.compile(rf"(?:\s|{ESCAPED}|\\+(?=[\s\"'])|[\"',]|(?<=[\s\"'])\+(?=[\s\"']))+")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
@@ -125,6 +131,69 @@ def from_base64(s: str, url: bool = False):
         return None
 
 
+def key_size(buf: bytes) -> int | None:
+    """Bytes that a key has by the lengths at its start, or None where there cannot be one."""
+    if buf[:1] == b"\x30":
+        if len(buf) < 6:
+            return None
+        n = buf[1] & 0x7F if buf[1] & 0x80 else 0
+        if n > 4 or buf[2 + n] not in (INTEGER, SEQUENCE):
+            return None
+        return 2 + n + int.from_bytes(buf[2:2 + n], "big") if n else 2 + buf[1]
+    pos = len(b"openssh-key-v1\0")
+    if buf[:pos] != b"openssh-key-v1\0":
+        return None
+    for _ in range(3):
+        pos += 4 + int.from_bytes(buf[pos:pos + 4], "big")
+    keys = int.from_bytes(buf[pos:pos + 4], "big")
+    pos += 4
+    for _ in range(min(keys, 64) + 1):
+        if pos + 4 > len(buf):
+            return None
+        pos += 4 + int.from_bytes(buf[pos:pos + 4], "big")
+    return pos
+
+
+def key_in_lines(text: str, start: int) -> int | None:
+    """End of the key whose base64 begins at ``start`` and may go on over lines, or None."""
+    parts, n, need, at = [], 0, None, start
+    while m := LINE.match(text, at):
+        parts.append(re.sub(r"\\+", "", m[0]))
+        n += len(parts[-1])
+        if n >= 16 and need is None and parts[0][0] == "M":
+            size = key_size(from_base64("".join(parts)[:16]) or b"")
+            if size is None or size > len(text) - start:
+                return None
+            need = (4 * size + 2) // 3
+        end, at = m.end(), m.end()
+        if need is not None and n >= need:
+            break
+        if gap := BREAK.match(text, at):
+            at = gap.end()
+        else:
+            break
+    if need is None and parts and parts[0][0] == "b":
+        joined = "".join(parts)
+        size = key_size(from_base64(joined[:len(joined) // 4 * 4]) or b"")
+        need = None if size is None else (4 * size + 2) // 3
+        # Again up to that size: what follows the key may look like further lines.
+        n, at = 0, start
+        while need is not None and n < need and (m := LINE.match(text, at)):
+            n, end = n + len(re.sub(r"\\+", "", m[0])), m.end()
+            at = gap.end() if (gap := BREAK.match(text, end)) else end
+        parts = [joined[:n]]
+    if n != need or not is_key(from_base64("".join(parts)) or b""):
+        return None
+    return re.compile("={0,2}").match(text, end).end()
+
+
+def pem_body(body: str) -> str:
+    """The base64 of a PEM body, without line ends as they are written, quotes of joined literals and header lines."""
+    body = re.sub(r"\\+(?=[/\s\"'])", "", re.sub(ESCAPED, "\n", body))
+    body = re.sub(r"(?<=[\s\"'])\+(?=[\s\"'])|[\"',]", "", body) if re.search("[\"']", body) else body
+    return "".join("" if ":" in line else "".join(line.split()) for line in body.splitlines())
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     def obj(part):
         raw = from_base64(part, url=True)
@@ -149,13 +218,18 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         found += [("token", *m.span()) for m in TOKEN.finditer(text) if m[1].startswith("e") and is_signed_token(m[1], m[2])]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            body = "".join("" if ":" in line else "".join(line.split()) for line in m[2].splitlines())
+            body = pem_body(m[2])
             if is_key(from_base64(body) or b"") or "Proc-Type" in m[2] and len(from_base64(body) or b"") >= 64:
                 found.append(("pem", *m.span()))
     for run, decode in ((B64_RUN, from_base64), (HEX_RUN, bytes.fromhex)):
         for m in run.finditer(text):
             if is_key(decode(m[0]) or b""):
                 found.append(("key", *m.span()))
+    known = [(a, b) for k, a, b in found if k in ("pem", "key")]
+    for m in FIRST_LINE.finditer(text):
+        if not any(a <= m.start() < b for a, b in known) and (end := key_in_lines(text, m.start())):
+            found.append(("key", m.start(), end))
+            known.append((m.start(), end))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -159,6 +159,21 @@ def test_licenses(spark, odd, none):
     assert license_scans.license_scan(none).count() == 0
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "dnl "])
+def test_wrapped_licenses(spark, mark):
+    import textwrap
+    lead, tail = "Some words lead here and go on for a line.\n\n", "\n\nOther words follow it to the end."
+    rows = [(i, lead + "\n".join(mark + x for x in textwrap.wrap(t.capitalize(), 70 if len(t) > 100 else 20)) + tail)
+            for i, (_, t) in enumerate(license_scans.TEMPLATES)]
+    half = license_scans.TEMPLATES[0][1].split()
+    rows += [(100, "\n".join(" ".join(half[i:i + 4]) + " other text" * 20 for i in range(0, len(half), 4)))]
+    got = {r["doc_id"]: r for r in license_scans.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, t) in enumerate(license_scans.TEMPLATES):
+        # Marks that are words fill a part of a short template's window.
+        assert label in got[i]["labels"].split(",") and (got[i]["score"] == 1.0 or len(t) < 100)
+    assert got[100]["labels"] == "" and got[100]["score"] == 0.0
+
+
 def test_decontamination_finds_passages_and_spares_others(spark, odd, none):
     item = [f"q{i}" for i in range(40)]
     near = item[:38] + ["other", "end"]

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from vidlens.llm import (
+    byte_bpe,
+    centroid_clusters,
+    conversation_repair,
     decontamination,
     embedding_dedup,
     jaccard_join,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_secret_scans": secret_scans.op8_secret_scans,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+    "op12_centroid_clusters": centroid_clusters.op12_centroid_clusters,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 #: SQL expresses these; the others are tested against brute force, the libraries or held-out accuracy.
@@ -34,4 +40,5 @@ ORACLE = {
     "op4_benchmark_decontamination": decontamination.ORACLE,
     "op6_substring_dedup": substring_dedup.oracle_sql(),
     "op9_embedding_dedup": embedding_dedup.ORACLE,
+    "op12_centroid_clusters": centroid_clusters.oracle_sql(),
 }

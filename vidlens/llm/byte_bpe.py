@@ -21,9 +21,10 @@ from __future__ import annotations
 import base64
 import codecs
 import functools
-import os
+import gc
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -100,10 +101,10 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str, memo: int = 400_000):
         import regex
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already take every core
         self.tokenizer, self.names = load(path, pattern)
         self.lengths = np.array([len(t) for t in self.names], dtype=np.int64)
         self.find, self.unknown, self.memo = regex.compile(pattern).findall, unknown_characters(), memo
+        self.shown = dict(enumerate(byte_characters()))
         self.forget()
 
     def forget(self):
@@ -116,29 +117,43 @@ class Encoder:
         return [m for m, _ in self.tokenizer.pre_tokenizer[0].pre_tokenize_str(text)]
 
     def learn(self, matches: list[str]) -> None:
-        new = [m for m in set(matches) if m not in self.number]
-        if not new:
-            return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.number.update(zip(new, range(len(self.firsts) - 1, len(self.firsts) - 1 + len(new))))
-        ends = np.cumsum([len(x) for x in ids]) + self.firsts[-1]
+        shown = (m.encode().decode("latin-1").translate(self.shown) for m in matches)
+        ids = [[t.id for t in self.tokenizer.model.tokenize(m)] for m in shown]
+        self.number.update(zip(matches, range(len(self.firsts) - 1, len(self.firsts) - 1 + len(matches))))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.firsts[-1]
         self.firsts = np.concatenate([self.firsts, ends])
-        self.ids = np.concatenate([self.ids, np.concatenate([np.array(x, np.int32) for x in ids])])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) - len(self.ids))])
 
     def encode(self, texts: list[str], size: int = PART) -> list[np.ndarray]:
         """The ids of each text, ``size`` characters or one part at a time."""
+        collecting = gc.isenabled()
+        gc.disable()        # many short-lived lists, no cycles
+        try:
+            return self._encode(texts, size)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str], size: int) -> list[np.ndarray]:
         out, waiting, total = [[] for _ in texts], [], 0
 
         def flush():
             if len(self.number) > self.memo:
                 self.forget()
-            self.learn([m for _, found in waiting for m in found])
-            number = self.number
+            matches = [m for _, found in waiting for m in found]
+            number = list(map(self.number.get, matches))
+            new = dict.fromkeys(m for m, k in zip(matches, number) if k is None) if None in number else ()
+            if new:
+                self.learn(list(new))
+                number = list(map(self.number.get, matches))
+            at = np.array(number, dtype=np.int64)
+            first, n = self.firsts[at], self.firsts[at + 1] - self.firsts[at]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            ids = self.ids[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]
+            begin = 0
             for i, found in waiting:
-                at = np.array([number[m] for m in found], dtype=np.int64)
-                first, n = self.firsts[at], self.firsts[at + 1] - self.firsts[at]
-                ends = np.cumsum(n)
-                out[i].append(self.ids[np.repeat(first - ends + n, n) + np.arange(ends[-1] if len(n) else 0)])
+                out[i].append(ids[ends[begin]:ends[begin + len(found)]])
+                begin += len(found)
 
         for i, text in enumerate(texts):
             for part in parts(text, size) if text else ():
@@ -147,7 +162,8 @@ class Encoder:
                 if total >= size:
                     flush()
                     waiting, total = [], 0
-        flush()
+        if waiting:
+            flush()
         return [np.concatenate(x) if x else np.empty(0, np.int32) for x in out]
 
 
@@ -220,7 +236,7 @@ def sized(batches, size: int):
 def decode_ids(ids, names: list[bytes]) -> bytes:
     """The bytes of a token sequence; an id outside the vocabulary is an error that names it."""
     try:
-        return b"".join([names[i] for i in ids])
+        return b"".join(map(names.__getitem__, ids))
     except IndexError:
         raise ValueError(f"ids {sorted({int(i) for i in ids if i >= len(names)})[:5]} are not in the vocabulary") from None
 
@@ -238,6 +254,15 @@ def decode_stream(ids, names: list[bytes]):
         yield rest
 
 
+def listed_ids(lists: pa.Array):
+    """The ids of each list, None for a null one."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    at = 0
+    for n in pa.compute.list_value_length(lists).to_pylist():
+        yield None if n is None else ids[at:at + n].tolist()
+        at += n or 0
+
+
 def decoded(ids: Column, path: str | None = None, pattern: str | None = None) -> Column:
     """The bytes of a column of ids; null where it is null."""
     path, pattern = default_files(path, pattern)
@@ -245,7 +270,7 @@ def decoded(ids: Column, path: str | None = None, pattern: str | None = None) ->
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
         _, names = load(path, pattern)
-        return pa.array([None if x is None else decode_ids(x, names) for x in (v.as_py() for v in lists)], pa.binary())
+        return pa.array([None if x is None else decode_ids(x, names) for x in listed_ids(lists)], pa.binary())
 
     return decode(ids)
 
@@ -258,7 +283,7 @@ def decoded_text(ids: Column, path: str | None = None, pattern: str | None = Non
     def decode(lists: pa.Array) -> pa.Array:
         _, names = load(path, pattern)
         return pa.array([None if x is None else decode_ids(x, names).decode("utf-8", "replace")
-                         for x in (v.as_py() for v in lists)], pa.string())
+                         for x in listed_ids(lists)], pa.string())
 
     return decode(ids)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -31,7 +32,8 @@ KINDS = ("assign", "access", "hex", "token", "pem", "key")
 
 #: A line end or blank as string literals write it, with any number of backslashes; a slash may be written with some, too.
 ESCAPED = r"\\+(?:[nrt]|u000[9aAdD])"
-PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,.\"'-]|{ESCAPED}|\\+[/\s\"'])*?)-----END \1-----")
+PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----")
+PEM_BODY = re.compile(rf"(?:[A-Za-z0-9+/=\s:,.\"'-]|{ESCAPED}|\\+[/\s\"'])*+")
 B64_RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 # Base64 in lines: a first line that may begin DER or the OpenSSH container, further lines, and what parts them.
@@ -41,6 +43,9 @@ BREAK = re.compile(rf"(?:\s|{ESCAPED}|\\+(?=[\s\"'])|[\"',]|(?<=[\s\"'])\+(?=[\s
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
+#: A key in lines has no more bytes than two DER length bytes can tell.
+LONGEST_KEY = 4 + 0xFFFF
+SSH_MAGIC = b"openssh-key-v1\0"
 
 
 def tlv(buf: bytes, pos: int, end: int):
@@ -95,28 +100,35 @@ def starts_with_oid(buf: bytes, item) -> bool:
     return bool(inner) and inner[0][0] == OID and inner[0][2] > inner[0][1]
 
 
-def is_openssh_key(buf: bytes) -> bool:
-    magic = b"openssh-key-v1\0"
-    if not buf.startswith(magic):
-        return False
-    pos, fields = len(magic), 0
+def openssh_size(buf) -> int | None:
+    """Bytes of the OpenSSH container at the start of ``buf`` by its lengths, or None at the first impossible one."""
+    pos = len(SSH_MAGIC)
+    if buf[:pos] != SSH_MAGIC:
+        return None
 
-    def field():
+    def number() -> int | None:
         nonlocal pos
-        if pos + 4 > len(buf):
-            return False
-        pos += 4 + int.from_bytes(buf[pos:pos + 4], "big")
-        return pos <= len(buf)
+        raw = buf[pos:pos + 4]
+        pos += 4
+        value = int.from_bytes(raw, "big")
+        return value if len(raw) == 4 and value <= LONGEST_KEY else None
 
-    if not all(field() for _ in range(3)) or pos + 4 > len(buf):
-        return False
-    keys = int.from_bytes(buf[pos:pos + 4], "big")
-    pos += 4
-    while fields < keys + 1 and fields <= 64:
-        if not field():
-            return False
-        fields += 1
-    return keys >= 1 and fields == keys + 1 and pos == len(buf)
+    def skip(times: int) -> bool:
+        nonlocal pos
+        for _ in range(times):
+            size = number()
+            if size is None or pos + size > LONGEST_KEY:
+                return False
+            pos += size
+        return True
+
+    if not skip(3) or not (keys := number()) or keys > 64 or not skip(keys + 1):
+        return None
+    return pos
+
+
+def is_openssh_key(buf) -> bool:
+    return openssh_size(buf) == len(buf)
 
 
 def is_key(buf: bytes) -> bool:
@@ -131,60 +143,112 @@ def from_base64(s: str, url: bool = False):
         return None
 
 
-def key_size(buf: bytes) -> int | None:
-    """Bytes that a key has by the lengths at its start, or None where there cannot be one."""
-    if buf[:1] == b"\x30":
-        if len(buf) < 6:
-            return None
-        n = buf[1] & 0x7F if buf[1] & 0x80 else 0
-        if n > 4 or buf[2 + n] not in (INTEGER, SEQUENCE):
-            return None
-        return 2 + n + int.from_bytes(buf[2:2 + n], "big") if n else 2 + buf[1]
-    pos = len(b"openssh-key-v1\0")
-    if buf[:pos] != b"openssh-key-v1\0":
+def der_size(buf) -> int | None:
+    """Bytes of the DER key at the start of ``buf`` by its first length, or None where no key begins so."""
+    head = buf[:12]
+    if len(head) < 12 or head[0] != SEQUENCE:
         return None
-    for _ in range(3):
-        pos += 4 + int.from_bytes(buf[pos:pos + 4], "big")
-    keys = int.from_bytes(buf[pos:pos + 4], "big")
-    pos += 4
-    for _ in range(min(keys, 64) + 1):
-        if pos + 4 > len(buf):
-            return None
-        pos += 4 + int.from_bytes(buf[pos:pos + 4], "big")
-    return pos
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    if n > 2 or head[1] == 0x80 or head[2 + n] not in (INTEGER, SEQUENCE):
+        return None
+    if head[2 + n] == INTEGER and (head[3 + n] != 1 or head[4 + n] > 1):
+        return None
+    return 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
 
 
-def key_in_lines(text: str, start: int) -> int | None:
-    """End of the key whose base64 begins at ``start`` and may go on over lines, or None."""
-    parts, n, need, at = [], 0, None, start
-    while m := LINE.match(text, at):
-        parts.append(re.sub(r"\\+", "", m[0]))
-        n += len(parts[-1])
-        if n >= 16 and need is None and parts[0][0] == "M":
-            size = key_size(from_base64("".join(parts)[:16]) or b"")
-            if size is None or size > len(text) - start:
-                return None
-            need = (4 * size + 2) // 3
-        end, at = m.end(), m.end()
-        if need is not None and n >= need:
-            break
-        if gap := BREAK.match(text, at):
-            at = gap.end()
-        else:
-            break
-    if need is None and parts and parts[0][0] == "b":
-        joined = "".join(parts)
-        size = key_size(from_base64(joined[:len(joined) // 4 * 4]) or b"")
-        need = None if size is None else (4 * size + 2) // 3
-        # Again up to that size: what follows the key may look like further lines.
-        n, at = 0, start
-        while need is not None and n < need and (m := LINE.match(text, at)):
-            n, end = n + len(re.sub(r"\\+", "", m[0])), m.end()
-            at = gap.end() if (gap := BREAK.match(text, end)) else end
-        parts = [joined[:n]]
-    if n != need or not is_key(from_base64("".join(parts)) or b""):
+class Lines:
+    """Base64 that goes on over lines from ``start``, read as far as it is asked for.
+
+    ``begins`` are the places in the text and in the joined base64 where each line begins.
+    """
+
+    def __init__(self, text: str, start: int):
+        self.text, self.start, self.at, self.end, self.ended = text, start, start, start, False
+        self.begins, self.offsets, self.stops, self.parts, self.n = [], [], [], [], 0
+        self.joined = ""
+
+    def reach(self, n: int) -> None:
+        """Read until ``n`` characters are there or the lines end; somewhat more, so that few reads do."""
+        if self.n >= n or self.ended:
+            return
+        n = max(n, self.n + max(4096, self.n // 2))
+        while self.n < n and not self.ended:
+            m = LINE.match(self.text, self.at)
+            if m is None:
+                self.ended = True
+                break
+            part = re.sub(r"\\+", "", m[0])
+            self.begins.append(self.at)
+            self.offsets.append(self.n)
+            self.parts.append(part)
+            self.n += len(part)
+            self.end = self.at = m.end()
+            self.stops.append(self.end)
+            gap = BREAK.match(self.text, self.at)
+            if gap is None:
+                self.ended = True
+            else:
+                self.at = gap.end()
+        self.joined = self.joined + "".join(self.parts)
+        self.parts = []
+
+    def offset(self, place: int) -> int:
+        """The joined base64's place for a place in the text that a line read so far holds."""
+        i = bisect.bisect_right(self.begins, place) - 1
+        return self.offsets[i] + len(re.sub(r"\\+", "", self.text[self.begins[i]:place]))
+
+    def stop(self, n: int) -> int | None:
+        """Where in the text the line ends that ends with the n-th character, or None if none does."""
+        i = bisect.bisect_left(self.offsets, n) - 1
+        ends = self.offsets[i + 1] if i + 1 < len(self.offsets) else self.n
+        return self.stops[i] if i >= 0 and ends == n else None
+
+
+class Decoded:
+    """Bytes of joined base64 from ``offset`` on, decoded where they are looked at."""
+
+    def __init__(self, lines: Lines, offset: int, size: int | None = None):
+        self.lines, self.offset, self.size = lines, offset, size
+
+    def __len__(self):
+        return self.size
+
+    def __getitem__(self, key):
+        if isinstance(key, int):
+            return self[key:key + 1][0]
+        a, b = key.start or 0, key.stop
+        first, last = self.offset + a // 3 * 4, self.offset + -(-b // 3) * 4
+        self.lines.reach(last)
+        chars = self.lines.joined[first:last]
+        raw = from_base64(chars[:len(chars) - (len(chars) % 4 == 1)]) or b""
+        return raw[a % 3:a % 3 + b - a]
+
+
+def key_in_lines(lines: Lines, offset: int) -> int | None:
+    """End of the key whose base64 begins at ``offset`` of the joined lines, or None. Only the bytes that
+    hold lengths and tags are decoded, and no line is read beyond the size that these tell."""
+    buf = Decoded(lines, offset)
+    size = der_size(buf) if buf[:1] == b"\x30" else openssh_size(buf)
+    if size is None:
+        return None
+    need = offset + (4 * size + 2) // 3
+    lines.reach(need)
+    end = lines.stop(need)
+    if end is None or not is_key(Decoded(lines, offset, size)):
         return None
-    return re.compile("={0,2}").match(text, end).end()
+    return re.compile("={0,2}").match(lines.text, end).end()
+
+
+def pem_bodies(text: str):
+    """(start, body, end) from each BEGIN line to the first END line of its label, not past the next BEGIN."""
+    begin = None
+    for m in PEM_MARK.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin is not None and begin[2] == m[2]:
+            if PEM_BODY.fullmatch(text, begin.end(), m.start()):
+                yield begin.start(), text[begin.end():m.start()], m.end()
+            begin = None
 
 
 def pem_body(body: str) -> str:
@@ -217,19 +281,29 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     if "." in text:
         found += [("token", *m.span()) for m in TOKEN.finditer(text) if m[1].startswith("e") and is_signed_token(m[1], m[2])]
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = pem_body(m[2])
-            if is_key(from_base64(body) or b"") or "Proc-Type" in m[2] and len(from_base64(body) or b"") >= 64:
-                found.append(("pem", *m.span()))
+        for start, body, end in pem_bodies(text):
+            raw = from_base64(pem_body(body)) or b""
+            if is_key(raw) or "Proc-Type" in body and len(raw) >= 64:
+                found.append(("pem", start, end))
     for run, decode in ((B64_RUN, from_base64), (HEX_RUN, bytes.fromhex)):
         for m in run.finditer(text):
             if is_key(decode(m[0]) or b""):
                 found.append(("key", *m.span()))
-    known = [(a, b) for k, a, b in found if k in ("pem", "key")]
+    known = sorted((a, b) for k, a, b in found if k in ("pem", "key"))
+    at, reach, lines = 0, 0, None     # ``reach``: the furthest end of a finding that begins no later
     for m in FIRST_LINE.finditer(text):
-        if not any(a <= m.start() < b for a, b in known) and (end := key_in_lines(text, m.start())):
+        while at < len(known) and known[at][0] <= m.start():
+            reach, at = max(reach, known[at][1]), at + 1
+        if m.start() < reach:
+            continue
+        if lines is None or m.start() >= lines.end:
+            lines = Lines(text, m.start())
+            offset = 0
+        else:
+            offset = lines.offset(m.start())
+        if end := key_in_lines(lines, offset):
             found.append(("key", m.start(), end))
-            known.append((m.start(), end))
+            reach = max(reach, end)
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -4,10 +4,10 @@ Tables are folders in shared storage; every read passes the declared schema,
 so partition values are never re-inferred (an all-digit keyword stays a
 string) and columns added later read as NULL from older files.
 
-Scoped overwrite (replace only the keyword partitions present in a batch)
-uses dynamic partition overwrite on ``partitionBy(...).parquet(path)``; no
-keyword list is pulled to the driver and no SQL predicate is built from
-data. One table has one writer at a time, as in the reference's scheduler.
+Full overwrites publish a new version (``versioned``). Scoped overwrite (replace
+only the keyword partitions present in a batch) does so too where the table has
+versions, and else uses dynamic partition overwrite on
+``partitionBy(...).parquet(path)``; no SQL predicate is built from data. One table has one writer at a time, as in the reference's scheduler.
 """
 
 from __future__ import annotations
@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlens.schemas import CSV_SCHEMA, MESSAGE_FIELDS
+from vidlens.sinks import versioned
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table (one footer is read)."""
+    """True when ``path`` holds a versioned table or a readable Parquet one (one footer is read)."""
+    if versioned.current(spark, path) is not None:
+        return True
     try:
         spark.read.parquet(path).schema
         return True
@@ -52,6 +55,9 @@ def with_audit(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a whole table; a missing table is an error that names it."""
+    version = versioned.current(spark, path)
+    if version is not None:
+        return versioned.read(spark, path, schema, version=version)
     if not table_exists(spark, path):
         raise FileNotFoundError(f"table {path} does not exist yet; run the stage that writes it first")
     r = spark.read
@@ -93,16 +99,21 @@ def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ("keyword",)) -> None:
-    """Create or fully replace a partitioned table."""
-    (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy(*partition_by).parquet(path))
+    """Create or fully replace a partitioned table. The old rows stay readable
+    until the new ones are whole (see ``versioned``); a failed job changes nothing."""
+    versioned.replace(df, path, *partition_by)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("keyword",)) -> None:
     """Replace only the partitions present in ``df``; all others stay.
 
     An empty batch changes nothing; a NULL key replaces only the NULL partition.
+    A table that ``overwrite`` made gets a new version; other folders are
+    overwritten partition by partition, which a rerun of the batch completes.
     """
+    if versioned.current(df.sparkSession, path) is not None:
+        versioned.replace_partitions(df, path, *partition_by)
+        return
     (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 

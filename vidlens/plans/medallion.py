@@ -7,6 +7,7 @@ after a lost executor) re-reads them instead of recomputing the lineage.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import uuid
 from dataclasses import dataclass
@@ -17,8 +18,8 @@ from pyspark.sql import types as T
 
 from vidlens import schemas
 from vidlens.operators import clean, filters, rollups, stats
-from vidlens.session import apply_plan_defaults
-from vidlens.sinks import tables
+from vidlens.session import apply_plan_defaults, materialize
+from vidlens.sinks import tables, versioned
 
 
 @dataclass(frozen=True)
@@ -73,14 +74,30 @@ def _log(stage: str, obs: Observation) -> None:
     print(f"[{stage}] rows written: {obs.get.get('rows')}")
 
 
-def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: str | None = None) -> DataFrame:
-    """L1: raw CSV -> audit columns -> append to bronze. Returns the whole
-    bronze table (every run's rows; silver de-duplicates across them)."""
-    obs = Observation("bronze")
-    df = tables.with_audit(tables.read_video_csv(spark, input_path), ingested_at)
-    tables.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), layout.bronze)
+def bronze_run(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
+    """The rows that one run landed."""
+    return spark.read.schema(schemas.BRONZE_SCHEMA).parquet(os.path.join(layout.bronze, f"run={run_id}"))
+
+
+def bronze_all(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Every run's rows."""
+    return tables.read_table(spark, layout.bronze, schemas.BRONZE_SCHEMA).select(*schemas.BRONZE_SCHEMA.fieldNames())
+
+
+def land_run(df: DataFrame, layout: Layout, run_id: str, ingested_at: str | None = None) -> None:
+    """L1: raw rows -> audit columns -> the run's folder of bronze; a rerun under the same id replaces it."""
+    obs = Observation(f"bronze-{run_id}")
+    audited = tables.with_audit(df, ingested_at).observe(obs, F.count(F.lit(1)).alias("rows"))
+    audited.write.mode("overwrite").parquet(os.path.join(layout.bronze, f"run={run_id}"))
     _log("BRONZE", obs)
-    return tables.read_table(spark, layout.bronze, schemas.BRONZE_SCHEMA)
+
+
+def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: str | None = None,
+           multi_line: bool | str = True, run_id: str | None = None) -> DataFrame:
+    """L1: raw CSV -> bronze. Returns the whole bronze table (every run's rows;
+    silver de-duplicates across them). ``multi_line`` as in ``tables.read_video_csv``."""
+    land_run(tables.read_video_csv(spark, input_path, multi_line=multi_line), layout, run_id or uuid.uuid4().hex, ingested_at)
+    return bronze_all(spark, layout)
 
 
 def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_order=clean.DEFAULT_DEDUP_ORDER,
@@ -92,14 +109,61 @@ def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_orde
     ``full_refresh`` only the keywords in ``bronze_df`` are replaced (S6).
     Returns the silver table as written (re-read, not recomputed).
     """
-    obs = Observation("silver")
-    clean_df = clean.clean_videos(bronze_df, dedup_order, etl_date, processed_at)
-    out = tables.align(clean_df, SILVER_SCHEMA).observe(obs, F.count(F.lit(1)).alias("rows"))
-    (tables.overwrite if full_refresh else tables.overwrite_partitions)(out, layout.silver)
-    _log("SILVER", obs)
+    seen = Observation("silver-input")
+    bronze_df = bronze_df.observe(seen, F.max("_ingested_at").cast("string").alias("latest"))
+    out = _silver_rows(bronze_df, dedup_order, etl_date, processed_at)
+    if full_refresh:
+        tables.overwrite(out, layout.silver)
+        _remember(spark, layout, seen.get["latest"])
+    else:
+        tables.overwrite_partitions(out, layout.silver)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
 
+def _silver_rows(bronze_df: DataFrame, dedup_order, etl_date, processed_at) -> DataFrame:
+    return tables.align(clean.clean_videos(bronze_df, dedup_order, etl_date, processed_at), SILVER_SCHEMA)
+
+
+def _remember(spark: SparkSession, layout: Layout, latest: str | None) -> None:
+    """The newest ingest time that silver holds goes with its version."""
+    now = versioned.current(spark, layout.silver)
+    versioned.publish(spark, layout.silver, dataclasses.replace(now, number=now.number + 1, meta={**now.meta, "latest": latest}))
+
+
+def merge_silver(spark: SparkSession, layout: Layout, run_id: str, etl_date: str | None = None,
+                 processed_at: str | None = None) -> DataFrame:
+    """L2 by increments: one run's rows change silver; bronze of earlier runs is not read.
+
+    The survivor of a video id is its newest ingest (``clean.DEFAULT_DEDUP_ORDER``).
+    Where all of the run's rows were ingested after everything silver holds, its own
+    survivors therefore win, whether their row stays or is dropped: the old rows
+    of the run's ids go, the new ones come. Only the keywords that these ids enter
+    or leave are rewritten; of the others the id column is read, to find them. A
+    run that is not newer, or a first one, refreshes silver from all of bronze.
+    Rows that do not change keep the run date they were made on.
+    """
+    before = versioned.current(spark, layout.silver)
+    batch = bronze_run(spark, layout, run_id)
+    span = batch.agg(F.min("_ingested_at").cast("string").alias("first"), F.max("_ingested_at").cast("string").alias("last")).first()
+    latest = before.meta.get("latest") if before else None
+    if span["first"] is None and before is not None:        # an empty run
+        return versioned.read(spark, layout.silver, SILVER_SCHEMA)
+    if latest is None or span["first"] <= latest:
+        return silver(spark, bronze_all(spark, layout), layout, etl_date=etl_date, processed_at=processed_at)
+    new = materialize(_silver_rows(batch, clean.DEFAULT_DEDUP_ORDER, etl_date, processed_at), "silver-new")
+    ids = materialize(clean.drop_blank_ids(batch).select("video_id").distinct(), "silver-ids")
+    old = versioned.read(spark, layout.silver, SILVER_SCHEMA, version=before).select("video_id", "keyword")
+    left = old.join(ids, "video_id", "left_semi").select("keyword")
+    # No more than silver has partitions.
+    touched = [r["keyword"] for r in left.unionByName(new.select("keyword")).distinct().collect()]
+    kept = versioned.read(spark, layout.silver, SILVER_SCHEMA, touched, before).join(ids, "video_id", "left_anti")
+    obs = Observation(f"silver-{run_id}")
+    out = kept.select(*SILVER_SCHEMA.fieldNames()).unionByName(new).observe(obs, F.count(F.lit(1)).alias("rows"))
+    versioned.replace_partitions(out, layout.silver, "keyword", touched, {**before.meta, "latest": span["last"]})
+    _log("SILVER", obs)
+    return versioned.read(spark, layout.silver, SILVER_SCHEMA)
+
+
 def pre_load_analysis(silver_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A1/O1 and A2/O2 reports of the silver stage."""
     return rollups.top_keywords_by_engagement(silver_df, 10), rollups.duration_category_counts(silver_df)
@@ -133,9 +197,11 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
     return staged
 
 
-def run_all(spark: SparkSession, input_path: str, layout: Layout, run_date: str, **gold_kwargs) -> DataFrame:
-    """L4: bronze -> silver -> gold, in order."""
+def run_all(spark: SparkSession, input_path: str, layout: Layout, run_date: str, multi_line: bool | str = "parallel",
+            run_id: str | None = None, ingested_at: str | None = None, **gold_kwargs) -> DataFrame:
+    """L4: bronze -> silver -> gold, in order. Silver takes in this run's rows (``merge_silver``)."""
     apply_plan_defaults(spark)
-    b = bronze(spark, input_path, layout)
-    silver(spark, b, layout)
+    run_id = run_id or uuid.uuid4().hex
+    land_run(tables.read_video_csv(spark, input_path, multi_line=multi_line), layout, run_id, ingested_at)
+    merge_silver(spark, layout, run_id, etl_date=run_date)
     return gold(spark, layout, run_date, **gold_kwargs)

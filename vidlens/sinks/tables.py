@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from vidlens.schemas import CSV_SCHEMA, MESSAGE_FIELDS
 from vidlens.sinks import versioned
+from vidlens.sources import csv_records
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -37,11 +38,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 # ---- sources -------------------------------------------------------------------
 
 def read_video_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA,
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool | str = True) -> DataFrame:
     """Header, multi-line quoted fields, '"' escape, declared schema; a bad
-    cell becomes NULL (PERMISSIVE). With ``multi_line`` a file is one task, so
-    land many files; without it, where no field holds a line feed, large files
-    are split."""
+    cell becomes NULL (PERMISSIVE). With ``multi_line`` a file is one task;
+    ``"parallel"`` cuts files at their record ends and reads them in many tasks
+    (see ``sources.csv_records``), with the file's name in ``_source_file``;
+    False, where no field holds a line feed, splits large files at lines."""
+    if multi_line == "parallel":
+        return csv_records.read_csv(spark, path, schema)
     return (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
             .option("escape", '"').option("mode", "PERMISSIVE").schema(schema).csv(path))
 
@@ -50,7 +54,8 @@ def with_audit(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """``_ingested_at`` (run clock unless given) and ``_source_file`` (the
     file each row came from)."""
     ts = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
-    return df.withColumn("_ingested_at", ts).withColumn("_source_file", F.col("_metadata.file_path"))
+    source = F.col("_source_file") if "_source_file" in df.columns else F.col("_metadata.file_path")
+    return df.select(*[c for c in df.columns if c != "_source_file"], ts.alias("_ingested_at"), source.alias("_source_file"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

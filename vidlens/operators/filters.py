@@ -51,7 +51,11 @@ def keyword_filter(df: DataFrame, keyword: str | list[str] | None = None, mode:
 
 
 class NoKeywordMatch(RuntimeError):
-    pass
+    """No row matched ``terms``; ``present`` are keywords that do exist."""
+
+    def __init__(self, message: str, terms: list[str], present: list[str | None]):
+        super().__init__(message)
+        self.terms, self.present = terms, present
 
 
 def require_match(filtered: DataFrame, source: DataFrame, keyword, mode: str = "exact",
@@ -62,7 +66,7 @@ def require_match(filtered: DataFrame, source: DataFrame, keyword, mode: str = "
     if terms and filtered.isEmpty():
         present = [r[0] for r in source.select(col).distinct().limit(sample).collect()]
         raise NoKeywordMatch(f"no rows matched keyword(s) {terms} in {mode} mode; "
-                             f"keywords present include: {present}")
+                             f"keywords present include: {present}", terms, present)
     return filtered
 
 

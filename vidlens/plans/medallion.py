@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlens import schemas
+from vidlens.functions.casts import safe_timestamp
 from vidlens.operators import clean, filters, rollups, stats
 from vidlens.session import apply_plan_defaults, materialize
 from vidlens.sinks import tables, versioned
@@ -43,6 +44,10 @@ class Layout:
     def history(self) -> str:
         return os.path.join(self.root, "videos_history")
 
+    @property
+    def run_log(self) -> str:
+        return os.path.join(self.root, "run_log")
+
     @property
     def export(self) -> str:
         return os.path.join(self.root, "export", "keyword_summary_csv")
@@ -69,9 +74,44 @@ def _silver_schema() -> T.StructType:
 SILVER_SCHEMA = _silver_schema()
 
 
-def _log(stage: str, obs: Observation) -> None:
-    # The row count rides on the write (an observed metric), not on an extra job
-    print(f"[{stage}] rows written: {obs.get.get('rows')}")
+# ---- the run log (A12, Q1, S2) -----------------------------------------------------
+
+RUN_LOG_SCHEMA = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("stage", T.StringType()),
+                               T.StructField("metric", T.StringType()), T.StructField("source_file", T.StringType()),
+                               T.StructField("value", T.LongType())])
+
+
+def bronze_checks():
+    """What bronze rows are counted against as they are written (Q1); rows that fail stay, silver's rules decide."""
+    return {
+        "video_id_present": F.col("video_id").isNotNull() & (F.trim("video_id") != ""),
+        "views_non_negative": F.col("view_count") >= 0,
+        "published_at_parses": safe_timestamp("published_at").isNotNull(),
+    }
+
+
+def observed(df: DataFrame, name: str, checks=None) -> tuple[DataFrame, Observation]:
+    """Counts that ride on the write of ``df``, with no job of their own."""
+    obs = Observation(name)
+    counts = [F.count_if(~check).alias(f"violations:{n}") for n, check in (checks or {}).items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *counts), obs
+
+
+def _log(layout: Layout, run_id: str, stage: str, obs: Observation, by_file: DataFrame | None = None) -> None:
+    """A stage's counts go to the run log, under the run and stage, where a rerun replaces them."""
+    spark = SparkSession.active()
+    print(f"[{stage.upper()}] rows written: {obs.get.get('rows')}")
+    rows = spark.createDataFrame([(run_id, stage, k, None, v) for k, v in obs.get.items()], RUN_LOG_SCHEMA)
+    if by_file is not None:
+        counts = by_file.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("value"))
+        rows = rows.unionByName(counts.select(F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), F.lit("rows").alias("metric"),
+                                              "source_file", "value"))
+    rows.coalesce(1).write.mode("overwrite").parquet(os.path.join(layout.run_log, f"run={run_id}", f"of={stage}"))
+
+
+def read_run_log(spark: SparkSession, layout: Layout) -> DataFrame:
+    """run_id, stage, metric, source_file (of a count for one file), value."""
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(layout.run_log).select(*RUN_LOG_SCHEMA.fieldNames())
 
 
 def bronze_run(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
@@ -86,10 +126,9 @@ def bronze_all(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def land_run(df: DataFrame, layout: Layout, run_id: str, ingested_at: str | None = None) -> None:
     """L1: raw rows -> audit columns -> the run's folder of bronze; a rerun under the same id replaces it."""
-    obs = Observation(f"bronze-{run_id}")
-    audited = tables.with_audit(df, ingested_at).observe(obs, F.count(F.lit(1)).alias("rows"))
+    audited, obs = observed(tables.with_audit(df, ingested_at), f"bronze-{run_id}", bronze_checks())
     audited.write.mode("overwrite").parquet(os.path.join(layout.bronze, f"run={run_id}"))
-    _log("BRONZE", obs)
+    _log(layout, run_id, "bronze", obs, bronze_run(df.sparkSession, layout, run_id))
 
 
 def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: str | None = None,
@@ -101,7 +140,8 @@ def bronze(spark: SparkSession, input_path: str, layout: Layout, ingested_at: st
 
 
 def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_order=clean.DEFAULT_DEDUP_ORDER,
-           etl_date: str | None = None, processed_at: str | None = None, full_refresh: bool = True) -> DataFrame:
+           etl_date: str | None = None, processed_at: str | None = None, full_refresh: bool = True,
+           run_id: str | None = None) -> DataFrame:
     """L2: clean -> silver, partitioned by keyword.
 
     Silver is made from the whole of bronze, so by default it is replaced
@@ -111,12 +151,13 @@ def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_orde
     """
     seen = Observation("silver-input")
     bronze_df = bronze_df.observe(seen, F.max("_ingested_at").cast("string").alias("latest"))
-    out = _silver_rows(bronze_df, dedup_order, etl_date, processed_at)
+    out, obs = observed(_silver_rows(bronze_df, dedup_order, etl_date, processed_at), "silver")
     if full_refresh:
         tables.overwrite(out, layout.silver)
         _remember(spark, layout, seen.get["latest"])
     else:
         tables.overwrite_partitions(out, layout.silver)
+    _log(layout, run_id or uuid.uuid4().hex, "silver", obs)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
 
@@ -149,7 +190,7 @@ def merge_silver(spark: SparkSession, layout: Layout, run_id: str, etl_date: str
     if span["first"] is None and before is not None:        # an empty run
         return versioned.read(spark, layout.silver, SILVER_SCHEMA)
     if latest is None or span["first"] <= latest:
-        return silver(spark, bronze_all(spark, layout), layout, etl_date=etl_date, processed_at=processed_at)
+        return silver(spark, bronze_all(spark, layout), layout, etl_date=etl_date, processed_at=processed_at, run_id=run_id)
     new = materialize(_silver_rows(batch, clean.DEFAULT_DEDUP_ORDER, etl_date, processed_at), "silver-new")
     ids = materialize(clean.drop_blank_ids(batch).select("video_id").distinct(), "silver-ids")
     old = versioned.read(spark, layout.silver, SILVER_SCHEMA, version=before).select("video_id", "keyword")
@@ -157,10 +198,9 @@ def merge_silver(spark: SparkSession, layout: Layout, run_id: str, etl_date: str
     # No more than silver has partitions.
     touched = [r["keyword"] for r in left.unionByName(new.select("keyword")).distinct().collect()]
     kept = versioned.read(spark, layout.silver, SILVER_SCHEMA, touched, before).join(ids, "video_id", "left_anti")
-    obs = Observation(f"silver-{run_id}")
-    out = kept.select(*SILVER_SCHEMA.fieldNames()).unionByName(new).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out, obs = observed(kept.select(*SILVER_SCHEMA.fieldNames()).unionByName(new), f"silver-{run_id}")
     versioned.replace_partitions(out, layout.silver, "keyword", touched, {**before.meta, "latest": span["last"]})
-    _log("SILVER", obs)
+    _log(layout, run_id, "silver", obs)
     return versioned.read(spark, layout.silver, SILVER_SCHEMA)
 
 

@@ -338,3 +338,4 @@ FROM flagged GROUP BY keyword, category_name""")
 from vidlens.plans import queries_io  # noqa: E402,F401  (registers the storage queries)
 from vidlens.plans import queries_stream  # noqa: E402,F401  (registers quality and streaming queries)
 from vidlens.plans import queries_harvest  # noqa: E402,F401  (registers the producer-side queries)
+from vidlens.plans import queries_runs  # noqa: E402,F401  (registers the queries over several runs)

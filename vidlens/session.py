@@ -28,7 +28,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
-# Plan-shape settings every job here relies on; they change how work is
+# Settings every job here relies on; all but the last change how work is
 # spread, never results. Without the first, an aggregate on (keyword, id) or
 # a window on (keyword, bucket) may reuse an upstream partitioning on keyword
 # alone, and a hot keyword would run whole in one task.
@@ -36,6 +36,8 @@ PLAN_CONF = {
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # This one does change results: years, months and ages are those of UTC, whatever zone the caller's session has.
+    "spark.sql.session.timeZone": "UTC",
 }
 DEFAULT_CONF.update(PLAN_CONF)
 

@@ -129,6 +129,64 @@ def merged_schema(table: T.StructType, frame: T.StructType) -> T.StructType:
     return T.StructType(list(table.fields) + [f for f in frame.fields if f.name not in names])
 
 
+class SchemaConflict(ValueError):
+    """A frame's column cannot become the table's type, nor the table's the frame's."""
+
+
+#: Types that hold every value of the ones before them.
+_WIDER = [[T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()], [T.FloatType(), T.DoubleType()], [T.DateType(), T.TimestampNTZType()]]
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The one of two types that holds the values of both, or None."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    for chain in _WIDER:
+        if a in chain and b in chain:
+            return max(a, b, key=chain.index)
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType) and a.scale == b.scale:
+        return max(a, b, key=lambda t: t.precision)
+    return None
+
+
+def evolved_schema(table: T.StructType, frame: T.StructType) -> T.StructType:
+    """S7 over runs: the table's columns, each as wide as both sides need, then the frame's new ones. A column
+    whose types do not widen into one another is refused, as reading old files or keeping new values would fail."""
+    new = {f.name: f.dataType for f in frame.fields}
+    out, refused = [], []
+    for f in table.fields:
+        kind = wider_type(f.dataType, new[f.name]) if f.name in new else f.dataType
+        if kind is None:
+            refused.append(f"{f.name}: {f.dataType.simpleString()} and {new[f.name].simpleString()}")
+        out.append(T.StructField(f.name, kind or f.dataType))
+    if refused:
+        raise SchemaConflict(f"columns that do not widen: {'; '.join(refused)}")
+    names = set(table.fieldNames())
+    return T.StructType(out + [T.StructField(f.name, f.dataType) for f in frame.fields if f.name not in names])
+
+
+def append_evolving(df: DataFrame, path: str, partition_by: str) -> T.StructType:
+    """S3: append to a versioned table, whose schema grows with the frames; rows from before read new columns
+    as NULL and narrower numbers as the wider type. Returns the table's schema; a refused frame changes nothing."""
+    version = versioned.current(df.sparkSession, path)
+    schema = evolved_schema(table_schema(version), df.schema) if version else df.schema
+    versioned.append(align(df, schema), path, partition_by, {**(version.meta if version else {}), "schema": schema.jsonValue()})
+    return schema
+
+
+def table_schema(version: versioned.Version) -> T.StructType:
+    return T.StructType.fromJson(version.meta["schema"])
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    version = versioned.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"table {path} does not exist yet; run the stage that writes it first")
+    return versioned.read(spark, path, table_schema(version), version=version)
+
+
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Reorder ``df`` to ``schema`` by name; absent columns are typed NULLs."""
     have = set(df.columns)

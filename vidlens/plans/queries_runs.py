@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vidlens import schemas
-from vidlens.operators import filters, harvest, rollups
+from vidlens.operators import filters, harvest, moments, rollups, sketches
 from vidlens.plans import medallion
 from vidlens.plans import oracle as O
 from vidlens.plans.queries_harvest import DETAIL_OUT, DETAILS_CTES, details
 from vidlens.plans.queries_io import E2E_ORDER_SQL, SUMMARY_SQL_BODY, _scratch
 from vidlens.plans.queries_stream import _CHECKS_SQL
-from vidlens.plans.registry import (AS_OF, PRIMARY_KEYWORD, RUN_TS, WINDOWS_SQL, _q, flagged, partitioned_silver,
-                                    register, with_flagged)
+from vidlens.plans.registry import (AS_OF, _corr_sql, PRIMARY_KEYWORD, RUN_TS, WINDOWS_SQL, _q, flagged, partitioned_silver,
+                                    register, silver_table, with_flagged)
 from vidlens.schemas import LIVE_ANALYTICS_COLUMNS
 from vidlens.sinks import tables
 from vidlens.sources import fixtures, responses
@@ -171,3 +171,49 @@ def q_stream_incremental_windows(spark, sf_dir):
     stream.compact(spark, layout, at_least=1)
     stream.refresh_analytics(spark, layout, AS_OF)
     return stream.read_analytics(spark, layout)
+
+
+# ---- states that add up over runs (A7-A10) -------------------------------------------
+
+MOMENT_COLUMNS = ["view_count", "like_count", "comment_count", "engagement_rate", "duration_seconds"]
+
+
+@register("merged_moments", O.with_silver(f"""
+SELECT count(*) AS n, {', '.join(f"{O.rnd(f'avg({c})', 4)} AS mean_{c}, {O.rnd(f'stddev_samp({c})', 4)} AS stddev_{c}" for c in MOMENT_COLUMNS)},
+       {_corr_sql('view_count', 'engagement_rate')} AS corr_views_engagement,
+       {_corr_sql('like_count', 'comment_count')} AS corr_likes_comments,
+       {_corr_sql('duration_seconds', 'view_count')} AS corr_duration_views
+FROM silver"""))
+def q_merged_moments(spark, sf_dir):
+    """One state for each publish month, stored; the whole table's figures from these alone."""
+    path = _scratch(spark, "moments")
+    by_month = ["published_year", "published_month"]
+    moments.state(silver_table(spark, sf_dir), MOMENT_COLUMNS, by_month).write.parquet(path)
+    m = moments.merge(spark.read.parquet(path), MOMENT_COLUMNS)
+    figures = [x for c in MOMENT_COLUMNS for x in (F.round(moments.mean(c), 4).alias(f"mean_{c}"), F.round(moments.stddev_samp(c), 4).alias(f"stddev_{c}"))]
+    return m.select("n", *figures,
+                    F.round(moments.corr("view_count", "engagement_rate"), 6).alias("corr_views_engagement"),
+                    F.round(moments.corr("like_count", "comment_count"), 6).alias("corr_likes_comments"),
+                    F.round(moments.corr("view_count", "duration_seconds"), 6).alias("corr_duration_views"))
+
+
+@register("quantile_sketches", O.with_silver("""
+, spans AS (SELECT keyword, view_count, 'all' AS span FROM silver
+  UNION ALL SELECT keyword, view_count, 'from 1995' FROM silver WHERE published_year >= 1995)
+SELECT span, keyword, p, n, true AS inside FROM (
+  SELECT span, keyword, count(*) AS n FROM spans GROUP BY span, keyword) CROSS JOIN (VALUES (0.25::DOUBLE), (0.5), (0.75)) t(p)
+""".replace("\n, spans", ", spans", 1)))
+def q_quantile_sketches(spark, sf_dir):
+    """Sketches stored by keyword and publish day; quartiles by keyword of all days and of a later span come from
+    them, and the exact ranks of these answers lie inside the stated error."""
+    path = _scratch(spark, "sketches")
+    rows = silver_table(spark, sf_dir).select("keyword", "view_count", "published_year", F.to_date("published_at_ts").alias("day"))
+    tables.overwrite(sketches.sketch(rows, "view_count", ["keyword", "published_year", "day"]), path, ["published_year"])
+    stored = tables.read_table(spark, path)
+    out = None
+    for span, keep in (("all", F.lit(True)), ("from 1995", F.col("published_year") >= 1995)):
+        answers = sketches.quantiles(sketches.merged(stored.where(keep), ["keyword"]), [0.25, 0.5, 0.75], ["keyword"])
+        certified = sketches.certify(answers, rows.where(keep), "view_count", ["keyword"]).select(
+            F.lit(span).alias("span"), "keyword", "p", "n", "inside")
+        out = certified if out is None else out.unionByName(certified)
+    return out

@@ -29,7 +29,7 @@ from vidlens.llm.words import mix, word_hashes
 # No word has these hashes but by chance of 2**-64.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 PRIOR = 128.0
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_500_000
 SLICE_BYTES = 8 << 20
 MAX_HOT = 1_000_000
 
@@ -251,24 +251,27 @@ def score_shard(blobs, n_train: int, vocabulary: int, n_rows: int, hot: np.ndarr
     row = np.concatenate([p[2].astype(np.int64) + b for p, b in zip(parts, base, strict=False)])
     ids, keys, train = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
     del parts
+    row = row.astype(np.int32)
     order = np.lexsort((context, cur))
     cur, context, row = cur[order], context[order], row[order]
-    in_train = train[row].astype(np.int64)
+    del order
+    in_train = train[row]
     new_word = np.append(True, cur[1:] != cur[:-1])
     new_pair = new_word | np.append(True, context[1:] != context[:-1])
     word_at, pair_at = np.flatnonzero(new_word), np.flatnonzero(new_pair)
-    words, word_of = cur[word_at], np.cumsum(new_word) - 1
-    count = np.add.reduceat(in_train, word_at)
+    words, word_of = cur[word_at], np.cumsum(new_word, dtype=np.int32) - 1
+    del cur
+    count = np.add.reduceat(in_train, word_at, dtype=np.int64)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
         count = np.where(hot[at] == words, hot_counts[at], count)
     p = (count + 1.0) / (n_train + vocabulary + 1.0)
-    pair_count, pair_word = np.add.reduceat(in_train, pair_at), word_of[pair_at]
+    pair_count, pair_word = np.add.reduceat(in_train, pair_at, dtype=np.int64), word_of[pair_at]
     seen = np.flatnonzero(pair_count > 0)
     gain = np.log10(1.0 + pair_count[seen] / (prior * p[pair_word[seen]]))
     trie = Trie.from_buffer(Trie.build(words, pair_word[seen], context[pair_at][seen], gain).to_bytes())
     rank = np.searchsorted(trie.words, words)[pair_word]
-    pair_gain = trie.gain(rank, context[pair_at])[np.cumsum(new_pair) - 1]
+    pair_gain = trie.gain(rank, context[pair_at])[np.cumsum(new_pair, dtype=np.int32) - 1]
     is_end = words == END
     as_context = np.where(is_end, -np.log10(n_rows + prior), -np.log10(count + prior))
     n = len(ids)

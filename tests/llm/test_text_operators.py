@@ -420,3 +420,35 @@ def test_a_key_behind_an_open_begin_line_is_found():
     # Later starts in lines that an earlier start has read already.
     wrapped = "MIL/AgEAAbCdEfGhIjKl\n" * 3 + body[:20] + "\n" + body[20:] + "\nMore words here."
     assert [wrapped[a:b] for k, a, b in secret_scans.spans(wrapped)] == [body[:20] + "\n" + body[20:]]
+
+
+def test_jaccard_keeps_texts_under_one_id_apart(spark):
+    rows = []
+    for i in range(30):
+        a = [f"a{i}x{j}" for j in range(60)]
+        b = [f"b{i}x{j}" for j in range(60)]
+        # Two different texts under one id, each with a near copy under an id of its own.
+        rows += [(i, " ".join(a)), (i, " ".join(b)), (100 + i, " ".join([*a, "end"])), (200 + i, " ".join([*b, "end"]))]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.select("doc_id", "component_id").collect()) == sorted((d, d % 100) for d, _ in rows)
+
+
+def test_runs_are_cut_from_their_own_text(spark):
+    passage = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega one two."
+    docs = spark.createDataFrame([(1, passage), (2, f"Lead words here. {passage}"), (2, "A wholly different text that must stay as it is, all of it, to the end.")],
+                                 "doc_id long, text string")
+    runs = substring_dedup.repeated_runs(docs, keyed=True)
+    left = sorted(r["text"] for r in substring_dedup.remove_runs(docs, runs).collect())
+    assert left == sorted([passage, "Lead words here.", "A wholly different text that must stay as it is, all of it, to the end."])
+
+
+def test_repeated_runs_equal_their_sql_over_blank_units(spark):
+    import duckdb
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi".split()
+    passage = ". \r\n \n".join(" ".join(w.capitalize() for w in words[i:i + 6]) for i in range(0, 22, 6)) + " Omega One Two Three Four Five."
+    rows = [(1, passage), (2, f"Lead. {passage}\r\n"), (2, f"Lead. {passage}\r\n"), (3, passage + " Tail."), (4, None), (5, "")]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    got = sorted(tuple(r) for r in substring_dedup.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got and got == sorted(con.execute(substring_dedup.oracle_sql()).fetchall())

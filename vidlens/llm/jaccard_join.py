@@ -194,13 +194,14 @@ class Join:
         self.epsilon = 1 - percent / 100
 
     def classes(self) -> DataFrame:
-        """(k1, k2, n, node, least_id): the distinct non-empty sets; node is an id of the class."""
+        """(k1, k2, n, node, least_id): the distinct non-empty sets; node is the class's own key, as
+        texts of different classes may share their least id."""
         k = self.k
         self.described = materialize(self.docs.mapInArrow(
             lambda it: released(describe(it, k)), "common boolean, doc_id long, n long, k1 long, k2 long"), "jaccard-sets")
         self.rows = self.described.where("not common").select("doc_id", "n", "k1", "k2")
         found = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("least_id"))
-        return materialize(found.withColumn("node", F.coalesce("least_id", "k1")), "jaccard-classes")
+        return materialize(found.withColumn("node", F.col("k1")), "jaccard-classes")
 
     def global_order(self):
         """Frequent shingles with the logarithm of their frequency; all others are rarer and come first.

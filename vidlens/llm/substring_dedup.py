@@ -66,14 +66,15 @@ def unit_table(docs: DataFrame, batch: int = 50_000) -> DataFrame:
     return texts.mapInPandas(split, UNIT_SCHEMA)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = 25, min_unit_words: int = 4) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 25, min_unit_words: int = 4, keyed: bool = False) -> DataFrame:
     """Stretches to remove: doc_id, start, end, n_units, n_words, first_doc_id.
 
     Only units of at least ``min_unit_words`` words count towards
     ``min_words``, so that chance repeats of very short sentences remove
     nothing by themselves. first_doc_id is the smallest document that keeps
     one of the run's units. Null and empty texts have no units. A null id
-    ranks last. Rows that repeat an id and its text count as one document.
+    ranks last. Rows that repeat an id and its text count as one document. With
+    ``keyed``, text_key tells apart the texts of one id, for ``remove_runs``.
     """
     u = materialize(unit_table(docs), "dedup-units")
     rank = F.coalesce("doc_id", F.lit(LAST))
@@ -97,12 +98,17 @@ def repeated_runs(docs: DataFrame, min_words: int = 25, min_unit_words: int = 4)
                  F.sum(F.when(F.col("words") >= min_unit_words, F.col("words")).otherwise(0)).alias("long_words"),
                  F.min("kept.rank").alias("first_doc_id"))
             .where(F.col("long_words") >= min_words)
-            .select("doc_id", "start", "end", "n_units", "n_words", "first_doc_id"))
+            .select("doc_id", "start", "end", "n_units", "n_words", "first_doc_id", *["text_key"] * keyed))
 
 
 def remove_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """docs with the runs cut from ``text``; other columns and rows stay."""
-    cuts = runs.groupBy(F.col("doc_id").alias("__cut_id")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
+    """docs with the runs cut from ``text``; other columns and rows stay. Runs are those of ``repeated_runs``;
+    where an id may stand for different texts, ``keyed`` ones, as each is cut from its own text alone."""
+    keyed = "text_key" in runs.columns
+    keys = [F.col("doc_id").alias("__cut_id"), *[F.col("text_key").alias("__cut_key")] * keyed]
+    cuts = runs.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
+    mine = F.col("doc_id").eqNullSafe(F.col("__cut_id"))
+    mine = mine & (F.xxhash64("text") == F.col("__cut_key")) if keyed else mine
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -116,7 +122,7 @@ def remove_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
             return "".join(out) + t[at:]
         return pd.Series([one(t, c) for t, c in zip(texts, cuts, strict=True)], dtype=object)
 
-    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col("__cut_id")), "left")
+    joined = docs.join(cuts, mine, "left")
     return joined.withColumn("text", cut("text", "__cuts")).select(*docs.columns)
 
 
@@ -126,11 +132,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_sql(min_words: int = 25, min_unit_words: int = 4) -> str:
     return rf"""
-with parts as (select doc_id, hash(text) as text_key, regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+') as p from documents where text is not null),
+with parts as (select distinct doc_id, hash(text) as text_key, regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+') as p from documents where text is not null),
 u as (select doc_id, text_key, unnest(range(0, len(p))) as place, unnest(p) as unit from parts),
 s as (select *, sum(length(unit)) over (partition by doc_id, text_key order by place) as "end",
   regexp_extract_all(unit, '[^\x20\x09-\x0D]+') as w from u),
-n as (select doc_id, text_key, place, ("end" - length(unit))::bigint as start, "end"::bigint as "end", len(w) as words,
+n as (select doc_id, text_key, row_number() over (partition by doc_id, text_key order by place) as place, ("end" - length(unit))::bigint as start, "end"::bigint as "end", len(w) as words,
   translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm from s where len(w) > 0),
 k as (select *, first_value(doc_id) over (partition by norm order by doc_id, start) as kept_doc,
   row_number() over (partition by norm order by doc_id, start) as occurrence from n),

@@ -111,3 +111,19 @@ def test_a_run_stops_after_its_seconds(spark):
     q = spark.readStream.format("rate").load().writeStream.format("noop").queryName("endless").start()
     out = stream.run_for([q], seconds=3, poll=600)
     assert not q.isActive and out[0]["id"] == str(q.id)
+
+
+def test_a_byte_limit_cuts_the_triggers(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(6):
+        with open(f"{tmp_dir}/in/{i}.txt", "w") as f:
+            f.write("x" * 999 + "\n")
+    sizes = []
+    for limit in (2500, 100):
+        q = (stream.file_source(spark, f"{tmp_dir}/in", max_bytes_per_trigger=limit).writeStream
+             .foreachBatch(lambda df, i: sizes.append(df.count())).option("checkpointLocation", f"{tmp_dir}/c{limit}")
+             .trigger(availableNow=True).start())
+        stream.await_all([q])
+        assert sum(sizes) == 6 and max(sizes) <= (3 if limit == 2500 else 1)
+        sizes.clear()

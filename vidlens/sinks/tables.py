@@ -221,3 +221,10 @@ def to_messages(df: DataFrame, key: str = "video_id", fields: Sequence[str] = ME
     """One keyed JSON message per record (``key`` binary, ``value`` text)."""
     return df.select(F.col(key).cast("binary").alias("key"),
                      F.to_json(F.struct(*[F.col(c) for c in fields])).alias("value"))
+
+
+def send_messages(messages: DataFrame, bootstrap: str, topic: str, **options: str) -> None:
+    """``to_messages`` rows to a broker's topic; a key's messages share a partition, each is acknowledged by
+    all replicas. Needs the Kafka connector on the classpath."""
+    settings = {"kafka.bootstrap.servers": bootstrap, "topic": topic, "kafka.acks": "all", **options}
+    messages.select("key", "value").write.format("kafka").options(**settings).save()

@@ -452,3 +452,41 @@ def test_repeated_runs_equal_their_sql_over_blank_units(spark):
     con.executemany("insert into documents values (?, ?)", rows)
     got = sorted(tuple(r) for r in substring_dedup.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got and got == sorted(con.execute(substring_dedup.oracle_sql()).fetchall())
+
+
+def test_jaccard_of_forms_below_the_threshold(spark, monkeypatch):
+    # Forms that share 92 % of their words with one another, at Jaccard 0.85, and a few true near copies of some.
+    rng = np.random.default_rng(8)
+    form, rows = [f"f{i}" for i in range(200)], []
+    for i in range(900):
+        w = list(form)
+        for at in rng.choice(200, 16, replace=False):
+            w[at] = f"o{i}at{at}"
+        rows.append(w)
+    for i in range(0, 900, 30):
+        w = list(rows[i])
+        w[int(rng.integers(0, 200))] = f"copy{i}"
+        rows.append(w)
+    vocabulary = {x: j for j, x in enumerate(sorted({x for w in rows for x in w}))}
+    held = np.zeros((len(rows), len(vocabulary)), dtype=np.float32)
+    for i, w in enumerate(rows):
+        held[i, [vocabulary[x] for x in w]] = 1
+    both = held @ held.T
+    a, b = np.nonzero(100 * both >= 90 * (400 - both))
+    want = list(range(len(rows)))
+    for x, y in zip(a.tolist(), b.tolist()):
+        if x < y and want[x] != want[y]:
+            low, high = sorted((want[x], want[y]))
+            want = [low if c == high else c for c in want]
+    made = {}
+
+    def counted(df, name, write=jaccard_join.materialize):
+        out = write(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs, k=1).collect()}
+    assert [got[i] for i in range(len(rows))] == want and len(set(want)) < 900 + 1
+    # Sets compared, and pairs left to the end, stay near the number of texts and not its square (430,000).
+    assert made["jaccard-compared"] + made.get("jaccard-rest", 0) < 20 * len(rows), made

@@ -5,31 +5,36 @@ Equal sets are one class from the start. Distances between unrelated texts
 are all 1, so cells around pivots drawn at random would hold everything;
 pivots are therefore taken where texts meet. All shingles have one global
 order, rare ones first. Two sets within the threshold share a shingle among
-the first few of each, so the sets that have a shingle there form a region,
-and every link lies within some region. Then, in each region:
+the first few of each, and their sizes differ by the threshold at most. So the
+sets that have a shingle there and sizes of one band form a region, boundary
+sets are replicated to the band below, and every link lies within some region.
+
+Regions are then joined recursively and exactly. In each region:
 
 1. Pivot: the set for which the shingle comes first, the one with the least
-   of its own in front of it. The distance of every set to the region's pivot
-   is computed; sets within the threshold link to it. The Voronoi cell of a
-   pivot has the sets that are nearest to it of all their pivots.
-2. Sets that link to the pivot are joined through it. Those left recurse: they
-   choose the next pivot among them and are compared with it.
-3. After the last level, cells that links already join are one. Pairs of a
-   region in different cells, sets that pivots took included, are compared pair
-   by pair: only where sizes and the shingle's places allow a link, and only
-   within the triangle-inequality window, the distances to the region's pivot
-   differing by the threshold distance at most. The smaller set of a pair is
-   replicated to the size bands that its window reaches.
-
-Distances to pivots are first computed on profiles, the numbers of shingles by
-hash range. Their weighted Jaccard distance is a metric too and never above the
-sets' distance, so its triangle windows are valid, and pairs that it puts
-beyond the threshold need no whole sets. All others are compared exactly, on
-whole sets.
+   of its own in front of it. Every set of the region is compared with it.
+   Sets within the threshold link to the pivot; they are its cell.
+2. Two sets of one cell are joined through the pivot. Sets at more than twice
+   the threshold distance link with none of it; they choose the next pivot, in
+   a region of their own to which the sets at the cell's boundary are replicated
+   that the triangle inequality's window reaches.
+3. For pairs of the sets nearer than that, let the difference of a set be the
+   shingles that it or the pivot has, but not both.
+   The distance of two sets is told by their differences, and where not both
+   are within the threshold of the pivot, a link needs differences with a large
+   common part (``least_common``); it follows that they share a shingle among
+   the first of each difference, in an order that is the same for all.
+   The sets that share one there are regions of the next level. Edits that no two texts share leave no
+   region, however many texts there are around a pivot.
+4. Regions whose sets are all joined already are left out. The pairs of regions
+   left after the last level are compared one by one, where sizes, places and
+   the triangle-inequality window allow a link.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +45,10 @@ from vidlens.llm.lm_scoring import slices
 from vidlens.llm.words import mix, released, word_hashes
 
 LEAD = 8
-PROFILE_BITS = 7
+LEVELS = 5
 BROADCAST_ROWS = 500_000
 COMMON_SHARE = 2000
 MAX_COMMON = 2_000_000
-BAND = 1.02
 # Bounds on what a Python worker holds at once: text bytes worked on, rows of whole sets sent.
 PART_BYTES = 2 << 20
 SET_ROWS = 1000
@@ -82,11 +86,6 @@ def set_keys(h: np.ndarray, first: np.ndarray):
     return out
 
 
-def overlap_needed(n, m, percent: int):
-    """Least intersection for 100 * intersection >= percent * union."""
-    return F.ceil((F.lit(percent) * (n + m)) / F.lit(100 + percent))
-
-
 def describe(batches, k: int, least_here: int = 3):
     """A row for each text: id, size and keys of its set; and rows for shingles that several texts of a slice have."""
     for batch in batches:
@@ -110,6 +109,14 @@ def lead(n, percent: int):
     return F.least(F.lit(LEAD), F.ceil(F.lit(percent) * n / 100))
 
 
+def frequency(h: np.ndarray, common: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The level of each shingle in the global order, 0 for all that are not frequent."""
+    if not len(common):
+        return np.zeros(len(h), dtype=np.uint8)
+    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+    return np.where(common[at] == h, level[at], 0)
+
+
 def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarray):
     """The first shingles of each set in the global order: (token, place, size, keys)."""
     for batch in batches:
@@ -118,11 +125,7 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
             k1, k2 = set_keys(h, first)
             size = np.diff(first)
             row = np.repeat(np.arange(len(size)), size)
-            rank = np.zeros(len(h), dtype=np.uint8)
-            if len(common):
-                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                rank = np.where(common[at] == h, level[at], 0)
-            order = np.lexsort((h, rank, row))
+            order = np.lexsort((h, frequency(h, common, level), row))
             h = h[order]
             place = np.arange(len(h)) - first[:-1][row]
             # Of the shared shingles at least ``LEAD`` lie in both fronts of this length.
@@ -137,52 +140,78 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
 
 
 def whole_sets(batches, k: int):
-    """Each text's keys, whole set and profile, packed."""
+    """Each text's keys and whole set, packed."""
     for batch in batches:
         for part in slices(batch, PART_BYTES):
             h, first = shingle_sets(part["text"], k)
             k1, k2 = set_keys(h, first)
             sets = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-            profiles = [profile(h[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part["node"], part["k1"], part["k2"], pa.array(k1), pa.array(k2),
-                                              pa.array(sets, pa.binary()), pa.array(profiles, pa.binary())],
-                                             ["node", "want1", "want2", "k1", "k2", "members", "profile"])
+                                              pa.array(sets, pa.binary())],
+                                             ["node", "want1", "want2", "k1", "k2", "members"])
+
+
+def in_sorted(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which elements of x the sorted, non-empty values hold."""
+    return values[np.minimum(np.searchsorted(values, x), len(values) - 1)] == x
 
 
-def profile(members: np.ndarray) -> np.ndarray:
-    """Members by the leading bits of their hash; two bytes a count where that is enough."""
-    counts = np.bincount((members >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS)
-    return counts.astype("<u2" if len(members) < 1 << 16 else "<u4")
+def least_common(s: int, n: int, near: bool, percent: int) -> int:
+    """Least common part of a set's difference (s shingles, the set n) with that of any set it can link with.
 
+    A set y links with x when |x ^ y| <= c (|x| + |y|), c = (100 - P) / (100 + P). x ^ y is the symmetric
+    difference of the two differences, so their common part is at least (s_x + s_y - c (n_x + n_y)) / 2.
+    Where y is beyond the threshold of the pivot p, s_y > c (n_y + n_p); with n_x <= n_p + s_x the common
+    part is more than s_x (1 - c) / 2 = s_x P / (100 + P). Only a set x that is itself beyond it can link with a
+    y within; then s_y >= s_x - c (n_x + n_y), and the common part is at least s_x - n_x (100 - P) / P, and 1.
+    """
+    beyond = s * percent // (100 + percent) + 1
+    return beyond if near else max(1, min(beyond, s - n * (100 - percent) // percent))
 
-def read_profile(buf) -> np.ndarray:
-    return np.frombuffer(buf, f"<u{len(buf) >> PROFILE_BITS}").astype(np.int64)
 
+def differences(batches, percent: int, common: np.ndarray, level: np.ndarray):
+    """Sets a against their pivots b: (a, b, near, far, distance, size of the difference, its first shingles).
 
-def profile_bounds(batches, percent: int):
-    """(a, b, least distance that the profiles allow, whether a link is possible)."""
+    A far set is at more than twice the threshold distance: it links with nothing near the pivot, and its
+    difference says little, so it is not listed. Any order of a difference that depends on the shingle and the pivot alone is valid. Shingles that
+    the pivot lacks come first, rare ones in front; of those only the pivot has, the rare ones, which
+    most sets lack, come last.
+    """
     for batch in batches:
-        low, likely = [], []
-        for a, b in zip(batch["profile_a"], batch["profile_b"], strict=True):
-            x, y = read_profile(a.as_buffer()), read_profile(b.as_buffer())
-            both, union = int(np.minimum(x, y).sum()), int(np.maximum(x, y).sum())
-            low.append(1 - both / union)
-            likely.append(100 * both >= percent * union)
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(low, pa.float64()), pa.array(likely, pa.bool_())],
-                                         ["a", "b", "low", "likely"])
-
-
-def intersections(batches):
-    """Sizes of the intersection of the packed, sorted sets a and b."""
+        near, far, d, s, front = [], [], [], [], []
+        for a, b in zip(batch["set_a"], batch["set_b"], strict=True):
+            x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+            held = in_sorted(x, y)
+            added, both = x[~held], int(held.sum())
+            missing = y[~in_sorted(y, x)]
+            union = len(x) + len(missing)
+            near.append(100 * both >= percent * union)
+            far.append(100 * both < (2 * percent - 100) * union)
+            d.append(1 - both / union)
+            s.append(len(added) + len(missing))
+            if far[-1]:
+                front.append(None)
+                continue
+            length = s[-1] - least_common(s[-1], len(x), near[-1], percent) + 1
+            added = added[np.lexsort((added, frequency(added, common, level)))][:length]
+            if len(added) < length:
+                missing = missing[np.lexsort((missing, frequency(missing, common, level) == 0))][:length - len(added)]
+                added = np.concatenate([added, missing])
+            front.append(added.view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch["a"], batch["b"], pa.array(near, pa.bool_()), pa.array(far, pa.bool_()), pa.array(d, pa.float64()),
+             pa.array(s, pa.int32()), pa.array(front, pa.list_(pa.int64()))], ["a", "b", "near", "far", "d", "s", "front"])
+
+
+def close(batches, percent: int):
+    """Pairs a, b of packed, sorted sets that are within the threshold."""
     for batch in batches:
-        both = np.empty(len(batch), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(batch["set_a"], batch["set_b"], strict=True)):
-            left, right = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            if len(left) > len(right):
-                left, right = right, left
-            at = np.minimum(np.searchsorted(right, left), len(right) - 1)
-            both[i] = int((right[at] == left).sum())
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(both)], ["a", "b", "both"])
+        near = []
+        for a, b in zip(batch["set_a"], batch["set_b"], strict=True):
+            x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+            both = int(in_sorted(x, y).sum())
+            near.append(100 * both >= percent * (len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 class Join:
@@ -191,7 +220,6 @@ class Join:
     def __init__(self, docs: DataFrame, k: int, percent: int):
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         self.k, self.percent = k, percent
-        self.epsilon = 1 - percent / 100
 
     def classes(self) -> DataFrame:
         """(k1, k2, n, node, least_id): the distinct non-empty sets; node is the class's own key, as
@@ -223,124 +251,127 @@ class Join:
         return common[order], level[order]
 
     def regions(self, classes: DataFrame) -> DataFrame:
-        """(token, node, n, place): the sets of each region, for regions with two or more."""
+        """(region, node, n, s, place, later): the sets of each region, for regions with two or more; see ``links``."""
         k, percent = self.k, self.percent
-        common, level = self.global_order()
         sc = self.docs.sparkSession.sparkContext
-        order = sc.broadcast((common, level))
+        self.order = order = sc.broadcast(self.global_order())
         first = self.docs.select("text").mapInArrow(lambda it: released(prefixes(it, k, percent, *order.value)),
                                                     "token long, place int, n int, k1 long, k2 long")
         shared = first.groupBy("token").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("token")
-        members = materialize(first.join(shared, "token").distinct(), "jaccard-shared")
-        # A link needs several shingles in common here; a set with fewer in any region has none.
+        # Sizes of linked sets lie in one band or in two that follow one another; a region has two bands.
+        band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent) * (1 + 1e-6)))
+        members = first.join(shared, "token").distinct().withColumn("band", F.explode(F.array(band, band - 1)))
+        members = members.select(F.xxhash64("token", "band").alias("region"), "band", F.col("k1").alias("node"), "n", "place")
+        members = materialize(members, "jaccard-shared")
+        members = members.join(self.several(members, "node"), "region")
+        # A link needs several shingles in common here; a set with fewer in all regions of a band has none.
         # Its partner may be smaller, by the threshold at most.
-        enough = members.groupBy("k1", "k2", "n").agg(F.count("*").alias("shared")).where(
-            F.col("shared") >= lead(F.col("n") * percent / 100, percent))
-        enough = enough.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).select("k1", "k2", "node")
-        return materialize(members.join(enough, ["k1", "k2"]).select("token", "node", "n", "place"), "jaccard-regions")
+        enough = members.groupBy("node", "band").agg(F.count("*").alias("shared"), F.max("n").alias("n")).where(
+            F.col("shared") >= lead(F.col("n") * percent / 100, percent)).select("node", "band")
+        members = materialize(members.join(enough, ["node", "band"]).select("region", "node", "n", "place"), "jaccard-enough")
+        out = members.join(self.several(members, "node"), "region")
+        return materialize(out.select("region", "node", "n", F.col("n").alias("s"), "place", F.lit(False).alias("later")), "jaccard-regions")
+
+    @staticmethod
+    def several(members: DataFrame, what: str) -> DataFrame:
+        """Regions with two or more different values."""
+        return members.groupBy("region").agg(F.min(what).alias("lo"), F.max(what).alias("hi")).where("lo <> hi").select("region")
 
     def sets(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """(node, members, profile): the whole sets of the classes that are in a region."""
+        """(node, members): the whole sets of the classes that are in a region."""
         k = self.k
         wanted = materialize(classes.join(regions.select("node").distinct(), "node").select("least_id", "k1", "k2", "node"), "jaccard-wanted")
         # Few ids go to the texts; beyond the bound texts and ids meet in a shuffle.
         ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
-        found = texts.mapInArrow(lambda it: released(whole_sets(it, k)), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
+        found = texts.mapInArrow(lambda it: released(whole_sets(it, k)), "node long, want1 long, want2 long, k1 long, k2 long, members binary")
         # An id may stand for several texts; the keys tell the one that is meant.
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
+            out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members"), "jaccard-members")
         if out.select("node").groupBy("node").count().where("count > 1").isEmpty():
             return out
         return materialize(out.dropDuplicates(["node"]), "jaccard-members")
 
-    def distances(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """(a, b, low, d, near) of distinct pairs of nodes: the profiles' distance, the exact one where
-        a link is possible, and the exact test in integers."""
-        percent = self.percent
-        profiles = [sets.select(F.col("node").alias(x), F.col("profile").alias(f"profile_{x}")) for x in "ab"]
-        bounds = pairs.join(profiles[0], "a").join(profiles[1], "b").select("a", "b", "profile_a", "profile_b").mapInArrow(
-            lambda it: released(profile_bounds(it, percent)), "a long, b long, low double, likely boolean")
-        bounds = materialize(bounds, "jaccard-bounds")
-        pairs = bounds.where("likely").select("a", "b")
-        a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-        b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-        joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-        sizes = joined.mapInArrow(lambda it: released(intersections(it)), "a long, b long, both long")
-        n = {x: sets.select(F.col("node").alias(x), (F.octet_length("members") / 8).cast("long").alias(f"n_{x}")) for x in "ab"}
-        out = sizes.join(n["a"], "a").join(n["b"], "b").withColumn("union", F.col("n_a") + F.col("n_b") - F.col("both"))
-        exact = out.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"),
-                           (100 * F.col("both") >= self.percent * F.col("union")).alias("near"))
+    def possible(self, regions: DataFrame) -> DataFrame:
+        """The sets whose difference has enough behind the shared place for a link with some set of the region."""
+        p = self.percent
+        bounds = regions.groupBy("region").agg(F.min("s").alias("s_least"), F.max("n").alias("n_most"))
+        s, n, place = F.col("s"), F.col("n"), F.col("place")
+        room = (100 + p) * (s + F.col("s_least") - 2 * (s - place)) <= (100 - p) * (n + F.col("n_most"))
+        return regions.join(bounds, "region").where(room).drop("s_least", "n_most")
+
+    def with_sets(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Distinct pairs of nodes with both whole sets."""
+        for x in "ab":
+            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("members").alias(f"set_{x}")), x)
+        return pairs.select("a", "b", "set_a", "set_b")
+
+    def compared(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Each distinct (a, pivot b) with its difference, see ``differences``."""
+        percent, order = self.percent, self.order
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            return materialize(bounds.join(exact, ["a", "b"], "left").select(
-                "a", "b", "low", "d", F.coalesce("near", F.lit(False)).alias("near")), "jaccard-distances")
+            return materialize(self.with_sets(pairs, sets).mapInArrow(
+                lambda it: released(differences(it, percent, *order.value)),
+                "a long, b long, near boolean, far boolean, d double, s int, front array<long>"), "jaccard-compared")
 
-    def feasible(self, x: str, y: str):
-        """Sizes and the common shingle's places leave room for the overlap that a link needs."""
-        nx, ny, px, py = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.place", f"{y}.place"))
-        need = overlap_needed(nx, ny, self.percent)
-        return (100 * F.least(nx, ny) >= self.percent * F.greatest(nx, ny)) & (F.least(nx - px, ny - py) >= need)
+    def mixed(self, regions: DataFrame, cells: DataFrame) -> DataFrame:
+        """The regions with sets of different cells; a set that links with nothing is its own cell."""
+        known = regions.drop("cell").join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node"))
+        return known.join(self.several(known, "cell"), "region")
 
-    def links(self, levels: int = 2) -> tuple[DataFrame, DataFrame]:
-        """(classes, links between their nodes): enough links to join what is joined."""
+    def links(self, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+        """(classes, links between their nodes): enough links to join what is joined.
+
+        In a region, ``s`` is the size of each set's difference and ``place`` that of the region's shingle
+        in it; at first these are the whole set's, its difference with an empty one. Sets ``later`` are no
+        pivots while there are others.
+        """
         classes = self.classes()
         regions = self.regions(classes)
         sets = self.sets(regions, classes)
-        edges, cells = None, None
-        # ``open``: sets of a region that no pivot took yet; ``to_first``: distances to the region's first pivot.
-        open_, to_first = regions, None
-        for lv in range(levels):
-            pivots = open_.groupBy("token").agg(F.min(F.struct("place", "node", "n")).alias("p"), F.count("*").alias("left"))
-            pivots = pivots.where("left > 1" if lv == 0 else "left > 0").select("token", "p.place", "p.node", "p.n")
-            pivots = materialize(pivots, "jaccard-pivots")
-            star = regions.alias("x").join(pivots.alias("y"), "token").where(
-                (F.col("x.node") != F.col("y.node")) & self.feasible("x", "y"))
-            star = star.select("token", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            if to_first is not None:
-                # Triangle window: both distances to the first pivot are known and too far apart.
-                t = to_first
-                star = (star.join(t, ["token", "a"], "left").withColumnRenamed("d", "da")
-                        .join(t.select("token", F.col("a").alias("b"), "d"), ["token", "b"], "left").withColumnRenamed("d", "db")
-                        .where(F.coalesce(F.abs(F.col("da") - F.col("db")) <= self.epsilon + 1e-9, F.lit(True))))
-            star = materialize(star.select("token", "a", "b"), "jaccard-star")
-            measured = self.distances(star.select("a", "b").distinct(), sets)
-            linked = measured.where("near").select("a", "b", "d")
-            edges = linked if edges is None else edges.union(linked)
-            in_region = star.join(measured, ["a", "b"])
-            if to_first is None:
-                to_first = materialize(in_region.select("token", "a", F.col("low").alias("d")), "jaccard-first")
-            taken = in_region.where("near").select("token", F.col("a").alias("node")).union(pivots.select("token", "node"))
-            open_ = materialize(open_.join(taken.distinct(), ["token", "node"], "left_anti"), "jaccard-open")
-        # Cells: what the pivots' links join; two sets of a cell need no comparison.
-        cells = materialize(connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "jaccard-cells")
-        rest = self.rest(regions, cells.withColumnRenamed("component", "cell"), to_first)
-        measured = self.distances(rest, sets)
-        return classes, cells.toDF("a", "b").union(measured.where("near").select("a", "b"))
-
-    def rest(self, regions: DataFrame, cells: DataFrame, to_first: DataFrame) -> DataFrame:
-        """Pairs still to be compared: any two sets of a region in different cells, whether a pivot took them or not."""
+        edges = self.docs.sparkSession.createDataFrame([], "a long, b long")
+        epsilon = 1 - self.percent / 100 + 1e-9
+        for _ in range(levels):
+            if regions.isEmpty():
+                return classes, edges
+            pivots = regions.groupBy("region").agg(F.min(F.struct("later", "place", "node")).alias("p")).select("region", F.col("p.node").alias("b"))
+            star = regions.join(pivots, "region").where(F.col("node") != F.col("b"))
+            star = materialize(star.select("region", F.col("node").alias("a"), "b", "n", F.col("s").alias("s_here"), "place"), "jaccard-star")
+            measured = self.compared(star.select("a", "b").distinct(), sets)
+            edges = materialize(edges.union(measured.where("near").select("a", "b")), "jaccard-edges")
+            cells = materialize(connected_components(edges.toDF("src", "dst")).toDF("node", "cell"), "jaccard-cells")
+            # Where all sets are joined now nothing is left to find.
+            on = self.mixed(star.withColumnRenamed("a", "node"), cells).select("region", F.col("node").alias("a"), "b", "n", "s_here", "place")
+            on = materialize(on.join(measured.drop("front"), ["a", "b"]), "jaccard-on")
+            # Pairs of sets that are not far meet where their differences do.
+            front = measured.join(on.where("not far").select("a", "b", "n").distinct(), ["a", "b"])
+            front = front.select(F.col("a").alias("node"), "b", "n", "s", F.posexplode("front").alias("place", "shingle"))
+            deeper = front.select(F.xxhash64("b", "shingle").alias("region"), "node", "n", "s", "place", F.lit(False).alias("later"))
+            # Far sets go on with the next pivot, and with them the boundary sets that their window reaches.
+            window = on.where("far").groupBy("region").agg((F.min("d") - epsilon).alias("from"))
+            again = on.join(window, "region").where("far or (not near and d >= from)")
+            again = again.select("region", F.col("a").alias("node"), "n", F.col("s_here").alias("s"), "place", (~F.col("far")).alias("later"))
+            regions = materialize(self.mixed(materialize(deeper.union(again), "jaccard-deeper"), cells), "jaccard-mixed")
+            regions = materialize(self.possible(regions), "jaccard-regions")
+        return classes, edges.union(self.rest(regions, sets))
+
+    def rest(self, regions: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links among the sets of a region that are in different cells."""
         p = self.percent
+        x, y = regions.alias("x"), regions.alias("y")
+        nx, ny, sx, sy = (F.col(c) for c in ("x.n", "y.n", "x.s", "y.s"))
+        # Of the common part that a link needs, enough must follow the shared place in both differences.
+        room = F.least(sx - F.col("x.place"), sy - F.col("y.place"))
+        pairs = x.join(y, "region").where(
+            (F.col("x.cell") != F.col("y.cell")) & (F.col("x.node") < F.col("y.node"))
+            & (100 * F.least(nx, ny) >= p * F.greatest(nx, ny))
+            & ((100 + p) * (sx + sy - 2 * room) <= (100 - p) * (nx + ny)))
+        pairs = materialize(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "jaccard-rest")
+        with arrow_rows(self.docs.sparkSession, SET_ROWS):
+            return materialize(self.with_sets(pairs, sets).mapInArrow(lambda it: released(close(it, p)), "a long, b long"), "jaccard-close")
+
 
-        def band(n):
-            return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
-
-        known = regions.join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node"))
-        mixed = known.groupBy("token").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi")).where("lo <> hi").select("token")
-        known = known.join(mixed, "token").join(to_first.withColumnRenamed("a", "node"), ["token", "node"], "left")
-        known = materialize(known.withColumn("band", band(F.col("n"))), "jaccard-mixed")
-        # x is the smaller of a pair; its partner has at most the size that x's place leaves room for.
-        n = F.col("n")
-        high = F.least(F.floor(100 * n / p), F.floor((n - F.col("place")) * (100 + p) / p) - n)
-        x = known.where(high >= n).withColumn("band", F.explode(F.sequence(F.col("band"), band(high))))
-        pairs = x.alias("x").join(known.alias("y"), ["token", "band"]).where(
-            (F.col("x.cell") != F.col("y.cell"))
-            & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node")) & self.feasible("x", "y")
-            & F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= self.epsilon + 1e-9, F.lit(True)))
-        return materialize(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(),
-                           "jaccard-rest")
-
-
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, levels: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, levels: int = LEVELS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     Rows link when their sets of k-word shingles have a Jaccard similarity of

@@ -18,6 +18,9 @@ Regions are then joined recursively and exactly. In each region:
    the threshold distance link with none of it; they choose the next pivot, in
    a region of their own to which the sets at the cell's boundary are replicated
    that the triangle inequality's window reaches.
+   Distances are first bounded on profiles, the numbers of shingles by hash
+   range, whose weighted Jaccard distance is never above the sets' distance;
+   whole sets are sent only where that does not prove them far.
 3. For pairs of the sets nearer than that, let the difference of a set be the
    shingles that it or the pivot has, but not both.
    The distance of two sets is told by their differences, and where not both
@@ -140,15 +143,44 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
 
 
 def whole_sets(batches, k: int):
-    """Each text's keys and whole set, packed."""
+    """Each text's keys, whole set and profile, packed."""
     for batch in batches:
         for part in slices(batch, PART_BYTES):
             h, first = shingle_sets(part["text"], k)
             k1, k2 = set_keys(h, first)
             sets = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part["node"], part["k1"], part["k2"], pa.array(k1), pa.array(k2),
-                                              pa.array(sets, pa.binary())],
-                                             ["node", "want1", "want2", "k1", "k2", "members"])
+                                              pa.array(sets, pa.binary()),
+                                              pa.array([profile(h[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())],
+                                             ["node", "want1", "want2", "k1", "k2", "members", "profile"])
+
+
+def profile(members: np.ndarray) -> bytes:
+    """The set's size and its members counted by the leading bits of their hash, one or two for a count."""
+    bits = max(0, len(members).bit_length() - 1)
+    counts = np.bincount((members >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(members), np.int64),
+                         minlength=1 << bits)
+    kind = next(t for t in ("<u1", "<u2", "<u4") if counts.max() <= np.iinfo(t).max)
+    return np.array([len(members), 1 << bits], dtype="<u4").tobytes() + counts.astype(kind).tobytes()
+
+
+def read_profile(buf) -> tuple[int, np.ndarray]:
+    n, bins = np.frombuffer(buf, "<u4", 2).tolist()
+    return n, np.frombuffer(buf, f"<u{(len(buf) - 8) // bins}", bins, 8).astype(np.int64)
+
+
+def far_by_profile(batches, percent: int):
+    """(a, b, least distance that the profiles allow, whether it proves that a is far from b)."""
+    for batch in batches:
+        low, far = [], []
+        for a, b in zip(batch["profile_a"], batch["profile_b"], strict=True):
+            (n, x), (m, y) = read_profile(a.as_buffer()), read_profile(b.as_buffer())
+            bins = min(len(x), len(y))
+            both = int(np.minimum(x.reshape(bins, -1).sum(axis=1), y.reshape(bins, -1).sum(axis=1)).sum())
+            low.append(1 - both / (n + m - both))
+            far.append(100 * both < (2 * percent - 100) * (n + m - both))
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(low, pa.float64()), pa.array(far, pa.bool_())],
+                                         ["a", "b", "low", "far"])
 
 
 def in_sorted(x: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -278,16 +310,16 @@ class Join:
         return members.groupBy("region").agg(F.min(what).alias("lo"), F.max(what).alias("hi")).where("lo <> hi").select("region")
 
     def sets(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """(node, members): the whole sets of the classes that are in a region."""
+        """(node, members, profile): the whole sets of the classes that are in a region, and their profiles."""
         k = self.k
         wanted = materialize(classes.join(regions.select("node").distinct(), "node").select("least_id", "k1", "k2", "node"), "jaccard-wanted")
         # Few ids go to the texts; beyond the bound texts and ids meet in a shuffle.
         ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
         texts = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("text", "node", "k1", "k2")
-        found = texts.mapInArrow(lambda it: released(whole_sets(it, k)), "node long, want1 long, want2 long, k1 long, k2 long, members binary")
+        found = texts.mapInArrow(lambda it: released(whole_sets(it, k)), "node long, want1 long, want2 long, k1 long, k2 long, members binary, profile binary")
         # An id may stand for several texts; the keys tell the one that is meant.
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members"), "jaccard-members")
+            out = materialize(found.where("k1 = want1 and k2 = want2").select("node", "members", "profile"), "jaccard-members")
         if out.select("node").groupBy("node").count().where("count > 1").isEmpty():
             return out
         return materialize(out.dropDuplicates(["node"]), "jaccard-members")
@@ -300,19 +332,24 @@ class Join:
         room = (100 + p) * (s + F.col("s_least") - 2 * (s - place)) <= (100 - p) * (n + F.col("n_most"))
         return regions.join(bounds, "region").where(room).drop("s_least", "n_most")
 
-    def with_sets(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Distinct pairs of nodes with both whole sets."""
+    def with_sets(self, pairs: DataFrame, sets: DataFrame, column: str = "members", name: str = "set") -> DataFrame:
+        """Distinct pairs of nodes with both whole sets, or both profiles."""
         for x in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("members").alias(f"set_{x}")), x)
-        return pairs.select("a", "b", "set_a", "set_b")
+            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col(column).alias(f"{name}_{x}")), x)
+        return pairs.select("a", "b", f"{name}_a", f"{name}_b")
 
     def compared(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Each distinct (a, pivot b) with its difference, see ``differences``."""
+        """Each distinct (a, pivot b) with its difference, see ``differences``; whole sets are sent only
+        where the profiles do not prove that they are far, else the distance is a lower bound."""
         percent, order = self.percent, self.order
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            return materialize(self.with_sets(pairs, sets).mapInArrow(
+            judged = materialize(self.with_sets(pairs, sets, "profile", "profile").mapInArrow(
+                lambda it: released(far_by_profile(it, percent)), "a long, b long, low double, far boolean"), "jaccard-judged")
+            far = judged.where("far").selectExpr("a", "b", "false as near", "far", "low as d", "cast(null as int) as s",
+                                                 "cast(null as array<long>) as front")
+            return materialize(far.union(self.with_sets(judged.where("not far").select("a", "b"), sets).mapInArrow(
                 lambda it: released(differences(it, percent, *order.value)),
-                "a long, b long, near boolean, far boolean, d double, s int, front array<long>"), "jaccard-compared")
+                "a long, b long, near boolean, far boolean, d double, s int, front array<long>")), "jaccard-compared")
 
     def mixed(self, regions: DataFrame, cells: DataFrame) -> DataFrame:
         """The regions with sets of different cells; a set that links with nothing is its own cell."""

@@ -126,7 +126,7 @@ UNION ALL SELECT DISTINCT keyword, 'matched' FROM silver WHERE keyword = 'small'
 def q_no_match_guard(spark, sf_dir):
     """What the guard says is there where a filter matched nothing (the fixture has fewer keywords than the
     guard names), and the rows' keywords where it matched."""
-    s = partitioned_silver(spark, sf_dir)
+    s = partitioned_silver(spark, sf_dir, ("keyword", "view_count"))
     matched = filters.read_gold_input(s, 0, "small").select(F.col("keyword").alias("present"), F.lit("matched").alias("wanted")).distinct()
     try:
         filters.read_gold_input(s, 0, "nowhere")
@@ -188,7 +188,7 @@ def q_merged_moments(spark, sf_dir):
     """One state for each publish month, stored; the whole table's figures from these alone."""
     path = _scratch(spark, "moments")
     by_month = ["published_year", "published_month"]
-    moments.state(silver_table(spark, sf_dir), MOMENT_COLUMNS, by_month).write.parquet(path)
+    moments.state(silver_table(spark, sf_dir, MOMENT_COLUMNS + by_month), MOMENT_COLUMNS, by_month).write.parquet(path)
     m = moments.merge(spark.read.parquet(path), MOMENT_COLUMNS)
     figures = [x for c in MOMENT_COLUMNS for x in (F.round(moments.mean(c), 4).alias(f"mean_{c}"), F.round(moments.stddev_samp(c), 4).alias(f"stddev_{c}"))]
     return m.select("n", *figures,
@@ -207,7 +207,8 @@ def q_quantile_sketches(spark, sf_dir):
     """Sketches stored by keyword and publish day; quartiles by keyword of all days and of a later span come from
     them, and the exact ranks of these answers lie inside the stated error."""
     path = _scratch(spark, "sketches")
-    rows = silver_table(spark, sf_dir).select("keyword", "view_count", "published_year", F.to_date("published_at_ts").alias("day"))
+    silver = silver_table(spark, sf_dir, ["keyword", "view_count", "published_year", "published_at_ts"])
+    rows = silver.select("keyword", "view_count", "published_year", F.to_date("published_at_ts").alias("day"))
     tables.overwrite(sketches.sketch(rows, "view_count", ["keyword", "published_year", "day"]), path, ["published_year"])
     stored = tables.read_table(spark, path)
     out = None

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vidlens import schemas
 from vidlens.operators import clean, filters, live, rollups, stats, windows
@@ -49,11 +50,13 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
                               etl_date=AS_OF, processed_at=RUN_TS)
 
 
-def partitioned_silver(spark, sf_dir):
-    """Silver as the gold stage finds it: a written table, partitioned by keyword."""
+def partitioned_silver(spark, sf_dir, columns=None):
+    """Silver as the gold stage finds it: a written table, partitioned by keyword. Every row of it; of its
+    columns those that the query reads (all unless given)."""
     path = scratch_path(spark, f"vidlens-silver-{uuid.uuid4().hex}")
-    tables.overwrite(tables.align(silver(spark, sf_dir), medallion.SILVER_SCHEMA), path)
-    return tables.read_table(spark, path, medallion.SILVER_SCHEMA)
+    schema = StructType([f for f in medallion.SILVER_SCHEMA if columns is None or f.name in columns])
+    tables.overwrite(tables.align(silver(spark, sf_dir), schema), path)
+    return tables.read_table(spark, path, schema)
 
 
 SILVER_OUT = ["video_id", "title", "channel", "published_at", "keyword", "platform", "view_count",
@@ -116,22 +119,23 @@ def q_first_keywords(spark, sf_dir):
 FILTER_MIN_VIEWS = 100
 FILTER_EXACT = "Economy, STANDARD’s cut ,, small"
 FILTER_CONTAINS = "cut,LARGE"
+FILTER_OUT = ("video_id", "keyword", "view_count")
 
 
 @register("keyword_filter_exact", O.with_silver(f"""
 SELECT video_id, keyword, view_count FROM silver
 WHERE keyword IN ('economy', 'standard''s cut', 'small') AND view_count >= {FILTER_MIN_VIEWS}"""))
 def q_keyword_filter_exact(spark, sf_dir):
-    return filters.read_gold_input(partitioned_silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_EXACT, "exact") \
-                  .select("video_id", "keyword", "view_count")
+    return filters.read_gold_input(partitioned_silver(spark, sf_dir, FILTER_OUT), FILTER_MIN_VIEWS, FILTER_EXACT, "exact") \
+                  .select(*FILTER_OUT)
 
 
 @register("keyword_filter_contains", O.with_silver(f"""
 SELECT video_id, keyword, view_count FROM silver
 WHERE (contains(keyword, 'cut') OR contains(keyword, 'large')) AND view_count >= {FILTER_MIN_VIEWS}"""))
 def q_keyword_filter_contains(spark, sf_dir):
-    return filters.read_gold_input(partitioned_silver(spark, sf_dir), FILTER_MIN_VIEWS, FILTER_CONTAINS, "contains") \
-                  .select("video_id", "keyword", "view_count")
+    return filters.read_gold_input(partitioned_silver(spark, sf_dir, FILTER_OUT), FILTER_MIN_VIEWS, FILTER_CONTAINS, "contains") \
+                  .select(*FILTER_OUT)
 
 
 # ---- statistics ----------------------------------------------------------------
@@ -150,27 +154,32 @@ def with_flagged(body: str, ctes: tuple[str, ...] = (), order: str = O.DEDUP_ORD
     return O.with_silver(body, order, (FLAGGED_SQL,) + tuple(ctes))
 
 
-def silver_table(spark, sf_dir):
+def silver_table(spark, sf_dir, columns):
     """Silver written once, for queries that read it several times (as the
-    gold stage reads the silver table)."""
-    return materialize(silver(spark, sf_dir), "silver")
+    gold stage reads the silver table): every row, and of the columns those
+    that the query reads, so that no others are shuffled and written for it."""
+    return materialize(silver(spark, sf_dir).select(*columns), "silver")
 
 
-def flagged(spark, sf_dir):
-    return stats.flag_outliers(silver_table(spark, sf_dir))
+#: What the keyword x category summary reads.
+SUMMARY_IN = ("keyword", "category_name", "view_count", "engagement_rate", "duration_seconds", "performance_tier")
+
+
+def flagged(spark, sf_dir, columns=SUMMARY_IN):
+    return stats.flag_outliers(silver_table(spark, sf_dir, columns))
 
 
 @register("views_quartiles", O.with_silver("""
 SELECT q1, q3, CAST(q1 - 1.5 * (q3 - q1) AS DOUBLE) AS lower_bound, CAST(q3 + 1.5 * (q3 - q1) AS DOUBLE) AS upper_bound
 FROM (SELECT quantile_disc(view_count, 0.25) AS q1, quantile_disc(view_count, 0.75) AS q3 FROM silver)"""))
 def q_views_quartiles(spark, sf_dir):
-    return stats.iqr_bounds(silver_table(spark, sf_dir))
+    return stats.iqr_bounds(silver_table(spark, sf_dir, ["view_count"]))
 
 
 @register("outlier_flags", with_flagged(
     "SELECT video_id, keyword, view_count, is_outlier_views FROM flagged"))
 def q_outlier_flags(spark, sf_dir):
-    return flagged(spark, sf_dir).select("video_id", "keyword", "view_count", "is_outlier_views")
+    return flagged(spark, sf_dir, FILTER_OUT).select(*FILTER_OUT, "is_outlier_views")
 
 
 @register("outlier_rate", with_flagged(f"""
@@ -178,14 +187,14 @@ SELECT outlier_count, total_count,
        CASE WHEN total_count > 0 THEN {O.rnd('outlier_count / total_count * 100', 2)} ELSE 0.0 END AS outlier_pct
 FROM (SELECT count(*) FILTER (WHERE is_outlier_views) AS outlier_count, count(*) AS total_count FROM flagged)"""))
 def q_outlier_rate(spark, sf_dir):
-    return stats.outlier_rate(flagged(spark, sf_dir))
+    return stats.outlier_rate(flagged(spark, sf_dir, ["view_count"]))
 
 
 @register("outlier_top10", with_flagged("""
 SELECT video_id, keyword, view_count, like_count, comment_count FROM flagged WHERE is_outlier_views
 ORDER BY view_count DESC, video_id ASC LIMIT 10"""))
 def q_outlier_top10(spark, sf_dir):
-    return stats.top_outliers(flagged(spark, sf_dir), 10)
+    return stats.top_outliers(flagged(spark, sf_dir, (*FILTER_OUT, "like_count", "comment_count")), 10)
 
 
 def _corr_sql(x, y):
@@ -214,7 +223,7 @@ SELECT metric, count(value) AS "count", {O.ravg('value', 6)} AS mean,
        quantile_disc(value, 0.75) AS p75, max(value) AS "max"
 FROM long GROUP BY metric""", ctes=(f"long AS ({_METRICS_UNION})",)))
 def q_metric_summary(spark, sf_dir):
-    return stats.metric_summary(silver_table(spark, sf_dir))
+    return stats.metric_summary(silver_table(spark, sf_dir, stats.SUMMARY_METRICS))
 
 
 # ---- live path -----------------------------------------------------------------

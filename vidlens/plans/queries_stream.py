@@ -69,9 +69,10 @@ _RUNS: dict = {}
 
 
 def run_stream(spark, sf_dir):
-    """Messages written as several files of JSON lines (keyword groups split
-    across files, plus undecodable lines), read one file per trigger, the
-    three live queries run to the end of the input. Memoized per session and
+    """Messages written as compressed files of JSON lines (keyword groups split
+    across files, plus undecodable lines), read in about ``STREAM_FILES``
+    triggers, the three live queries run to the end of the input. Messages are
+    written by the tasks that make them, not shuffled as text. Memoized per session and
     input, so the three registered stream queries share one run."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _RUNS:
@@ -80,9 +81,10 @@ def run_stream(spark, sf_dir):
     src = f"{root}/messages"
     msgs = tables.to_messages(fixtures.video_messages(spark, sf_dir)).select("value")
     junk = spark.range(STREAM_FILES).select(F.concat(F.lit("{not json "), F.col("id").cast("string")).alias("value"))
-    msgs.unionByName(junk).repartition(STREAM_FILES, "value").write.mode("overwrite").text(src)
+    records = fixtures.table(spark, sf_dir, "lineitem").count()
+    files = tables.land_messages(msgs.unionByName(junk), src, max(1, -(-records // STREAM_FILES)))
     layout = stream.LiveLayout(out=f"{root}/out", checkpoints=f"{root}/checkpoints")
-    qs = stream.start_live(stream.file_source(spark, src, 1), layout, PRIMARY_KEYWORD, trigger=None, as_of=AS_OF)
+    qs = stream.start_live(stream.file_source(spark, src, -(-files // STREAM_FILES)), layout, PRIMARY_KEYWORD, trigger=None, as_of=AS_OF)
     stream.await_all(qs)
     stream.refresh_analytics(spark, layout, AS_OF)
     _RUNS[key] = layout

@@ -127,7 +127,7 @@ def bronze_all(spark: SparkSession, layout: Layout) -> DataFrame:
 def land_run(df: DataFrame, layout: Layout, run_id: str, ingested_at: str | None = None) -> None:
     """L1: raw rows -> audit columns -> the run's folder of bronze; a rerun under the same id replaces it."""
     audited, obs = observed(tables.with_audit(df, ingested_at), f"bronze-{run_id}", bronze_checks())
-    audited.write.mode("overwrite").parquet(os.path.join(layout.bronze, f"run={run_id}"))
+    audited.write.mode("overwrite").option("compression", "zstd").parquet(os.path.join(layout.bronze, f"run={run_id}"))
     _log(layout, run_id, "bronze", obs, bronze_run(df.sparkSession, layout, run_id))
 
 

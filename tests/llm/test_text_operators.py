@@ -353,6 +353,40 @@ def test_lm_scores_equal_brute_force(odd, none):
     assert lm_scoring.lm_scores(none, held).count() == 0
 
 
+def test_lm_shards_answer_slices_not_documents():
+    rng = np.random.default_rng(3)
+    rows = [" ".join(f"w{x}" for x in rng.integers(0, 40, 12)) for _ in range(60)]
+    n_docs, train = len(rows), np.ones(len(rows), dtype=np.int64)
+    none = np.empty(0, dtype=np.uint64)
+    total, vocabulary = n_docs * 13, len({w for t in rows for w in t.split()}) + 1
+    sums = {}
+    for shards in (1, 7):
+        part = lm_scoring.Slice(pa.array(rows), shards, none)
+        sent = list(part.messages(train))
+        assert [s for s, _ in sent] == sorted({int(s) for s in part.shard}) and len(sent) <= shards
+        answers = [next(lm_scoring.score_shard([m], total, vocabulary, none, none.astype(np.int64), 4.0)) for _, m in sent]
+        sums[shards] = lm_scoring.score_rows(part, answers, n_docs, total, vocabulary, n_docs, 4.0)
+        # a pair that occurs in many documents is sent and answered once
+        assert sum(len(lm_scoring.from_blob(m)[2]) for _, m in sent) == len(
+            {p for t in rows for p in zip(["<s>", *t.split()], [*t.split(), "</s>"])})
+    assert sums[1]["n_tokens"].tolist() == sums[7]["n_tokens"].tolist() == [13] * n_docs
+    assert np.allclose(sums[1]["base_score"], sums[7]["base_score"]) and np.allclose(sums[1]["score"], sums[7]["score"], rtol=1e-3)
+    with pytest.raises(RuntimeError):
+        lm_scoring.score_rows(lm_scoring.Slice(pa.array(rows[1:]), 7, none), answers, n_docs - 1, total, vocabulary, n_docs, 4.0)
+
+
+def test_lm_scores_in_many_slices(spark):
+    rows = [(i % 9 or None, f"a b c {i % 5} d") for i in range(90)] + [(1, None), (1, ""), (None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = crc_mod("doc_id", 7) == 2
+    key = lambda r: tuple(str(round(x, 6) if isinstance(x, float) else x) for x in r)
+    one = lm_scoring.lm_scores(docs, held, prior=4.0)
+    many = lm_scoring.lm_scores(docs, held, prior=4.0, slice_bytes=100, shard_tokens=50)
+    got = many.collect()
+    assert sorted(map(key, got)) == sorted(map(key, one.collect())) and len(got) == len(rows)
+    assert "ReusedExchange" in many._jdf.queryExecution().executedPlan().toString()
+
+
 def test_elias_fano_and_mapped_trie(tmp_path):
     rng = np.random.default_rng(2)
     for n, u in ((0, 10), (1, 1), (500, 700), (500, 1 << 40)):

@@ -6,13 +6,15 @@ Its logarithm is a sum of three parts, log m P(w), -log (c(v) + m), and for
 bigrams that were seen a gain log (1 + c(v, w) / (m P(w))), so each part can be
 computed wherever its counts lie.
 
-Tokens are dealt to shards by predicted word; a shard receives all its tokens
-once, counts those of training rows, lays a trie over the counts, queries it
-for every token and returns sums for each document. A word frequent enough to
-fill a shard by itself is dealt by word and predecessor, over all shards, and
-its count travels with the job. The trie's levels are flat arrays that can be
-mapped from a file: sorted words, pointers to their predecessors as an
-Elias-Fano sequence, predecessors relative to their word, and quantised gains.
+Texts are dealt to slices. A slice's distinct bigrams go to shards by predicted
+word; a shard counts those of training rows, lays a trie over the counts,
+queries it for every bigram it was sent and answers the slice with a count for
+each word and a gain for each bigram, and the slice sums them over its rows. A
+word frequent enough to fill a shard by itself is dealt by word and
+predecessor, over all shards, and its count travels with the job. The trie's
+levels are flat arrays that can be mapped from a file: sorted words, pointers
+to their predecessors as an Elias-Fano sequence, predecessors relative to their
+word, and quantised gains.
 """
 
 from __future__ import annotations
@@ -191,111 +193,127 @@ def count_words(batches):
                  pa.array(np.bincount(inverse, weights=train, minlength=len(h)).astype(np.int64))], ["h", "n", "n_train"])
 
 
-def pack(cur, prev, row, ids, keys, train) -> bytes:
-    """One slice's tokens for one shard, sorted by token and predecessor."""
-    edge = np.flatnonzero(np.append(True, cur[1:] != cur[:-1]))
-    used, local = np.unique(row, return_inverse=True)
-    local = local.astype("<u2" if len(used) <= 1 << 16 else "<u4")
-    head = np.array([len(cur), len(edge), len(used)], dtype="<i8")
-    return b"".join([head.tobytes(), cur[edge].astype("<u8").tobytes(), edge.astype("<u4").tobytes(),
-                     prev.astype("<u4").tobytes(), local.tobytes(), ids[used].astype("<i8").tobytes(),
-                     keys[used].astype("<i8").tobytes(), train[used].astype("u1").tobytes()])
-
-
-def unpack(blob):
-    n, n_words, n_rows = np.frombuffer(blob, "<i8", 3).tolist()
-    at = 24
-
-    def take(kind, count):
-        nonlocal at
-        out = np.frombuffer(blob, kind, count, at)
-        at += out.nbytes
-        return out
-
-    words, edge, prev = take("<u8", n_words), take("<u4", n_words), take("<u4", n)
-    local = take("<u2" if n_rows <= 1 << 16 else "<u4", n)
-    ids, keys, train = take("<i8", n_rows), take("<i8", n_rows), take("u1", n_rows)
-    cur = np.repeat(words, np.diff(np.append(edge, n).astype(np.int64)))
-    return cur, prev, local, ids, keys, train
-
-
-NULL_ID = -(1 << 63)
+class Slice:
+    """The distinct (token, predecessor) pairs of one slice's texts, ordered by shard, token and predecessor.
 
+    Made alike wherever the slice's texts are, in whatever order: its pairs go to
+    the shards in this order and their answers come back in it.
+    """
 
-def deal(batches, shards: int, hot: np.ndarray):
-    """Every token of every row to its shard."""
-    for batch in batches:
-        for part in slices(batch):
-            cur, prev, row = tokens(part["text"])
-            ids = np.asarray(part["doc_id"].fill_null(NULL_ID))
-            keys, train = np.asarray(part["text_key"]), np.asarray(part["train"]).astype(np.uint8)
-            low = (mix(prev) & np.uint64(0xFFFFFFFF))
-            route = mix(cur)
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, cur), len(hot) - 1)
-                route = np.where(hot[at] == cur, mix(route ^ low), route)
-            shard = ((route >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-            order = np.lexsort((low, cur, shard))
-            cur, low, row, shard = cur[order], low[order], row[order], shard[order]
-            cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-            blobs = [pack(cur[a:b], low[a:b], row[a:b], ids, keys, train) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.large_binary())],
-                                             ["shard", "tokens"])
-
-
-def score_shard(blobs, n_train: int, vocabulary: int, n_rows: int, hot: np.ndarray, hot_counts: np.ndarray, prior: float):
-    """Sums for each row over the tokens of one shard."""
-    parts = [unpack(b) for b in blobs]
-    base = np.cumsum([0] + [len(p[3]) for p in parts])
-    cur, context = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    row = np.concatenate([p[2].astype(np.int64) + b for p, b in zip(parts, base, strict=False)])
-    ids, keys, train = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
-    del parts
-    row = row.astype(np.int32)
+    def __init__(self, texts, shards: int, hot: np.ndarray):
+        cur, prev, self.row = tokens(texts)
+        low = (mix(prev) & np.uint64(0xFFFFFFFF))
+        route = mix(cur)
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, cur), len(hot) - 1)
+            route = np.where(hot[at] == cur, mix(route ^ low), route)
+        shard = (((route >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+        del prev, route
+        order = np.lexsort((low, cur, shard))
+        cur, low, shard = cur[order], low[order], shard[order]
+        new_word = np.append(True, (cur[1:] != cur[:-1]) | (shard[1:] != shard[:-1]))[:len(cur)]
+        new_pair = new_word | np.append(True, low[1:] != low[:-1])[:len(cur)]
+        self.pair_of = np.empty(len(cur), dtype=np.int32)
+        self.pair_of[order] = np.cumsum(new_pair, dtype=np.int32) - 1
+        at = np.flatnonzero(new_pair)
+        self.shard, self.context = shard[at], low[at].astype("<u4")
+        first = new_word[at]
+        self.word_of = np.cumsum(first, dtype=np.int32) - 1
+        self.word_at = np.flatnonzero(first)
+        self.words = cur[at][self.word_at]
+
+    def messages(self, train: np.ndarray):
+        """(shard, its words, pairs and their occurrences in training rows) for every shard of the slice."""
+        seen = np.bincount(self.pair_of, weights=train[self.row], minlength=len(self.shard)).astype(np.int64)
+        cuts = np.append(np.flatnonzero(np.append(True, self.shard[1:] != self.shard[:-1])), len(self.shard))
+        words = np.searchsorted(self.word_at, cuts)
+        for a, b, wa, wb in zip(cuts[:-1], cuts[1:], words[:-1], words[1:], strict=True):
+            yield int(self.shard[a]), to_blob(self.words[wa:wb].astype("<u8"), narrow(self.word_at[wa:wb] - a),
+                                              self.context[a:b], narrow(seen[a:b]))
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the least width that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<"))
+
+
+def to_blob(*arrays: np.ndarray) -> bytes:
+    head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.kind), a.dtype.itemsize, len(a)))], "<i4")
+    return head.tobytes() + b"".join(a.tobytes() for a in arrays)
+
+
+def from_blob(blob) -> list[np.ndarray]:
+    n = int(np.frombuffer(blob, "<i4", 1)[0])
+    at, out = 4 + 12 * n, []
+    for kind, size, length in np.frombuffer(blob, "<i4", 3 * n, 4).reshape(-1, 3).tolist():
+        out.append(np.frombuffer(blob, f"<{chr(kind)}{size}", length, at))
+        at += out[-1].nbytes
+    return out
+
+
+def score_shard(blobs, n_train: int, vocabulary: int, hot: np.ndarray, hot_counts: np.ndarray, prior: float):
+    """The answers to one shard's messages: their words' counts in training rows and their pairs' gains."""
+    parts = [from_blob(b) for b in blobs]
+    n_words, n_pairs = [len(p[0]) for p in parts], [len(p[2]) for p in parts]
+    cur = np.concatenate([np.repeat(p[0], np.diff(np.append(p[1].astype(np.int64), len(p[2])))) for p in parts])
+    context, times = np.concatenate([p[2] for p in parts]), np.concatenate([p[3].astype(np.int64) for p in parts])
     order = np.lexsort((context, cur))
-    cur, context, row = cur[order], context[order], row[order]
-    del order
-    in_train = train[row]
+    cur, context, times = cur[order], context[order], times[order]
     new_word = np.append(True, cur[1:] != cur[:-1])
     new_pair = new_word | np.append(True, context[1:] != context[:-1])
     word_at, pair_at = np.flatnonzero(new_word), np.flatnonzero(new_pair)
-    words, word_of = cur[word_at], np.cumsum(new_word, dtype=np.int32) - 1
+    words = cur[word_at]
+    word_of = (np.cumsum(new_word, dtype=np.int32) - 1)[pair_at]
     del cur
-    count = np.add.reduceat(in_train, word_at, dtype=np.int64)
+    count = np.add.reduceat(times, word_at)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
         count = np.where(hot[at] == words, hot_counts[at], count)
     p = (count + 1.0) / (n_train + vocabulary + 1.0)
-    pair_count, pair_word = np.add.reduceat(in_train, pair_at, dtype=np.int64), word_of[pair_at]
+    pair_count, context = np.add.reduceat(times, pair_at), context[pair_at]
     seen = np.flatnonzero(pair_count > 0)
-    gain = np.log10(1.0 + pair_count[seen] / (prior * p[pair_word[seen]]))
-    trie = Trie.from_buffer(Trie.build(words, pair_word[seen], context[pair_at][seen], gain).to_bytes())
-    rank = np.searchsorted(trie.words, words)[pair_word]
-    pair_gain = trie.gain(rank, context[pair_at])[np.cumsum(new_pair, dtype=np.int32) - 1]
-    is_end = words == END
-    as_context = np.where(is_end, -np.log10(n_rows + prior), -np.log10(count + prior))
-    n = len(ids)
+    gain = np.log10(1.0 + pair_count[seen] / (prior * p[word_of[seen]]))
+    trie = Trie.from_buffer(Trie.build(words, word_of[seen], context[seen], gain).to_bytes())
+    gains = np.empty(len(order), dtype="<f4")
+    gains[order] = trie.gain(np.searchsorted(trie.words, words)[word_of], context)[np.cumsum(new_pair, dtype=np.int32) - 1]
+    for part, end, n in zip(parts, np.cumsum(n_pairs), n_pairs, strict=True):
+        book, code = np.unique(gains[end - n:end], return_inverse=True)
+        yield to_blob(narrow(count[np.searchsorted(words, part[0])]), book, narrow(code))
+
+
+def score_rows(part: Slice, blobs, n_rows: int, n_train: int, vocabulary: int, n_docs: int, prior: float):
+    """Sums for each of a slice's rows, from the shards' answers in the order of the shards."""
+    answers = [from_blob(b) for b in blobs]
+    count = np.concatenate([a[0].astype(np.int64) for a in answers])
+    gain = np.concatenate([a[1][a[2]] for a in answers]).astype(np.float64)
+    if len(count) != len(part.words) or len(gain) != len(part.shard):
+        raise RuntimeError("a slice and the answers to it differ")
+    p = (count + 1.0) / (n_train + vocabulary + 1.0)
+    as_context = np.where(part.words == END, -np.log10(n_docs + prior), -np.log10(count + prior))
     word_score = np.log10(p * prior) + as_context
-    return {"doc_id": ids, "text_key": keys, "train": train.astype(bool),
-            "rows": np.bincount(row, weights=is_end[word_of], minlength=n).astype(np.int64),
-            "n_tokens": np.bincount(row, minlength=n),
-            "n_known": np.bincount(row, weights=(count > 0)[word_of], minlength=n).astype(np.int64),
-            "base_score": np.bincount(row, weights=np.log10(p)[word_of], minlength=n),
-            "score": np.bincount(row, weights=word_score[word_of] + pair_gain, minlength=n)}
+    word = part.word_of[part.pair_of]
+    return {"n_tokens": np.bincount(part.row, minlength=n_rows),
+            "n_known": np.bincount(part.row, weights=(count > 0)[word], minlength=n_rows).astype(np.int64),
+            "base_score": np.bincount(part.row, weights=np.log10(p)[word], minlength=n_rows),
+            "score": np.bincount(part.row, weights=word_score[word] + gain[part.pair_of], minlength=n_rows)}
 
 
-def lm_scores(docs: DataFrame, held_out, prior: float = PRIOR, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out, prior: float = PRIOR, shard_tokens: int = SHARD_TOKENS,
+              slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Learns from rows that are not held out; a row with a null id is not held
     out. Null and empty texts consist of the end token alone. One row out per
-    row in: rows that repeat id and text are computed together and given back
-    each. With no training rows all counts are 0. Seen bigrams are told apart
+    row in. With no training rows all counts are 0. Seen bigrams are told apart
     by their word and 32 bits of their context.
+
+    Rows are dealt to slices of about ``slice_bytes`` of text; a slice's distinct
+    pairs go to the shards and are answered with a count a word and a gain a
+    pair, so that what is moved follows the slices' pairs, however many shards
+    a document's words lie on.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        (~F.coalesce(held_out, F.lit(False))).alias("train"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
     words = (rows.select("text", "train").mapInArrow(count_words, "h long, n long, n_train long")
              .groupBy("h").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train")))
     end = F.lit(int(END))
@@ -303,32 +321,44 @@ def lm_scores(docs: DataFrame, held_out, prior: float = PRIOR, shard_tokens: int
                     F.max(F.when(F.col("h") == end, F.col("n_train"))),
                     F.count_if(F.col("n") >= shard_tokens),
                     F.collect_list(F.when(F.col("n") >= shard_tokens, F.struct("h", "n_train")))).first()
-    n_all, n_train, vocabulary, n_rows, n_hot, hot_rows = (x or 0 for x in got)
+    n_all, n_train, vocabulary, n_docs, n_hot, hot_rows = (x or 0 for x in got)
     if n_hot > MAX_HOT:
         raise ValueError(f"{n_hot} words fill a shard of {shard_tokens} tokens each; give a larger shard_tokens")
     hot_rows = sorted((np.uint64(r["h"] % (1 << 64)), r["n_train"]) for r in hot_rows or [])
     hot = np.array([h for h, _ in hot_rows], dtype=np.uint64)
     hot_counts = np.array([c for _, c in hot_rows], dtype=np.int64)
     shards = max(1, -(-n_all // shard_tokens))
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A token has at least a byte to be held with, so that empty texts fill slices too.
+    n_slices = max(1, -(-(n_bytes + n_all) // slice_bytes))
 
-    def run_deal(batches):
-        yield from deal(batches, shards, hot)
+    def run_deal(group: pa.Table) -> pa.Table:
+        train = np.asarray(group["train"]).astype(np.int64)
+        out = list(Slice(group["text"], shards, hot).messages(train))
+        return pa.table({"shard": pa.array([s for s, _ in out], pa.int32()),
+                         "slice": pa.array([group["slice"][0].as_py()] * len(out), pa.int64()),
+                         "message": pa.array([m for _, m in out], pa.binary())})
 
     def run_score(group: pa.Table) -> pa.Table:
-        out = score_shard([b.as_buffer() for b in group["tokens"]], n_train, vocabulary, n_rows, hot, hot_counts, prior)
-        return pa.table(out)
-
-    sums = (rows.select("doc_id", "text_key", "text", "train").mapInArrow(run_deal, "shard int, tokens binary")
-            .groupBy("shard").applyInArrow(run_score, "doc_id long, text_key long, train boolean, rows long, n_tokens long, "
-                                                      "n_known long, base_score double, score double"))
-    whole = sums.groupBy("doc_id", "text_key", "train").agg(*[F.sum(c).alias(c) for c in (
-        "rows", "n_tokens", "n_known", "base_score", "score")])
-    each = [(F.col(c) / F.col("rows")) for c in ("n_tokens", "n_known", "base_score", "score")]
-    return whole.select(
-        F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), (~F.col("train")).alias("held_out"),
-        each[0].cast("long").alias("n_tokens"), each[1].cast("long").alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"), each[2].alias("base_score"), each[3].alias("score"),
-        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("copy")).drop("copy")
+        out = list(score_shard([m.as_buffer() for m in group["message"]], n_train, vocabulary, hot, hot_counts, prior))
+        return pa.table({"shard": group["shard"], "slice": group["slice"], "answer": pa.array(out, pa.binary())})
+
+    def run_finish(group: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("shard")
+        sums = score_rows(Slice(group["text"], shards, hot), [a.as_buffer() for a in answers["answer"]], len(group),
+                          n_train, vocabulary, n_docs, prior)
+        return pa.table({"doc_id": group["doc_id"], "held_out": pa.compute.invert(group["train"]),
+                         "n_tokens": sums["n_tokens"], "n_known": sums["n_known"],
+                         "train_tokens": np.full(len(group), n_train, dtype=np.int64),
+                         "base_score": sums["base_score"], "score": sums["score"]})
+
+    # The input part keeps copies of one row, whatever their number, from meeting in one slice.
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n_slices)))
+    messages = sliced.groupBy("slice").applyInArrow(run_deal, "shard int, slice long, message binary")
+    answers = messages.groupBy("shard").applyInArrow(run_score, "shard int, slice long, answer binary")
+    return sliced.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
+        run_finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                    "base_score double, score double")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

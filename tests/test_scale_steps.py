@@ -6,8 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from vidlens.operators import windows
 from vidlens.plans import registry
-from vidlens.session import apply_plan_defaults
+from vidlens.session import apply_plan_defaults, materialize
 from vidlens.sinks import tables
 from vidlens.sources import fixtures, responses
 
@@ -85,3 +86,34 @@ def test_messages_and_landing_files_are_compressed_and_bounded(spark, tmp_dir):
     assert {r.value for r in spark.read.text(f"{tmp_dir}/m").collect()} == {f"mé{i}" for i in range(25)}
     tables.landing_csv(spark.createDataFrame([('a "q"\nb', 1)], "video_id string, n int"), f"{tmp_dir}/c")
     assert all(f.endswith(".gz") for f in os.listdir(f"{tmp_dir}/c") if f.startswith("part-"))
+
+
+def test_windows_write_and_add_up_only_what_they_need(spark, monkeypatch):
+    written = {}
+
+    def note(module):
+        write = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, name: written.update({name: df.columns}) or write(df, name))
+
+    note(registry)
+    note(windows)
+    registry.QUERIES["keyword_windows"](spark, SF)
+    assert written["live-rows"] == ["video_id", "search_keyword", "views", "daily_view_velocity"]
+    assert written["keyword-values"] == ["search_keyword", "views", "_n"]
+    registry.QUERIES["trend_lifecycle"](spark, SF)
+    assert set(written["live-rows"]) == {"search_keyword", "views", "daily_view_velocity", "engagement_rate_%"}
+
+
+def test_windows_from_rows_equal_those_from_counts(spark):
+    rows = [(["a", "b", None][i % 3], None if i % 7 == 0 else i % 11 - 2, None if i % 5 == 0 else i / 8) for i in range(200)]
+    df = spark.createDataFrame(rows + [("one", 1, 2.5), ("none", None, None)],
+                               "search_keyword string, views long, daily_view_velocity double")
+    counts = materialize(windows.value_counts(df), "test-counts")
+    mine, merged = windows.keyword_windows(df), windows.keyword_windows(df, per_value=counts)
+    ref = df.withColumns({
+        "total_kw_views": F.expr("sum(views) over (partition by search_keyword)"),
+        "rank_in_keyword": F.expr("rank() over (partition by search_keyword order by views desc nulls last)")})
+    shown = lambda d, *c: sorted(str(tuple(r)) for r in d.select("search_keyword", "views", *c).collect())
+    every = [c for c in mine.columns if c not in ("search_keyword", "views")]
+    assert shown(mine, *every) == shown(merged, *every)
+    assert shown(mine, "total_kw_views", "rank_in_keyword") == shown(ref, "total_kw_views", "rank_in_keyword")

@@ -3,6 +3,7 @@ import collections
 import json
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -524,3 +525,31 @@ def test_jaccard_of_forms_below_the_threshold(spark, monkeypatch):
     assert [got[i] for i in range(len(rows))] == want and len(set(want)) < 900 + 1
     # Sets compared, and pairs left to the end, stay near the number of texts and not its square (430,000).
     assert made["jaccard-compared"] + made.get("jaccard-rest", 0) < 20 * len(rows), made
+
+
+def test_licenses_look_once_at_words(spark):
+    """Prose in short lines, with frequent words of templates but without the rest of any, is split and compared once."""
+    import duckdb
+    rng = np.random.default_rng(3)
+    prose = np.array(["the", "of", "and", "in", "to", "this", "is", "with", "or", "was", "by", "source", "code", "a", *(f"{x}{y}" for x in "thin erre ndon atis".split() for y in "ou ha es ly ing ed".split())])
+    rows = [(i, "\n".join(" ".join(prose[rng.integers(0, len(prose), 12)]) for _ in range(40))) for i in range(1000)]
+    rows += [(1000, "worK underÉ the mit license"), (1001, "UNDER THE MIT license"), (1002, "É UNDER, THE Mit-license é"),
+             (1003, ",under the mit license."), (1004, None), (1005, ",;")]
+    rows += [(1006 + i, f"É\n{t.upper()}K") for i, (_, t) in enumerate(license_scans.TEMPLATES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("copy", F.explode(F.when(F.col("doc_id") < 1000, F.sequence(F.lit(1), F.lit(10))).otherwise(F.array(F.lit(1)))))
+    docs = docs.repartition(4).cache()
+    assert docs.count() == 10_006 + len(license_scans.TEMPLATES)
+    license_scans.license_scan(docs.where("doc_id > 1000")).collect()
+    began = time.time()
+    got = {r["doc_id"]: r for r in license_scans.license_scan(docs).collect()}
+    took = time.time() - began
+    assert all(got[i]["labels"] == "" and got[i]["n_words"] == 480 for i in range(1000))
+    assert [got[i]["n_base"] for i in range(1000, 1006)] == [0, 1, 1, 1, 0, 0]
+    assert [got[i]["n_words"] for i in range(1000, 1006)] == [5, 4, 6, 4, 0, 0]
+    assert [got[i]["first_word"] for i in range(1001, 1004)] == [0, 1, 0]
+    assert [got[i]["last_word"] for i in range(1001, 1004)] == [0, 1, 0]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", [r for r in rows if r[0] >= 1000])
+    assert {tuple(r) for i, r in got.items() if i >= 1000} == set(con.execute(license_scans.oracle_sql()).fetchall())
+    assert took < 8, took

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import arrow_rows, connected_components, materialize, table
+from vidlens.llm.common import SHUFFLE_CLEANUP, arrow_rows, connected_components, materialize, setting, table
 from vidlens.llm.lm_scoring import slices
 from vidlens.llm.words import mix, released, word_hashes
 
@@ -70,11 +70,12 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.repeat(first[:-1] - start, n) + np.arange(int(n.sum()))
     length = np.minimum(n_words, k)[row]
     h = mix(length.astype(np.uint64))
-    for j in range(k):
-        there = j < length
-        h = np.where(there, mix(h * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(at + j, len(words) - 1)]) if len(words) else h, h)
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
+    whole = bool(len(length)) and int(length.min()) == k
+    for j in range(k if len(words) else 0):
+        longer = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[at + j if whole else np.minimum(at + j, len(words) - 1)])
+        h = longer if whole else np.where(j < length, longer, h)
+    for a, b in zip(start.tolist(), (start + n).tolist(), strict=True):
+        h[a:b].sort()
     keep = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])) if len(h) else np.zeros(0, bool)
     h, row = h[keep], row[keep]
     return h, np.searchsorted(row, np.arange(len(n) + 1))
@@ -128,8 +129,8 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
             k1, k2 = set_keys(h, first)
             size = np.diff(first)
             row = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((h, frequency(h, common, level), row))
-            h = h[order]
+            # A set's shingles are sorted, so a stable sort by place in the order is enough.
+            h = h[np.argsort(row * 256 + frequency(h, common, level), kind="stable")]
             place = np.arange(len(h)) - first[:-1][row]
             # Of the shared shingles at least ``LEAD`` lie in both fronts of this length.
             # Sets with fewer shingles than percent / (100 - percent) link with equal ones only.
@@ -139,7 +140,27 @@ def prefixes(batches, k: int, percent: int, common: np.ndarray, level: np.ndarra
             r = row[keep]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[keep].view(np.int64)), pa.array(place[keep].astype(np.int32)), pa.array(size[r].astype(np.int32)),
-                 pa.array(k1[r]), pa.array(k2[r])], ["token", "place", "n", "k1", "k2"])
+                 pa.array(k1[r])], ["token", "place", "n", "k1"])
+
+
+def shared(batches):
+    """Of rows (token, place, n, k1) in the order of token and k1: one for each token and k1, where the token has several k1.
+
+    A batch's last row waits for the next; what is held does not grow with a token's rows.
+    """
+    held, several = None, False  # the last row so far, and whether the one before it has its token
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        token, k1 = rows["token"].to_numpy(), rows["k1"].to_numpy()
+        at = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (k1[1:] != k1[:-1])))
+        same = token[at[1:]] == token[at[:-1]]
+        before, behind = np.append(several, same), np.append(same, False)
+        yield from rows.take(pa.array(at[:-1][(before | behind)[:-1]])).to_batches()
+        held, several = rows.slice(at[-1], 1).to_batches()[0], bool(before[-1])
+    if several:
+        yield held
 
 
 def whole_sets(batches, k: int):
@@ -287,12 +308,13 @@ class Join:
         k, percent = self.k, self.percent
         sc = self.docs.sparkSession.sparkContext
         self.order = order = sc.broadcast(self.global_order())
-        first = self.docs.select("text").mapInArrow(lambda it: released(prefixes(it, k, percent, *order.value)),
-                                                    "token long, place int, n int, k1 long, k2 long")
-        shared = first.groupBy("token").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("token")
+        row = "token long, place int, n int, k1 long"
+        first = self.docs.select("text").mapInArrow(lambda it: released(prefixes(it, k, percent, *order.value)), row)
+        # One pass over the texts and one exchange: sorted by token, neighbours tell which tokens several sets have.
+        members = first.repartition("token").sortWithinPartitions("token", "k1").mapInArrow(lambda it: released(shared(it)), row)
         # Sizes of linked sets lie in one band or in two that follow one another; a region has two bands.
         band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent) * (1 + 1e-6)))
-        members = first.join(shared, "token").distinct().withColumn("band", F.explode(F.array(band, band - 1)))
+        members = members.withColumn("band", F.explode(F.array(band, band - 1)))
         members = members.select(F.xxhash64("token", "band").alias("region"), "band", F.col("k1").alias("node"), "n", "place")
         members = materialize(members, "jaccard-shared")
         members = members.join(self.several(members, "node"), "region")
@@ -333,10 +355,15 @@ class Join:
         return regions.join(bounds, "region").where(room).drop("s_least", "n_most")
 
     def with_sets(self, pairs: DataFrame, sets: DataFrame, column: str = "members", name: str = "set") -> DataFrame:
-        """Distinct pairs of nodes with both whole sets, or both profiles."""
-        for x in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col(column).alias(f"{name}_{x}")), x)
-        return pairs.select("a", "b", f"{name}_a", f"{name}_b")
+        """Distinct, written pairs of nodes with both whole sets, or both profiles.
+
+        Few pairs, and ids of few sets, go to the sets; so only sets that are compared are shuffled, not all
+        of them for each step. Beyond the bound pairs and sets meet in a shuffle.
+        """
+        few = F.broadcast if pairs.count() <= BROADCAST_ROWS else lambda df: df
+        a, b = (sets.select(F.col("node").alias(x), F.col(column).alias(f"{name}_{x}")) for x in "ab")
+        b = b.join(few(pairs.select("b").distinct()), "b", "left_semi")
+        return a.join(few(pairs), "a").join(b, "b").select("a", "b", f"{name}_a", f"{name}_b")
 
     def compared(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Each distinct (a, pivot b) with its difference, see ``differences``; whole sets are sent only
@@ -374,7 +401,7 @@ class Join:
             pivots = regions.groupBy("region").agg(F.min(F.struct("later", "place", "node")).alias("p")).select("region", F.col("p.node").alias("b"))
             star = regions.join(pivots, "region").where(F.col("node") != F.col("b"))
             star = materialize(star.select("region", F.col("node").alias("a"), "b", "n", F.col("s").alias("s_here"), "place"), "jaccard-star")
-            measured = self.compared(star.select("a", "b").distinct(), sets)
+            measured = self.compared(materialize(star.select("a", "b").distinct(), "jaccard-pairs"), sets)
             edges = materialize(edges.union(measured.where("near").select("a", "b")), "jaccard-edges")
             cells = materialize(connected_components(edges.toDF("src", "dst")).toDF("node", "cell"), "jaccard-cells")
             # Where all sets are joined now nothing is left to find.
@@ -418,8 +445,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, levels: i
     A null id takes part but is no component's id unless all are null.
     """
     join = Join(docs, k, percent)
-    classes, edges = join.links(levels)
-    comps = materialize(connected_components(edges.toDF("src", "dst")), "jaccard-components")
+    with setting(docs.sparkSession, SHUFFLE_CLEANUP, True):
+        classes, edges = join.links(levels)
+        comps = materialize(connected_components(edges.toDF("src", "dst")), "jaccard-components")
     named = comps.join(classes.select("node", "least_id"), "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_class = (classes.join(comps.join(named, "component").select("node", "component_id"), "node", "left")
                 .select("k1", "k2", F.coalesce("component_id", "least_id").alias("component_id")))

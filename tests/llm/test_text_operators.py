@@ -2,6 +2,7 @@ import base64
 import collections
 import json
 import math
+import os
 import re
 import time
 import zlib
@@ -553,3 +554,38 @@ def test_licenses_look_once_at_words(spark):
     con.executemany("insert into documents values (?, ?)", [r for r in rows if r[0] >= 1000])
     assert {tuple(r) for i, r in got.items() if i >= 1000} == set(con.execute(license_scans.oracle_sql()).fetchall())
     assert took < 8, took
+
+
+def test_shared_shingles_of_sorted_rows():
+    rng = np.random.default_rng(11)
+    rows = sorted((int(t), int(k)) for t, k in zip(rng.integers(0, 60, 400), rng.integers(0, 4, 400)))
+    rows += [(100, 1)] * 5 + [(101, 1)] * 3 + [(101, 2)] * 3 + [(102, 9)]
+    several = {t for t, k in rows if any(t == u and k != j for u, j in rows)}
+    table = pa.table({"token": [t for t, _ in rows], "place": [0] * len(rows), "n": [5] * len(rows), "k1": [k for _, k in rows]})
+    for size in (1, 2, 3, 7, 1000):
+        got = [(r["token"], r["k1"]) for b in jaccard_join.shared(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert got == sorted({r for r in rows if r[0] in several}), size
+    assert list(jaccard_join.shared(iter([]))) == []
+
+
+def test_jaccard_keeps_no_steps_and_no_shuffle_files(spark, monkeypatch):
+    """The regions of the steps are not left in the shared folder, and regions of few sets are not split further."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[:i % 30] + [f"x{i % 30}", f"y{i}"] + base[i % 30:])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = []
+
+    def kept(df, name, write=jaccard_join.materialize):
+        made.append((name, write(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", kept)
+    for few in (2, 1000):
+        monkeypatch.setattr(jaccard_join, "FEW", few)
+        made.clear()
+        got = jaccard_join.jaccard_components(docs, k=1).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows, 1, 90)
+        left = {name for name, out in made for f in out.inputFiles() if os.path.exists(f.removeprefix("file://"))}
+        assert left and not {"jaccard-shared", "jaccard-enough", "jaccard-star", "jaccard-deeper", "jaccard-mixed", "jaccard-judged"} & left, left
+        assert ("jaccard-star" in dict(made)) == (few == 2)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

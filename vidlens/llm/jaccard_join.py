@@ -29,9 +29,10 @@ Regions are then joined recursively and exactly. In each region:
    the first of each difference, in an order that is the same for all.
    The sets that share one there are regions of the next level. Edits that no two texts share leave no
    region, however many texts there are around a pivot.
-4. Regions whose sets are all joined already are left out. The pairs of regions
-   left after the last level are compared one by one, where sizes, places and
-   the triangle-inequality window allow a link.
+4. Regions whose sets are all joined already are left out. Regions of up to ``FEW``
+   sets are not split further, nor are any when all larger ones together have no more
+   pairs than the table has classes: their pairs, and those of regions left after the
+   last level, are compared one by one, where sizes, places and profiles allow a link.
 """
 
 from __future__ import annotations
@@ -43,12 +44,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import SHUFFLE_CLEANUP, arrow_rows, connected_components, materialize, setting, table
+from vidlens.llm.common import SHUFFLE_CLEANUP, arrow_rows, connected_components, discard, materialize, setting, table
 from vidlens.llm.lm_scoring import slices
 from vidlens.llm.words import mix, released, word_hashes
 
 LEAD = 8
 LEVELS = 5
+# A region of up to this many sets is compared pair by pair.
+FEW = 8
 BROADCAST_ROWS = 500_000
 COMMON_SHARE = 2000
 MAX_COMMON = 2_000_000
@@ -190,8 +193,8 @@ def read_profile(buf) -> tuple[int, np.ndarray]:
     return n, np.frombuffer(buf, f"<u{(len(buf) - 8) // bins}", bins, 8).astype(np.int64)
 
 
-def far_by_profile(batches, percent: int):
-    """(a, b, least distance that the profiles allow, whether it proves that a is far from b)."""
+def far_by_profile(batches, least: int):
+    """(a, b, least distance that the profiles allow, whether it proves a similarity below least percent)."""
     for batch in batches:
         low, far = [], []
         for a, b in zip(batch["profile_a"], batch["profile_b"], strict=True):
@@ -199,7 +202,7 @@ def far_by_profile(batches, percent: int):
             bins = min(len(x), len(y))
             both = int(np.minimum(x.reshape(bins, -1).sum(axis=1), y.reshape(bins, -1).sum(axis=1)).sum())
             low.append(1 - both / (n + m - both))
-            far.append(100 * both < (2 * percent - 100) * (n + m - both))
+            far.append(100 * both < least * (n + m - both))
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(low, pa.float64()), pa.array(far, pa.bool_())],
                                          ["a", "b", "low", "far"])
 
@@ -316,15 +319,19 @@ class Join:
         band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent) * (1 + 1e-6)))
         members = members.withColumn("band", F.explode(F.array(band, band - 1)))
         members = members.select(F.xxhash64("token", "band").alias("region"), "band", F.col("k1").alias("node"), "n", "place")
-        members = materialize(members, "jaccard-shared")
-        members = members.join(self.several(members, "node"), "region")
+        written = materialize(members, "jaccard-shared")
+        members = written.join(self.several(written, "node"), "region")
         # A link needs several shingles in common here; a set with fewer in all regions of a band has none.
         # Its partner may be smaller, by the threshold at most.
         enough = members.groupBy("node", "band").agg(F.count("*").alias("shared"), F.max("n").alias("n")).where(
             F.col("shared") >= lead(F.col("n") * percent / 100, percent)).select("node", "band")
         members = materialize(members.join(enough, ["node", "band"]).select("region", "node", "n", "place"), "jaccard-enough")
+        discard(written)
         out = members.join(self.several(members, "node"), "region")
-        return materialize(out.select("region", "node", "n", F.col("n").alias("s"), "place", F.lit(False).alias("later")), "jaccard-regions")
+        out = materialize(out.select("region", "node", "n", F.col("n").alias("s"), "place", F.lit(False).alias("later"),
+                                     F.col("node").alias("cell")), "jaccard-regions")
+        discard(members)
+        return out
 
     @staticmethod
     def several(members: DataFrame, what: str) -> DataFrame:
@@ -370,13 +377,20 @@ class Join:
         where the profiles do not prove that they are far, else the distance is a lower bound."""
         percent, order = self.percent, self.order
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            judged = materialize(self.with_sets(pairs, sets, "profile", "profile").mapInArrow(
-                lambda it: released(far_by_profile(it, percent)), "a long, b long, low double, far boolean"), "jaccard-judged")
+            judged = self.judged(pairs, sets, 2 * percent - 100)
             far = judged.where("far").selectExpr("a", "b", "false as near", "far", "low as d", "cast(null as int) as s",
                                                  "cast(null as array<long>) as front")
-            return materialize(far.union(self.with_sets(judged.where("not far").select("a", "b"), sets).mapInArrow(
+            out = materialize(far.union(self.with_sets(judged.where("not far").select("a", "b"), sets).mapInArrow(
                 lambda it: released(differences(it, percent, *order.value)),
                 "a long, b long, near boolean, far boolean, d double, s int, front array<long>")), "jaccard-compared")
+        discard(judged)
+        return out
+
+    def judged(self, pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+        """Each distinct (a, b) with what the profiles tell, see ``far_by_profile``."""
+        with arrow_rows(self.docs.sparkSession, SET_ROWS):
+            return materialize(self.with_sets(pairs, sets, "profile", "profile").mapInArrow(
+                lambda it: released(far_by_profile(it, least)), "a long, b long, low double, far boolean"), "jaccard-judged")
 
     def mixed(self, regions: DataFrame, cells: DataFrame) -> DataFrame:
         """The regions with sets of different cells; a set that links with nothing is its own cell."""
@@ -395,18 +409,30 @@ class Join:
         sets = self.sets(regions, classes)
         edges = self.docs.sparkSession.createDataFrame([], "a long, b long")
         epsilon = 1 - self.percent / 100 + 1e-9
+        at_once = classes.count()
         for _ in range(levels):
             if regions.isEmpty():
                 return classes, edges
+            # A region of few sets is compared at once; a level more costs more than its pairs.
+            many = regions.groupBy("region").agg(F.count("*").alias("many"))
+            pairs = many.where(F.col("many") > FEW).agg(F.sum(F.col("many") * (F.col("many") - 1) / 2)).first()[0]
+            if (pairs or 0) <= at_once:
+                break
+            split = regions.join(many, "region")
+            edges = edges.union(self.rest(split.where(F.col("many") <= FEW).drop("many"), sets))
+            before, regions = regions, materialize(split.where(F.col("many") > FEW).drop("many"), "jaccard-large")
+            discard(before)
             pivots = regions.groupBy("region").agg(F.min(F.struct("later", "place", "node")).alias("p")).select("region", F.col("p.node").alias("b"))
             star = regions.join(pivots, "region").where(F.col("node") != F.col("b"))
             star = materialize(star.select("region", F.col("node").alias("a"), "b", "n", F.col("s").alias("s_here"), "place"), "jaccard-star")
+            discard(regions)
             measured = self.compared(materialize(star.select("a", "b").distinct(), "jaccard-pairs"), sets)
             edges = materialize(edges.union(measured.where("near").select("a", "b")), "jaccard-edges")
             cells = materialize(connected_components(edges.toDF("src", "dst")).toDF("node", "cell"), "jaccard-cells")
             # Where all sets are joined now nothing is left to find.
             on = self.mixed(star.withColumnRenamed("a", "node"), cells).select("region", F.col("node").alias("a"), "b", "n", "s_here", "place")
             on = materialize(on.join(measured.drop("front"), ["a", "b"]), "jaccard-on")
+            discard(star)
             # Pairs of sets that are not far meet where their differences do.
             front = measured.join(on.where("not far").select("a", "b", "n").distinct(), ["a", "b"])
             front = front.select(F.col("a").alias("node"), "b", "n", "s", F.posexplode("front").alias("place", "shingle"))
@@ -415,8 +441,12 @@ class Join:
             window = on.where("far").groupBy("region").agg((F.min("d") - epsilon).alias("from"))
             again = on.join(window, "region").where("far or (not near and d >= from)")
             again = again.select("region", F.col("a").alias("node"), "n", F.col("s_here").alias("s"), "place", (~F.col("far")).alias("later"))
-            regions = materialize(self.mixed(materialize(deeper.union(again), "jaccard-deeper"), cells), "jaccard-mixed")
-            regions = materialize(self.possible(regions), "jaccard-regions")
+            deeper = materialize(deeper.union(again), "jaccard-deeper")
+            discard(measured, on)
+            mixed = materialize(self.mixed(deeper, cells), "jaccard-mixed")
+            discard(deeper)
+            regions = materialize(self.possible(mixed), "jaccard-regions")
+            discard(mixed)
         return classes, edges.union(self.rest(regions, sets))
 
     def rest(self, regions: DataFrame, sets: DataFrame) -> DataFrame:
@@ -431,8 +461,13 @@ class Join:
             & (100 * F.least(nx, ny) >= p * F.greatest(nx, ny))
             & ((100 + p) * (sx + sy - 2 * room) <= (100 - p) * (nx + ny)))
         pairs = materialize(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "jaccard-rest")
+        # Whole sets are sent only where the profiles leave a link possible.
+        judged = self.judged(pairs, sets, p)
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            return materialize(self.with_sets(pairs, sets).mapInArrow(lambda it: released(close(it, p)), "a long, b long"), "jaccard-close")
+            out = materialize(self.with_sets(judged.where("not far").select("a", "b"), sets).mapInArrow(
+                lambda it: released(close(it, p)), "a long, b long"), "jaccard-close")
+        discard(judged, pairs)
+        return out
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, levels: int = LEVELS) -> DataFrame:

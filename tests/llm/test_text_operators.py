@@ -589,3 +589,21 @@ def test_jaccard_keeps_no_steps_and_no_shuffle_files(spark, monkeypatch):
         assert left and not {"jaccard-shared", "jaccard-enough", "jaccard-star", "jaccard-deeper", "jaccard-mixed", "jaccard-judged"} & left, left
         assert ("jaccard-star" in dict(made)) == (few == 2)
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_jaccard_regions_of_the_same_sets_are_one(spark, monkeypatch):
+    rows = []
+    for i in range(20):
+        words = [f"p{i}x{j}" for j in range(100)]
+        rows += [(i, " ".join(words)), (100 + i, " ".join([*words, f"end{i}"]))]
+    made = {}
+
+    def counted(df, name, write=jaccard_join.materialize):
+        out = write(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: d % 100 for d, _ in rows}
+    # Each pair has 17 shingles in both fronts; it is in one region for each of its bands at most.
+    assert 2 * 20 <= made["jaccard-regions"] <= 4 * 20, made

@@ -11,11 +11,10 @@ sets are replicated to the band below, and every link lies within some region.
 
 Regions are then joined recursively and exactly. In each region:
 
-1. Pivot: the set for which the shingle comes first, the one with the least
-   of its own in front of it. Every set of the region is compared with it.
+1. Pivot: the set that is in most regions. Regions of the same sets are one. Every set of the region is compared with it.
    Sets within the threshold link to the pivot; they are its cell.
-2. Two sets of one cell are joined through the pivot. Sets at more than twice
-   the threshold distance link with none of it; they choose the next pivot, in
+2. Two sets of one cell are joined through the pivot. Sets below the similarity ``FAR``,
+   more than twice the threshold distance away, link with none of it; they choose the next pivot, in
    a region of their own to which the sets at the cell's boundary are replicated
    that the triangle inequality's window reaches.
    Distances are first bounded on profiles, the numbers of shingles by hash
@@ -52,6 +51,8 @@ LEAD = 8
 LEVELS = 5
 # A region of up to this many sets is compared pair by pair.
 FEW = 8
+# Sets less similar than this to a pivot, in percent, go on with the next one instead of by their differences.
+FAR = 40
 BROADCAST_ROWS = 500_000
 COMMON_SHARE = 2000
 MAX_COMMON = 2_000_000
@@ -181,7 +182,7 @@ def whole_sets(batches, k: int):
 
 def profile(members: np.ndarray) -> bytes:
     """The set's size and its members counted by the leading bits of their hash, one or two for a count."""
-    bits = max(0, len(members).bit_length() - 1)
+    bits = len(members).bit_length()
     counts = np.bincount((members >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(members), np.int64),
                          minlength=1 << bits)
     kind = next(t for t in ("<u1", "<u2", "<u4") if counts.max() <= np.iinfo(t).max)
@@ -228,8 +229,8 @@ def least_common(s: int, n: int, near: bool, percent: int) -> int:
 def differences(batches, percent: int, common: np.ndarray, level: np.ndarray):
     """Sets a against their pivots b: (a, b, near, far, distance, size of the difference, its first shingles).
 
-    A far set is at more than twice the threshold distance: it links with nothing near the pivot, and its
-    difference says little, so it is not listed. Any order of a difference that depends on the shingle and the pivot alone is valid. Shingles that
+    A far set has a similarity below ``FAR``, or is at more than twice the threshold distance where that is
+    farther: it links with nothing near the pivot, and its difference says little, so it is not listed. Any order of a difference that depends on the shingle and the pivot alone is valid. Shingles that
     the pivot lacks come first, rare ones in front; of those only the pivot has, the rare ones, which
     most sets lack, come last.
     """
@@ -242,7 +243,7 @@ def differences(batches, percent: int, common: np.ndarray, level: np.ndarray):
             missing = y[~in_sorted(y, x)]
             union = len(x) + len(missing)
             near.append(100 * both >= percent * union)
-            far.append(100 * both < (2 * percent - 100) * union)
+            far.append(100 * both < min(FAR, 2 * percent - 100) * union)
             d.append(1 - both / union)
             s.append(len(added) + len(missing))
             if far[-1]:
@@ -315,21 +316,25 @@ class Join:
         first = self.docs.select("text").mapInArrow(lambda it: released(prefixes(it, k, percent, *order.value)), row)
         # One pass over the texts and one exchange: sorted by token, neighbours tell which tokens several sets have.
         members = first.repartition("token").sortWithinPartitions("token", "k1").mapInArrow(lambda it: released(shared(it)), row)
+        members = materialize(members.withColumnRenamed("k1", "node"), "jaccard-shared")
+        # Copies have a hundred tokens in common: those that the same sets have are one from here on, counted in ``tokens``.
+        same = members.groupBy("token").agg(F.bit_xor(F.xxhash64("node")).alias("same"))
+        written = materialize(members.join(same, "token").groupBy("same", "node", "n").agg(
+            F.min("place").alias("place"), F.count("*").alias("tokens")), "jaccard-shared")
+        discard(members)
         # Sizes of linked sets lie in one band or in two that follow one another; a region has two bands.
         band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent) * (1 + 1e-6)))
-        members = members.withColumn("band", F.explode(F.array(band, band - 1)))
-        members = members.select(F.xxhash64("token", "band").alias("region"), "band", F.col("k1").alias("node"), "n", "place")
-        written = materialize(members, "jaccard-shared")
-        members = written.join(self.several(written, "node"), "region")
+        members = written.withColumn("band", F.explode(F.array(band, band - 1)))
+        members = members.select(F.xxhash64("same", "band").alias("region"), "band", "node", "n", "place", "tokens")
+        members = members.join(self.several(members, "node"), "region")
         # A link needs several shingles in common here; a set with fewer in all regions of a band has none.
         # Its partner may be smaller, by the threshold at most.
-        enough = members.groupBy("node", "band").agg(F.count("*").alias("shared"), F.max("n").alias("n")).where(
+        enough = members.groupBy("node", "band").agg(F.sum("tokens").alias("shared"), F.max("n").alias("n")).where(
             F.col("shared") >= lead(F.col("n") * percent / 100, percent)).select("node", "band")
         members = materialize(members.join(enough, ["node", "band"]).select("region", "node", "n", "place"), "jaccard-enough")
         discard(written)
-        out = members.join(self.several(members, "node"), "region")
-        out = materialize(out.select("region", "node", "n", F.col("n").alias("s"), "place", F.lit(False).alias("later"),
-                                     F.col("node").alias("cell")), "jaccard-regions")
+        out = self.merged(members.select("region", "node", "n", F.col("n").alias("s"), "place", F.lit(False).alias("later"),
+                                         F.col("node").alias("cell")))
         discard(members)
         return out
 
@@ -353,13 +358,36 @@ class Join:
             return out
         return materialize(out.dropDuplicates(["node"]), "jaccard-members")
 
-    def possible(self, regions: DataFrame) -> DataFrame:
-        """The sets whose difference has enough behind the shared place for a link with some set of the region."""
+    def possible(self, regions: DataFrame, cells: DataFrame) -> DataFrame:
+        """The regions with sets of different cells, without the sets whose difference has too little behind the
+        shared place for a link with any set of the region. A set that links with nothing is its own cell."""
         p = self.percent
-        bounds = regions.groupBy("region").agg(F.min("s").alias("s_least"), F.max("n").alias("n_most"))
+        known = regions.join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node"))
+        bounds = known.groupBy("region").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"), F.min("s").alias("s_least"),
+                                             F.max("n").alias("n_most")).where("lo <> hi")
         s, n, place = F.col("s"), F.col("n"), F.col("place")
         room = (100 + p) * (s + F.col("s_least") - 2 * (s - place)) <= (100 - p) * (n + F.col("n_most"))
-        return regions.join(bounds, "region").where(room).drop("s_least", "n_most")
+        return known.join(bounds, "region").where(room).select("region", "node", "n", "s", "place", "later", "cell")
+
+    @staticmethod
+    def merged(regions: DataFrame) -> DataFrame:
+        """The regions with sets of different cells, those with the same sets and differences as one: (region, node, n, s,
+        place, later, cell, many, weight).
+
+        A link is looked for behind the first shared place, so a set keeps its least place. ``many`` is the
+        number of the region's sets, ``weight`` that of all regions that the set is in.
+        """
+        alike = regions.groupBy("region").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"), F.count("*").alias("many"),
+                                              F.bit_xor(F.xxhash64("node", "s")).alias("same")).where("lo <> hi")
+        out = regions.join(alike, "region").groupBy("same", "node", "s").agg(
+            F.min("place").alias("place"), F.max("n").alias("n"), F.min("later").alias("later"), F.max("cell").alias("cell"),
+            F.max("many").alias("many"), F.count("*").alias("tokens"))
+        out = materialize(out, "jaccard-merged")
+        weight = out.groupBy("node").agg(F.sum("tokens").alias("weight"))
+        done = materialize(out.join(weight, "node").select(F.col("same").alias("region"), "node", "n", "s", "place", "later", "cell",
+                                                           "many", "weight"), "jaccard-regions")
+        discard(out)
+        return done
 
     def with_sets(self, pairs: DataFrame, sets: DataFrame, column: str = "members", name: str = "set") -> DataFrame:
         """Distinct, written pairs of nodes with both whole sets, or both profiles.
@@ -377,7 +405,7 @@ class Join:
         where the profiles do not prove that they are far, else the distance is a lower bound."""
         percent, order = self.percent, self.order
         with arrow_rows(self.docs.sparkSession, SET_ROWS):
-            judged = self.judged(pairs, sets, 2 * percent - 100)
+            judged = self.judged(pairs, sets, min(FAR, 2 * percent - 100))
             far = judged.where("far").selectExpr("a", "b", "false as near", "far", "low as d", "cast(null as int) as s",
                                                  "cast(null as array<long>) as front")
             out = materialize(far.union(self.with_sets(judged.where("not far").select("a", "b"), sets).mapInArrow(
@@ -392,10 +420,10 @@ class Join:
             return materialize(self.with_sets(pairs, sets, "profile", "profile").mapInArrow(
                 lambda it: released(far_by_profile(it, least)), "a long, b long, low double, far boolean"), "jaccard-judged")
 
-    def mixed(self, regions: DataFrame, cells: DataFrame) -> DataFrame:
-        """The regions with sets of different cells; a set that links with nothing is its own cell."""
-        known = regions.drop("cell").join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node"))
-        return known.join(self.several(known, "cell"), "region")
+    def mixed(self, star: DataFrame, cells: DataFrame) -> DataFrame:
+        """The star's rows of regions with sets of different cells; a set that links with nothing is its own cell."""
+        known = star.join(cells.withColumnRenamed("node", "a"), "a", "left").withColumn("cell", F.coalesce("cell", "a"))
+        return known.join(self.several(known, "cell"), "region").drop("cell")
 
     def links(self, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
         """(classes, links between their nodes): enough links to join what is joined.
@@ -414,15 +442,14 @@ class Join:
             if regions.isEmpty():
                 return classes, edges
             # A region of few sets is compared at once; a level more costs more than its pairs.
-            many = regions.groupBy("region").agg(F.count("*").alias("many"))
-            pairs = many.where(F.col("many") > FEW).agg(F.sum(F.col("many") * (F.col("many") - 1) / 2)).first()[0]
+            pairs = regions.where(F.col("many") > FEW).agg(F.sum((F.col("many") - 1) / 2)).first()[0]
             if (pairs or 0) <= at_once:
                 break
-            split = regions.join(many, "region")
-            edges = edges.union(self.rest(split.where(F.col("many") <= FEW).drop("many"), sets))
-            before, regions = regions, materialize(split.where(F.col("many") > FEW).drop("many"), "jaccard-large")
+            edges = edges.union(self.rest(regions.where(F.col("many") <= FEW), sets))
+            before, regions = regions, materialize(regions.where(F.col("many") > FEW), "jaccard-large")
             discard(before)
-            pivots = regions.groupBy("region").agg(F.min(F.struct("later", "place", "node")).alias("p")).select("region", F.col("p.node").alias("b"))
+            # The set that is in most regions is the middle of its copies, and the pivot of all regions that it is in.
+            pivots = regions.groupBy("region").agg(F.min(F.struct("later", -F.col("weight"), "node")).alias("p")).select("region", F.col("p.node").alias("b"))
             star = regions.join(pivots, "region").where(F.col("node") != F.col("b"))
             star = materialize(star.select("region", F.col("node").alias("a"), "b", "n", F.col("s").alias("s_here"), "place"), "jaccard-star")
             discard(regions)
@@ -430,8 +457,7 @@ class Join:
             edges = materialize(edges.union(measured.where("near").select("a", "b")), "jaccard-edges")
             cells = materialize(connected_components(edges.toDF("src", "dst")).toDF("node", "cell"), "jaccard-cells")
             # Where all sets are joined now nothing is left to find.
-            on = self.mixed(star.withColumnRenamed("a", "node"), cells).select("region", F.col("node").alias("a"), "b", "n", "s_here", "place")
-            on = materialize(on.join(measured.drop("front"), ["a", "b"]), "jaccard-on")
+            on = materialize(self.mixed(star, cells).join(measured.drop("front"), ["a", "b"]), "jaccard-on")
             discard(star)
             # Pairs of sets that are not far meet where their differences do.
             front = measured.join(on.where("not far").select("a", "b", "n").distinct(), ["a", "b"])
@@ -441,12 +467,10 @@ class Join:
             window = on.where("far").groupBy("region").agg((F.min("d") - epsilon).alias("from"))
             again = on.join(window, "region").where("far or (not near and d >= from)")
             again = again.select("region", F.col("a").alias("node"), "n", F.col("s_here").alias("s"), "place", (~F.col("far")).alias("later"))
-            deeper = materialize(deeper.union(again), "jaccard-deeper")
+            deeper = materialize(self.possible(deeper.union(again), cells), "jaccard-deeper")
             discard(measured, on)
-            mixed = materialize(self.mixed(deeper, cells), "jaccard-mixed")
+            regions = self.merged(deeper)
             discard(deeper)
-            regions = materialize(self.possible(mixed), "jaccard-regions")
-            discard(mixed)
         return classes, edges.union(self.rest(regions, sets))
 
     def rest(self, regions: DataFrame, sets: DataFrame) -> DataFrame:

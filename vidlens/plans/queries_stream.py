@@ -13,7 +13,7 @@ from vidlens.plans import oracle as O
 from vidlens.plans.registry import AS_OF, PRIMARY_KEYWORD, WINDOWS_SQL, LIVE_FEATURES_SQL, _q, register
 from vidlens.schemas import LIVE_ANALYTICS_COLUMNS, LIVE_RAW_COLUMNS
 from vidlens.session import scratch_path
-from vidlens.sinks import tables
+from vidlens.sinks import tables, versioned
 from vidlens.sources import fixtures
 from vidlens.streaming import live as stream
 
@@ -86,6 +86,7 @@ def run_stream(spark, sf_dir):
     layout = stream.LiveLayout(out=f"{root}/out", checkpoints=f"{root}/checkpoints")
     qs = stream.start_live(stream.file_source(spark, src, -(-files // STREAM_FILES)), layout, PRIMARY_KEYWORD, trigger=None, as_of=AS_OF)
     stream.await_all(qs)
+    versioned.remove(spark, src)        # all three queries have taken all of it in
     stream.refresh_analytics(spark, layout, AS_OF)
     _RUNS[key] = layout
     return layout

@@ -80,3 +80,14 @@ def test_messages_go_when_all_streams_have_read_them(spark):
     layout = queries_stream.run_stream(spark, SF)
     root = os.path.dirname(layout.out).removeprefix("file:")
     assert os.path.isdir(f"{root}/out") and not os.path.exists(f"{root}/messages")
+
+
+@pytest.mark.parametrize("name", ["enrich_left_join", "repeated_details"])
+def test_details_are_written_before_they_meet(spark, name):
+    plan = plan_of(registry.QUERIES[name](spark, SF))
+    assert "collect_list" not in plan and "lineitem" not in plan
+
+
+def test_detail_rows_are_made_once(spark):
+    plan = plan_of(queries_harvest.details(spark, SF))
+    assert "lineitem" not in plan and "vidlens-detail-rows-" in plan

@@ -91,3 +91,15 @@ def test_details_are_written_before_they_meet(spark, name):
 def test_detail_rows_are_made_once(spark):
     plan = plan_of(queries_harvest.details(spark, SF))
     assert "lineitem" not in plan and "vidlens-detail-rows-" in plan
+
+
+def test_silver_rows_are_written_before_they_are_dealt_by_keyword(spark, staged, monkeypatch):
+    left = []
+    monkeypatch.setattr(medallion, "discard", lambda *written: left.extend(f for df in written for f in df.inputFiles()))
+    removed = []
+    monkeypatch.setattr(versioned, "remove", lambda spark, path, remove=versioned.remove: removed.append(path) or remove(spark, path))
+    registry.QUERIES["medallion_end_to_end"](spark, SF)
+    plan, = [p for name, p in staged if name == "videos_clean"]
+    assert "Window" not in plan and "vidlens-silver-rows-" in plan
+    assert any("vidlens-silver-rows-" in f for f in left)
+    assert [os.path.basename(p) for p in removed] == ["landing"]

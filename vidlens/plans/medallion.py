@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from vidlens import schemas
 from vidlens.functions.casts import safe_timestamp
 from vidlens.operators import clean, filters, rollups, stats
-from vidlens.session import apply_plan_defaults, materialize
+from vidlens.session import apply_plan_defaults, discard, materialize, writing
 from vidlens.sinks import tables, versioned
 
 
@@ -127,7 +127,8 @@ def bronze_all(spark: SparkSession, layout: Layout) -> DataFrame:
 def land_run(df: DataFrame, layout: Layout, run_id: str, ingested_at: str | None = None) -> None:
     """L1: raw rows -> audit columns -> the run's folder of bronze; a rerun under the same id replaces it."""
     audited, obs = observed(tables.with_audit(df, ingested_at), f"bronze-{run_id}", bronze_checks())
-    audited.write.mode("overwrite").option("compression", "zstd").parquet(os.path.join(layout.bronze, f"run={run_id}"))
+    with writing(df.sparkSession):
+        audited.write.mode("overwrite").option("compression", "zstd").parquet(os.path.join(layout.bronze, f"run={run_id}"))
     _log(layout, run_id, "bronze", obs, bronze_run(df.sparkSession, layout, run_id))
 
 
@@ -151,12 +152,15 @@ def silver(spark: SparkSession, bronze_df: DataFrame, layout: Layout, dedup_orde
     """
     seen = Observation("silver-input")
     bronze_df = bronze_df.observe(seen, F.max("_ingested_at").cast("string").alias("latest"))
-    out, obs = observed(_silver_rows(bronze_df, dedup_order, etl_date, processed_at), "silver")
+    # Written between the two shuffles of whole rows, by id and by keyword, so that they do not lie on disk together.
+    rows = materialize(_silver_rows(bronze_df, dedup_order, etl_date, processed_at), "silver-rows")
+    out, obs = observed(rows, "silver")
     if full_refresh:
         tables.overwrite(out, layout.silver)
         _remember(spark, layout, seen.get["latest"])
     else:
         tables.overwrite_partitions(out, layout.silver)
+    discard(rows)
     _log(layout, run_id or uuid.uuid4().hex, "silver", obs)
     return tables.read_table(spark, layout.silver, SILVER_SCHEMA)
 
@@ -200,6 +204,7 @@ def merge_silver(spark: SparkSession, layout: Layout, run_id: str, etl_date: str
     kept = versioned.read(spark, layout.silver, SILVER_SCHEMA, touched, before).join(ids, "video_id", "left_anti")
     out, obs = observed(kept.select(*SILVER_SCHEMA.fieldNames()).unionByName(new), f"silver-{run_id}")
     versioned.replace_partitions(out, layout.silver, "keyword", touched, {**before.meta, "latest": span["last"]})
+    discard(new, ids)
     _log(layout, run_id, "silver", obs)
     return versioned.read(spark, layout.silver, SILVER_SCHEMA)
 
@@ -225,7 +230,8 @@ def gold(spark: SparkSession, layout: Layout, run_date: str, min_views: int = 0,
     flagged = stats.flag_outliers(gold_in, exact=exact_quartiles, buckets=buckets)
     summary = tables.align(rollups.keyword_category_summary(flagged), schemas.SUMMARY_SCHEMA)
     stage = os.path.join(layout.root, "_staging", f"summary-{run_date}-{uuid.uuid4().hex}")
-    summary.write.mode("overwrite").parquet(stage)
+    with writing(spark):
+        summary.write.mode("overwrite").parquet(stage)
     staged = spark.read.schema(schemas.SUMMARY_SCHEMA).parquet(stage)
     if full_refresh:
         tables.overwrite(staged, layout.summary)

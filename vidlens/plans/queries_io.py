@@ -18,7 +18,7 @@ from vidlens.plans import medallion
 from vidlens.plans import oracle as O
 from vidlens.plans.registry import AS_OF, RUN_TS, flagged, register, silver, with_flagged
 from vidlens.session import scratch_path
-from vidlens.sinks import tables
+from vidlens.sinks import tables, versioned
 from vidlens.sources import fixtures
 
 
@@ -52,6 +52,7 @@ def q_medallion_end_to_end(spark, sf_dir):
     tables.landing_csv(fixtures.videos(spark, sf_dir).select(*schemas.CSV_SCHEMA.fieldNames()), landing)
     layout = medallion.Layout(root)
     b = medallion.bronze(spark, landing, layout, ingested_at=RUN_TS)
+    versioned.remove(spark, landing)        # bronze holds all of it
     medallion.silver(spark, b, layout, dedup_order=E2E_ORDER, etl_date=AS_OF, processed_at=RUN_TS)
     return medallion.gold(spark, layout, AS_OF, run_ts=RUN_TS)
 

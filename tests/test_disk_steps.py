@@ -103,3 +103,28 @@ def test_silver_rows_are_written_before_they_are_dealt_by_keyword(spark, staged,
     assert "Window" not in plan and "vidlens-silver-rows-" in plan
     assert any("vidlens-silver-rows-" in f for f in left)
     assert [os.path.basename(p) for p in removed] == ["landing"]
+
+
+def test_compaction_writes_few_files_without_a_shuffle(spark, staged, tmp_dir, monkeypatch):
+    registry.apply_plan_defaults(spark)
+    layout = stream.LiveLayout(out=f"{tmp_dir}/out", checkpoints=f"{tmp_dir}/ck")
+    for i in range(6):
+        rows = spark.range(i * 10, i * 10 + 10).select(F.to_json(F.struct(
+            F.concat(F.lit("v"), "id").alias("video_id"), F.lit("k").alias("keyword"), F.col("id").alias("viewCount"))).alias("value"))
+        tables.land_messages(rows, f"{tmp_dir}/m")
+        stream.await_all(stream.start_live(stream.file_source(spark, f"{tmp_dir}/m", None), layout, trigger=None, as_of="2002-01-01"))
+    stream.refresh_analytics(spark, layout, "2002-01-01")
+    assert stream.compact(spark, layout, at_least=6) == 6
+    plan, = [p for name, p in staged if name == "_landed_archive"]
+    assert "Rebalance" not in plan and "Exchange" not in plan and "Coalesce 1" in plan
+    assert stream.landed_rows(spark, layout).count() == 60
+
+
+def test_both_parts_of_the_stream_are_made_in_one_pass(spark, monkeypatch):
+    made = []
+    land = tables.land_messages
+    monkeypatch.setattr(tables, "land_messages", lambda df, *a, **k: made.append(a) or land(df, *a, **k))
+    got = registry.QUERIES["stream_incremental_windows"](spark, SF)
+    assert len(made) == 1
+    assert got.count() == registry.QUERIES["live_features"](spark, SF).count()
+    assert got.select("video_id").distinct().count() > 1

@@ -105,6 +105,23 @@ def test_silver_rows_are_written_before_they_are_dealt_by_keyword(spark, staged,
     assert [os.path.basename(p) for p in removed] == ["landing"]
 
 
+def test_compressed_files_are_cut_in_one_pass(spark, tmp_dir, monkeypatch):
+    rng = random.Random(5)
+    path = tmp_dir.removeprefix("file:")
+    for i, n in enumerate((0, 1, 400, 30)):
+        rows = rows_of(rng, n) + ([f'plain{k},"t, {k}",""' for k in range(600)] if n else [])
+        written(f"{path}/{i}.csv", rows + (['open,"never closed\nto the end'] if n == 30 else []), last=n != 30)
+        with open(f"{path}/{i}.csv", "rb") as f, gzip.open(f"{path}/{i}.csv.gz", "wb") as g:
+            g.write(f.read())
+        os.remove(f"{path}/{i}.csv")
+    want = as_set(tables.read_video_csv(spark, tmp_dir))
+    monkeypatch.setattr(csv_records, "starts", lambda functions: pytest.fail("a pass over blocks' states"))
+    got = tables.read_video_csv(spark, tmp_dir, multi_line="parallel")
+    assert as_set(got) == want and len(want) > 2000
+    assert got.select("_source_file").distinct().count() == 3
+    assert got.columns == [*schemas.CSV_SCHEMA.fieldNames(), "_source_file"]
+
+
 def test_compaction_writes_few_files_without_a_shuffle(spark, staged, tmp_dir, monkeypatch):
     registry.apply_plan_defaults(spark)
     layout = stream.LiveLayout(out=f"{tmp_dir}/out", checkpoints=f"{tmp_dir}/ck")

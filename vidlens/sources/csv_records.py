@@ -9,6 +9,10 @@ each block's start, and a second pass cuts the blocks into records. A record
 over a block's end is put together from its pieces, at most two a block. Rows are
 then parsed by Spark's CSV rules.
 
+Where no file can be split (compressed ones), every block is a whole file and begins
+outside quotes: there is no first pass, and no record over a block's end. Lines whose
+quotes all close are records as they are and are not looked at one by one.
+
 The list of blocks passes through the driver, as the list of splits does.
 """
 
@@ -16,7 +20,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +34,10 @@ _OPEN = re.compile(_FIELDS + r'"(?:[^"]|"")*+\Z', re.S)
 _CLOSED = re.compile(r'(?:[^"]|"")*+"(?!")[^,]*+(?:,(.*))?\Z', re.S)
 
 
+# A line of which every quoted field closes at its end, without a quote inside; begun outside quotes, it ends there.
+_SIMPLE = r'\A(?:(?:[^",][^,]*|"[^"]*")?,)*(?:[^",][^,]*|"[^"]*")?\z'
+
+
 def ends_open(line: str, inside: bool) -> bool:
     """Whether a line leaves its last field's quotes open, begun at a record's start or ``inside`` quotes."""
     if '"' not in line:
@@ -109,10 +119,27 @@ def pieces_of_records(functions) -> list[tuple[str, int, int, int]]:
 
 
 WHOLE, CLOSES, OPENS, RUNS_ON = range(4)
+#: Fewer simple lines than this go with the records around them.
+SHORT = 256
 
 
-def _cut(inside_at: dict[tuple[str, int], bool]):
-    """Rows (file, block, piece, text): whole records but the header, and the pieces at blocks' ends."""
+def _stretches(batches):
+    """(file, block, lines, simple) of a task's rows, in order: stretches of simple lines (``_SIMPLE``) and of others."""
+    for batch in batches:
+        files, blocks, lines = (batch.column(i) for i in range(3))
+        simple = pc.match_substring_regex(lines, _SIMPLE).to_numpy(zero_copy_only=False)
+        place = files.dictionary_encode().indices.to_numpy(), blocks.to_numpy()
+        new = simple[1:] != simple[:-1]
+        for x in place:
+            new |= x[1:] != x[:-1]
+        ends = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for at, end in zip(ends, ends[1:], strict=False):
+            yield files[at].as_py(), blocks[at].as_py(), lines.slice(at, end - at), bool(simple[at])
+
+
+def _cut(inside_at: dict[tuple[str, int], bool] | None):
+    """Rows (file, block, piece, text): whole records but the header, and the pieces at blocks' ends. Without
+    ``inside_at`` a block is a whole file, and what is left open at its end is a record, too."""
     def run(batches):
         out: list[tuple] = []
         pending: list[str] = []
@@ -120,15 +147,30 @@ def _cut(inside_at: dict[tuple[str, int], bool]):
 
         def close():
             if pending:
-                out.append((*place, RUNS_ON if piece == CLOSES else OPENS, "\n".join(pending)))
+                if inside_at is not None:
+                    out.append((*place, RUNS_ON if piece == CLOSES else OPENS, "\n".join(pending)))
+                elif not header:
+                    out.append((*place, WHOLE, "\n".join(pending)))
                 pending.clear()
 
-        for file, block, lines, _ in _blocks(batches):
+        for file, block, lines, simple in _stretches(batches):
             if (file, block) != place:
                 close()
-                place, inside, header = (file, block), inside_at[file, block], block == 0
+                place, header = (file, block), block == 0
+                inside = inside_at[file, block] if inside_at is not None else False
                 piece = CLOSES if inside else WHOLE
-            for line in lines:
+            if simple and not inside:
+                if header:
+                    lines, header = lines.slice(1), False
+                if len(lines) < SHORT:
+                    out += [(file, block, WHOLE, line) for line in lines.to_pylist()]
+                else:
+                    if out:
+                        yield _batch(out)
+                        out.clear()
+                    yield _whole(file, block, lines)
+                lines = lines.slice(0, 0)
+            for line in lines.to_pylist():
                 pending.append(line)
                 inside = ends_open(line, inside)
                 if not inside:
@@ -146,16 +188,34 @@ def _cut(inside_at: dict[tuple[str, int], bool]):
     return run
 
 
+def _whole(file: str, block: int, lines: pa.Array) -> pa.RecordBatch:
+    n = len(lines)
+    return pa.RecordBatch.from_arrays([pa.repeat(file, n), pa.repeat(pa.scalar(block, pa.int64()), n),
+                                       pa.repeat(pa.scalar(WHOLE, pa.int32()), n), lines], names=["file", "block", "piece", "text"])
+
+
 def _batch(rows) -> pa.RecordBatch:
     file, block, piece, text = zip(*rows, strict=True)
     return pa.RecordBatch.from_pydict({"file": file, "block": pa.array(block, pa.int64()), "piece": pa.array(piece, pa.int32()), "text": text})
 
 
+def splittable(spark: SparkSession, files: DataFrame):
+    """Whether Spark may read a file in several blocks, for the kinds of names among the files."""
+    jvm = spark._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    split = jvm.java.lang.Class.forName("org.apache.hadoop.io.compress.SplittableCompressionCodec")
+    for end in {f.rsplit("/", 1)[-1].rpartition(".")[2] for f in files.inputFiles()}:
+        codec = codecs.getCodec(jvm.org.apache.hadoop.fs.Path(f"name.{end}" if end else "name"))
+        yield codec is None or split.isInstance(codec)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """file and text of every record of the CSV files under ``path`` but their headers."""
     lines = (spark.read.option("lineSep", "\n").text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                      F.regexp_replace("value", "\r$", "").alias("line")))
+    if not any(splittable(spark, lines)):
+        return lines.mapInArrow(_cut(None), "file string, block long, piece int, text string").select("file", "text")
     schema = "file string, block long, outside boolean, inside boolean, ends_outside boolean, ends_inside boolean"
     functions = [tuple(r) for r in lines.mapInArrow(_functions, schema).collect()]
     cut = lines.mapInArrow(_cut(starts(functions)), "file string, block long, piece int, text string")
